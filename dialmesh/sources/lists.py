@@ -117,6 +117,12 @@ def _numbered_lines(
     return numbered.where("line_index > 0"), headers
 
 
+def _file_names(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    names = spark.read.text(path).inputFiles()
+    listed = spark.createDataFrame([(n,) for n in names], "file string")
+    return listed.select(F.regexp_replace("file", "^file:///", "file:/").alias("file"))
+
+
 def header_check(header: Column, expected: list[str]) -> Column:
     """``invalid_header`` unless the header holds exactly the expected names, in any order."""
     same = F.array_sort(header) == F.array_sort(F.array(*[F.lit(n) for n in expected]))
@@ -128,11 +134,8 @@ def header_check(header: Column, expected: list[str]) -> Column:
 def _file_states(
     spark: SparkSession, path: str | list[str], headers: DataFrame, checked: DataFrame, expected
 ) -> DataFrame:
-    listing = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file"))
-    )
+    # File names only; empty files have no split, so no scan would report them.
+    listing = _file_names(spark, path)
     counts = checked.groupBy("file").agg(
         F.count_if(F.col("error").isNull()).alias("good_rows"),
         F.count_if(F.col("error").isNotNull()).alias("rejected_rows"),
