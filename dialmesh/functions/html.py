@@ -85,8 +85,8 @@ def _literal_map(pairs: list[tuple]) -> Column:
     return F.str_to_map(F.lit(text), F.lit("\u0001"), F.lit("\u0002"))
 
 
-def _named() -> Column:
-    return _literal_map([(n, html5[n + ";"]) for n in _COMMON + _NAMES])
+def _named(names: list[str]) -> Column:
+    return _literal_map([(n, html5[n + ";"]) for n in names])
 
 
 def _numeric_reference(ref: Column) -> Column:
@@ -110,10 +110,10 @@ def _reference_value(ref: Column, in_attribute: bool) -> Column:
         whole = ref.endswith(";")
         rest = F.substr(ref, F.length(bare) + 2)
         glued = (rest != "") if in_attribute else F.lit(False)
-        names = _named()
+        name = F.regexp_replace(ref, "[&;]", "")
         return F.coalesce(
-            F.when(whole, F.try_element_at(names, F.regexp_replace(ref, "[&;]", ""))),
-            F.when((bare != "") & ~glued, F.concat(F.try_element_at(names, bare), rest)),
+            F.when(whole, F.try_element_at(_named(_COMMON + _NAMES), name)),
+            F.when((bare != "") & ~glued, F.concat(F.try_element_at(_named(_BARE), bare), rest)),
             ref,
         )
 
@@ -138,27 +138,33 @@ def decode_references(text: Column | str, in_attribute: bool = False) -> Column:
 def body_text(html: Column | str) -> Column:
     """Text of the body without script and style; nothing is put between elements."""
 
-    def piece_text(piece: Column) -> Column:
-        inner = F.regexp_replace(piece, _STRIP_OWN_TAGS, "")
-        markup = piece.startswith("<") & (F.length(piece) > 1)
-        as_text = piece.rlike(rf"(?is)^<(?:{_KEPT_TEXT}){_END}")
-        text = F.when(as_text, inner).when(markup, F.lit("")).otherwise(piece)
-        return F.when(piece.rlike(rf"(?is)^<(?:{_KEPT_RAW}){_END}"), inner).otherwise(
-            bind(text, decode_references)
-        )
+    def careful(body: Column) -> Column:
+        """Pages with raw-text elements: their content is text, never markup."""
+
+        def piece_text(piece: Column) -> Column:
+            inner = F.regexp_replace(piece, _STRIP_OWN_TAGS, "")
+            return (
+                F.when(
+                    piece.rlike(rf"(?is)^<(?:{_KEPT_RAW}){_END}"),
+                    F.replace(inner, F.lit("&"), F.lit("&amp;")),
+                )
+                .when(piece.rlike(rf"(?is)^<(?:{_KEPT_TEXT}){_END}"), inner)
+                .when(piece.startswith("<") & (F.length(piece) > 1), F.lit(_MARK))
+                .otherwise(piece)
+            )
 
-    def text_of(body: Column) -> Column:
+        pieces = F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0))
+        return F.array_join(F.transform(pieces, piece_text), "")
+
+    def marked(body: Column) -> Column:
         # The mark keeps references on both sides of a tag apart until decoded.
-        plain = F.replace(
-            bind(F.regexp_replace(body, _MARKUP, _MARK), decode_references),
-            F.lit(_MARK),
-            F.lit(""),
+        return F.when(body.rlike(_HAS_RAW_TEXT), careful(body)).otherwise(
+            F.regexp_replace(body, _MARKUP, _MARK)
         )
-        pieces = F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0))
-        careful = F.array_join(F.transform(pieces, piece_text), "")
-        return F.when(body.rlike(_HAS_RAW_TEXT), careful).otherwise(plain)
 
-    return bind(F.regexp_replace(as_col(html), _HEAD, ""), text_of)
+    body = F.regexp_replace(as_col(html), _HEAD, "")
+    text = bind(bind(body, marked), decode_references)
+    return F.replace(text, F.lit(_MARK), F.lit(""))
 
 
 # --- links -------------------------------------------------------------------

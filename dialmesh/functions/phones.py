@@ -91,7 +91,6 @@ def match_phones(text: Column | str) -> Column:
     the gap before it, the match before that, and the gap before that match.
     The window is cut in bytes and read as Latin-1, so no byte is lost.
     """
-    body = as_col(text)
 
     def with_confidence(found: Column, gaps: Column) -> Column:
         def one(match: Column, i: Column) -> Column:
@@ -114,11 +113,14 @@ def match_phones(text: Column | str) -> Column:
 
         return F.transform(found, one)
 
-    found = bind(
-        phone_matches(body),
-        lambda ms: F.when(F.size(ms) > 0, with_confidence(ms, F.split(body, PHONE_PATTERN, -1))),
-    )
-    return F.coalesce(found, F.array().cast("array<struct<number:string,confidence:int>>"))
+    def in_text(body: Column) -> Column:
+        return bind(
+            phone_matches(body),
+            lambda ms: F.when(F.size(ms) > 0, with_confidence(ms, F.split(body, PHONE_PATTERN, -1))),
+        )
+
+    empty = F.array().cast("array<struct<number:string,confidence:int>>")
+    return F.coalesce(bind(as_col(text), in_text), empty)
 
 
 def tel_phones(hrefs: Column | str) -> Column:

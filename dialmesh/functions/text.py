@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 # Unicode White_Space, as a regex class body (fixed values).
 WHITE_SPACE = r"\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-# The lookbehind keeps long inner runs of blanks linear: only the first blank
-# of a run can start the trailing match.
-_OUTER_SPACE = rf"^[{WHITE_SPACE}]++|(?<![{WHITE_SPACE}])[{WHITE_SPACE}]++$"
+_WHITE_CHARS = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    + "".join(chr(code) for code in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def as_col(value: Column | str) -> Column:
@@ -19,7 +21,7 @@ def as_col(value: Column | str) -> Column:
 
 def trim_space(value: Column | str) -> Column:
     """Trim Unicode white space on both sides (Spark's ``trim`` only drops U+0020)."""
-    return F.regexp_replace(as_col(value), _OUTER_SPACE, "")
+    return F.btrim(as_col(value), F.lit(_WHITE_CHARS))
 
 
 def percent_escape(value: Column | str, allowed: str) -> Column:

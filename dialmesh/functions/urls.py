@@ -28,6 +28,15 @@ _PATH_CHARS = r"A-Za-z0-9\-_.~!$&'()*+,;=:@\[\]%/"
 _FRAGMENT_CHARS = r"A-Za-z0-9\-_.~!$&'()*+,;=:@\[\]%/?"
 
 
+# Addresses that need no closer look: a bare host, or lower-case http(s) with a plain
+# host and only unescaped characters.  They are by far the most frequent.
+_PLAIN = (
+    r"^(?:https?://[A-Za-z0-9.\-]++(?::[0-9]++)?+(?:/[A-Za-z0-9\-_.~!$&'()*+,;=:@/]*+)?+"
+    r"(?:\?[\x21\x22\x24-\x7e]*+)?+|[A-Za-z0-9.\-]++)$"
+)
+_PLAIN_HOST = r"^(?:https?://)?+([^/?]*+)"
+
+
 def url_parts(url: Column | str) -> Column:
     """Split into ``struct<scheme, authority, path, query, fragment>``.
 
@@ -142,11 +151,27 @@ def parse_url_checked(value: Column | str) -> Column:
 
         return bind(error, result)
 
-    text = trim_space(F.coalesce(as_col(value), F.lit("")))
-    full = bind(
-        text, lambda t: F.when(t.contains("://"), t).otherwise(F.concat(F.lit("https://"), t))
+    def closer_look(text: Column) -> Column:
+        full = F.when(text.contains("://"), text).otherwise(F.concat(F.lit("https://"), text))
+        return bind(full, lambda raw: bind(url_parts(raw), lambda parts: checked(raw, parts)))
+
+    def plain(text: Column) -> Column:
+        host = F.regexp_extract(text, _PLAIN_HOST, 1)
+        has_scheme = text.contains("://")
+        return F.struct(
+            F.when(has_scheme, text).otherwise(F.concat(F.lit("https://"), text)).alias("url"),
+            F.when(text.startswith("http://"), F.lit("http"))
+            .otherwise(F.lit("https"))
+            .alias("scheme"),
+            host.alias("host"),
+            F.substring_index(host, ":", 1).alias("hostname"),
+            F.lit(None).cast("string").alias("error"),
+        )
+
+    return bind(
+        trim_space(F.coalesce(as_col(value), F.lit(""))),
+        lambda text: F.when(text.rlike(_PLAIN), plain(text)).otherwise(closer_look(text)),
     )
-    return bind(full, lambda raw: bind(url_parts(raw), lambda parts: checked(raw, parts)))
 
 
 def company_id(url: Column | str) -> Column:

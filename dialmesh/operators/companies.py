@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import add_once
 from ..functions.urls import company_id, parse_url_checked
 
 NOT_FOUND = "not_found"
@@ -31,14 +32,15 @@ def as_store_rows(companies: DataFrame, *extra: Column) -> DataFrame:
     """Any company rows in store shape (plus ``extra`` columns); the id comes from the
     domain when absent and absent fields are NULL."""
     have = set(companies.columns)
-    key = F.col("id") if "id" in have else company_id("domain")
+    if "id" not in have:
+        companies = add_once(companies, "id", company_id("domain"))
     fields = [
         F.col(name)
         if name in have
         else F.lit(None).cast("array<string>" if name in LIST_FIELDS else "string").alias(name)
         for name in FIELDS
     ]
-    return companies.select(key.alias("id"), *fields, *extra)
+    return companies.select("id", *fields, *extra)
 
 
 def upsert_companies(store: DataFrame, companies: DataFrame, order: list[str]) -> DataFrame:
@@ -67,7 +69,7 @@ def import_stats(rows: DataFrame) -> DataFrame:
 def get_companies(store: DataFrame, urls: DataFrame) -> DataFrame:
     """Batch lookup of ``urls(url)``: the store's columns plus ``error`` (a URL error
     code, or ``not_found``)."""
-    keyed = urls.select("url", parse_url_checked("url").alias("_p")).select(
+    keyed = add_once(urls.select("url"), "_p", parse_url_checked("url")).select(
         "url", F.col("_p.hostname").alias("id"), F.col("_p.error").alias("_bad")
     )
     # Bad URLs have no key; a stand-in of their own keeps them off one NULL partition.
@@ -101,7 +103,7 @@ def update_companies(store: DataFrame, updates: DataFrame, order: str | None = N
     Unknown ids and bad URLs come back as rejects.
     """
     given = [name for name in FIELDS if name in updates.columns]
-    keyed = updates.withColumn("_p", parse_url_checked("url")).withColumn("id", F.col("_p.hostname"))
+    keyed = add_once(updates, "_p", parse_url_checked("url")).withColumn("id", F.col("_p.hostname"))
     rank = F.col(order) if order else F.struct("url", *given)
 
     def last(name: str) -> Column:
@@ -154,10 +156,12 @@ def _value_problem() -> Column:
 def update_fields(store: DataFrame, changes: DataFrame, order: str) -> UpdateResult:
     """Single-field updates ``(url, field, value_json, <order>)``; JSON null clears the
     field.  Unknown fields and unfit values are ``invalid_params`` rejects."""
+    checked = F.struct(parse_url_checked("url").alias("url"), _value_problem().alias("problem"))
     keyed = (
-        changes.withColumn("_p", parse_url_checked("url"))
+        add_once(changes, "_c", checked)
+        .withColumn("_p", F.col("_c.url"))
         .withColumn("id", F.col("_p.hostname"))
-        .withColumn("_problem", _value_problem())
+        .withColumn("_problem", F.col("_c.problem"))
     )
     good = keyed.where("_problem is null and id is not null")
     # One value per (id, field): the field list is fixed, so these are plain columns.

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import add_once, explode_positions
 from ..functions.urls import allowed_host, capture_key, parse_url_checked, url_host, visit_url
 from ..session import BucketedTable, is_small, materialize, scratch_dir
 from ..sources.captures import visit_failed
@@ -59,9 +60,8 @@ class Crawl:
         return self.sites.select("seed", F.posexplode("links_visited").alias("step", "url"))
 
     def raw_phones(self) -> DataFrame:
-        return self.sites.select("seed", F.posexplode("phones").alias("pos", "_phone")).select(
-            "seed", "pos", "_phone.number", "_phone.confidence"
-        )
+        rows = explode_positions(self.sites, ["seed"], F.col("phones"), "_phone")
+        return rows.select("seed", "pos", "_phone.number", "_phone.confidence")
 
     def phones(self) -> DataFrame:
         """``seed, number, confidence, pos``: valid numbers, deduped, first place."""
@@ -130,7 +130,9 @@ def crawl_sites(seeds: DataFrame, captures: DataFrame) -> Crawl:
     captured, failed, seen before) ends the site with what was found.
     """
     spark = seeds.sparkSession
-    parsed = seeds.select(F.col("url").alias("seed"), parse_url_checked("url").alias("parsed"))
+    parsed = add_once(
+        seeds.select(F.col("url").alias("seed")), "parsed", parse_url_checked("seed")
+    )
     pages = BucketedTable(crawl_features(_visitable(parsed, captures)), "key")
     try:
         return Crawl(_advance(spark, parsed, pages.df))

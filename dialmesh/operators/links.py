@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import explode_positions
 from ..functions.html import hrefs_in_body, hrefs_in_nav, link_tags, trimmed_hrefs
+from ..functions.phones import tel_phones
 
 SELECTORS = {"nav": hrefs_in_nav, "body": hrefs_in_body}
 
@@ -14,11 +16,8 @@ def page_links(pages: DataFrame, keys: list[str], selector: str = "nav", body: s
     """``keys, pos, href``: the trimmed raw hrefs below ``nav`` or ``body``,
     in document order, duplicates kept."""
     hrefs = SELECTORS[selector](F.col("_tags"))
-    return (
-        pages.select(*keys, link_tags(body).alias("_tags"))
-        .select(*keys, trimmed_hrefs(hrefs).alias("_hrefs"))
-        .select(*keys, F.posexplode("_hrefs").alias("pos", "href"))
-    )
+    tagged = pages.select(*keys, link_tags(body).alias("_tags"))
+    return explode_positions(tagged, keys, trimmed_hrefs(hrefs), "href")
 
 
 def nav_links(pages: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
@@ -41,10 +40,6 @@ def distinct_links(links: DataFrame, scope: list[str], order: list[str]) -> Data
 
 def tel_links(pages: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
     """``keys, pos, number``: numbers of the ``tel:`` links in document order."""
-    from ..functions.phones import tel_phones
-
-    return (
-        pages.select(*keys, tel_phones(hrefs_in_body(link_tags(body))).alias("_tel"))
-        .select(*keys, F.posexplode("_tel").alias("pos", "_phone"))
-        .select(*keys, "pos", F.col("_phone.number").alias("number"))
-    )
+    phones = tel_phones(hrefs_in_body(link_tags(body)))
+    rows = explode_positions(pages, keys, phones, "_phone")
+    return rows.select(*keys, "pos", F.col("_phone.number").alias("number"))

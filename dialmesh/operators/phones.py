@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import add_once, explode_positions
 from ..functions.phones import confidence_label, match_phones, validate_phone
 from .page_features import page_features
 
 
 def _phone_rows(df: DataFrame, keys: list[str], phones: str) -> DataFrame:
-    return df.select(*keys, F.posexplode(phones).alias("pos", "_phone")).select(
-        *keys, "pos", "_phone.number", "_phone.confidence"
-    )
+    rows = explode_positions(df, keys, F.col(phones), "_phone")
+    return rows.select(*keys, "pos", "_phone.number", "_phone.confidence")
 
 
 def text_phones(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -33,7 +33,7 @@ def page_phones(pages: DataFrame, keys: list[str], body: str = "body", raw: bool
 def validate_phones(phones: DataFrame, area_codes: list[str] | None = None) -> DataFrame:
     """Add ``valid_number`` and ``error``; the confidence stays as it was."""
     return (
-        phones.withColumn("_check", validate_phone("number", area_codes))
+        add_once(phones, "_check", validate_phone("number", area_codes))
         .withColumn("valid_number", F.col("_check.number"))
         .withColumn("error", F.col("_check.error"))
         .drop("_check")

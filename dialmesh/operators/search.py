@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..frames import add_once
 from ..functions.names import name_tokens, term_counts
 from ..functions.phones import validate_phone
 from ..session import is_small
@@ -104,9 +105,9 @@ def name_index(store: DataFrame) -> NameIndex:
     return NameIndex(postings, _term_stats(postings), _field_stats(store))
 
 
-def _join_on_hot_key(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+def _join_on_hot_key(big: DataFrame, small: DataFrame, key: str, broadcast: bool) -> DataFrame:
     """Equi-join that stays even when one key holds much of ``big``."""
-    if is_small(small, BROADCAST_TERMS):
+    if broadcast:
         return big.join(F.broadcast(small), key)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (
@@ -146,7 +147,9 @@ def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
     weighted = wanted.join(idf, "term")
     norm = F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len"))
     part = F.col("weight") * F.col("idf") * F.col("tf") * (K1 + 1) / norm
-    joined = _join_on_hot_key(index.postings.withColumnRenamed("field", "_field"), weighted, "term")
+    postings = index.postings.withColumnRenamed("field", "_field")
+    # At most one weighted row per wanted term and name field.
+    joined = _join_on_hot_key(postings, weighted, "term", is_small(wanted, BROADCAST_TERMS))
     scored = joined.where(F.col("_field") == F.col("field")).select(
         "query_id", "id", "field", part.alias("part")
     )
@@ -158,11 +161,12 @@ def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
 
 def phone_hits(store: DataFrame, queries: DataFrame) -> DataFrame:
     """``query_id, id, score`` of the companies that list the query's number."""
-    wanted = queries.select("query_id", validate_phone("phone")["number"].alias("number")).where(
+    checked = add_once(queries.select("query_id", "phone"), "_v", validate_phone("phone"))
+    wanted = checked.select("query_id", F.col("_v.number").alias("number")).where(
         "number is not null"
     )
     numbers = store.select("id", F.explode(F.array_distinct("phone_numbers")).alias("number"))
-    return _join_on_hot_key(numbers, wanted, "number").select(
+    return _join_on_hot_key(numbers, wanted, "number", is_small(wanted, BROADCAST_TERMS)).select(
         "query_id", "id", F.lit(1.0).alias("score")
     )
 
@@ -213,16 +217,32 @@ def search_companies(store: DataFrame, queries: DataFrame, index: NameIndex | No
     """Batch dispatch of ``queries(query_id, name, phone)``.
 
     Gives the ranked results and the queries' ``query_id, error`` (``not_found`` for
-    a query without hits).
+    a query without hits).  Each distinct search runs once, however many queries
+    ask it.
     """
-    checked = queries.withColumn("error", query_error())
-    good = checked.where("error is null")
-    by_name = name_hits(index or name_index(store), good.where("coalesce(phone, '') = ''"))
-    by_phone = phone_hits(store, good.where("coalesce(phone, '') <> ''"))
-    hits = by_name.unionByName(by_phone)
-    answered = hits.select("query_id").distinct().withColumn("_hit", F.lit(True))
-    status = checked.join(answered, "query_id", "left").select(
+    checked = add_once(
+        queries, "_c", F.struct(query_error().alias("error"), validate_phone("phone")["number"].alias("number"))
+    )
+    # "n:" and "p:" tell names from numbers; a bad query gets a key of its own, which
+    # keeps such queries off one NULL partition.
+    keyed = checked.select(
+        "query_id",
+        F.col("_c.error").alias("error"),
+        F.when(F.col("_c.error").isNotNull(), F.concat(F.lit("#"), F.col("query_id").cast("string")))
+        .when(F.col("_c.number").isNotNull(), F.concat(F.lit("p:"), F.col("_c.number")))
+        .otherwise(F.concat(F.lit("n:"), F.col("name")))
+        .alias("search"),
+    )
+    searches = keyed.where("error is null").select(F.col("search").alias("query_id")).distinct()
+    text = F.substr("query_id", F.lit(3))
+    by_name = searches.where(F.col("query_id").startswith("n:")).select("query_id", text.alias("name"))
+    by_phone = searches.where(F.col("query_id").startswith("p:")).select("query_id", text.alias("phone"))
+    hits = name_hits(index or name_index(store), by_name).unionByName(phone_hits(store, by_phone))
+    found = search_result(hits, store).withColumnRenamed("query_id", "search")
+    answered = found.where("rank = 1").select("search", F.lit(True).alias("_hit"))
+    status = keyed.join(answered, "search", "left").select(
         "query_id",
         F.coalesce("error", F.when(F.col("_hit").isNull(), F.lit("not_found"))).alias("error"),
     )
-    return search_result(hits, store), status
+    results = keyed.select("query_id", "search").join(found, "search").drop("search")
+    return results, status

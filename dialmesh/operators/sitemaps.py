@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import add_once, explode_positions
 from ..functions.text import WHITE_SPACE, trim_space
 from ..functions.urls import (
     INVALID_URL,
@@ -83,11 +84,8 @@ def robots_sitemaps(sites: DataFrame, captures: DataFrame) -> DataFrame:
             "_c"
         )
     )
-    joined = (
-        sites.select("url", robots_url("url").alias("key"))
-        .join(bodies, "key", "left")
-        .withColumn("_s", sitemap_from_robots("_c.body"))
-    )
+    joined = sites.select("url", robots_url("url").alias("key")).join(bodies, "key", "left")
+    joined = add_once(joined, "_s", sitemap_from_robots("_c.body"))
     error = F.when(F.col("_c").isNull(), F.lit(NOT_CAPTURED)).otherwise(
         F.coalesce("_c.error", "_s.error")
     )
@@ -98,9 +96,7 @@ def robots_sitemaps(sites: DataFrame, captures: DataFrame) -> DataFrame:
 
 def sitemap_locs(captures: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, pos, loc`` of every urlset."""
-    return captures.select(
-        *keys, F.posexplode(sitemap_entries("body")["locs"]).alias("pos", "loc")
-    )
+    return explode_positions(captures, keys, sitemap_entries("body")["locs"], "loc")
 
 
 def expand_sitemaps(roots: DataFrame, captures: DataFrame) -> DataFrame:
@@ -142,7 +138,7 @@ def _levels(spark, roots: DataFrame, nodes: DataFrame) -> DataFrame:
             seen.where(F.size("sitemaps") > 0)
             .withColumn("above", F.array_append("above", F.col("at")))
             .select("url", "host", "path", "above", F.posexplode("sitemaps").alias("pos", "loc"))
-            .withColumn("at", visit_url("loc"))
+            .transform(add_once, "at", visit_url("loc"))
             .where(allowed_host(url_host("at"), "host") & ~F.array_contains("above", F.col("at")))
             .groupBy("url", "at")
             .agg(F.min(F.struct(F.array_append("path", F.col("pos")).alias("path"), "host", "above")).alias("_m"))

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..frames import add_once
 from ..functions.text import trim_space
 from ..functions.urls import parse_url_checked
 
@@ -169,7 +170,7 @@ def read_domains(spark: SparkSession, path: str | list[str], mode: str = "permis
         numbered.where(header_check(F.col("header"), DOMAIN_HEADER).isNull())
         .withColumn("line", trim_space("line"))
         .where("line <> ''")
-        .withColumn("parsed", parse_url_checked("line"))
+        .transform(add_once, "parsed", parse_url_checked("line"))
         .select("file", "line_index", "line", "parsed.*")
     )
     return _finish(
@@ -211,14 +212,14 @@ def read_companies(spark: SparkSession, path: str | list[str], mode: str = "perm
     """
     numbered, headers = _numbered_lines(spark, path, skip_blank=True, header_of=csv_fields)
     valid = numbered.where(header_check(F.col("header"), COMPANY_HEADER).isNull())
-    fields = valid.withColumn("fields", csv_fields(F.col("line")))
+    fields = add_once(valid, "fields", csv_fields(F.col("line")))
 
     def cell(name: str) -> Column:
         place = F.array_position("header", F.lit(name)).cast("int")
         return F.get("fields", place - 1)
 
     right_size = F.size("fields") == len(COMPANY_HEADER)
-    parsed = fields.withColumn("parsed", F.when(right_size, parse_url_checked(cell("domain"))))
+    parsed = add_once(fields, "parsed", F.when(right_size, parse_url_checked(cell("domain"))))
     checked = parsed.select(
         "file",
         "line_index",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..frames import add_once
 from ..functions.urls import company_id
 from ..operators.companies import UpdateResult, update_companies
 from ..operators.crawl import phones_to_company
@@ -22,7 +23,7 @@ LOG_SCHEMA = "id string, number string, confidence int, url string, pos int, bat
 
 def batch_phones(captures: DataFrame) -> DataFrame:
     """``id, number, confidence, url, pos``: a batch's valid numbers per company."""
-    rows = page_phones(captures, ["url"], "body").withColumn("id", company_id("url"))
+    rows = add_once(page_phones(captures, ["url"], "body"), "id", company_id("url"))
     return sanitize_phones(rows.where("id is not null"), ["id"], ["url", "pos"])
 
 
