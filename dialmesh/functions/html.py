@@ -22,39 +22,40 @@ from .text import as_col, bind, trim_space
 _END = r"(?=[\s/>])"
 _BODY = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+"
 _CLOSE = r"(?:>|\z)"
-_COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
-_BOGUS = rf"<[!?][^>]*+{_CLOSE}|</(?![A-Za-z])[^>]+{_CLOSE}|</>"
-_TAG = rf"</?[A-Za-z]{_BODY}{_CLOSE}"
+# All of these follow a "<", which the patterns below factor out.
+_COMMENT = r"!--(?:-?>|.*?(?:--!?>|\z))"
+_BOGUS = rf"[!?][^>]*+{_CLOSE}|/(?![A-Za-z])[^>]+{_CLOSE}|/>"
+_TAG = rf"/?[A-Za-z]{_BODY}{_CLOSE}"
 
 
 def _raw_element(names: str, group: int) -> str:
     """Element whose content holds no tags, up to its own end tag or the end."""
-    return rf"<({names}){_END}{_BODY}(?:>.*?(?:</\{group}{_END}{_BODY}{_CLOSE}|\z)|\z)"
+    return rf"({names}){_END}{_BODY}(?:>.*?(?:</\{group}{_END}{_BODY}{_CLOSE}|\z)|\z)"
 
 
 _KEPT_RAW = "noscript|iframe|noembed|noframes|xmp"
 _KEPT_TEXT = "textarea|title"
 
 _HEAD = (
-    rf"(?is)^(?:\s++|{_COMMENT}|<[!?][^>]*+{_CLOSE}"
-    rf"|</?(?:html|head){_END}{_BODY}{_CLOSE}"
-    rf"|<(?:meta|link|base|basefont|bgsound){_END}{_BODY}{_CLOSE}"
+    rf"(?is)^(?:\s++|<(?:{_COMMENT}|[!?][^>]*+{_CLOSE}"
+    rf"|/?(?:html|head){_END}{_BODY}{_CLOSE}"
+    rf"|(?:meta|link|base|basefont|bgsound){_END}{_BODY}{_CLOSE}"
     rf"|{_raw_element('title|style|script|noscript|noframes|template', 1)}"
-    rf")*+(?:<body{_END}{_BODY}{_CLOSE})?+"
+    rf"))*+(?:<body{_END}{_BODY}{_CLOSE})?+"
 )
-_MARKUP = rf"(?is){_COMMENT}|{_raw_element('script|style', 1)}|{_TAG}|{_BOGUS}"
+_MARKUP = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|{_TAG}|{_BOGUS})"
 _HAS_RAW_TEXT = rf"(?is)<(?:{_KEPT_RAW}|{_KEPT_TEXT}){_END}"
 _PIECE = (
-    rf"(?is)[^<]++|{_COMMENT}|{_raw_element('script|style', 1)}"
-    rf"|{_raw_element(_KEPT_RAW, 2)}|{_raw_element(_KEPT_TEXT, 3)}|{_TAG}|{_BOGUS}|<"
+    rf"(?is)[^<]++|<(?:{_COMMENT}|{_raw_element('script|style', 1)}"
+    rf"|{_raw_element(_KEPT_RAW, 2)}|{_raw_element(_KEPT_TEXT, 3)}|{_TAG}|{_BOGUS})|<"
 )
 _STRIP_OWN_TAGS = (
     rf"(?is)^<[a-z]{_BODY}{_CLOSE}|</(?:{_KEPT_RAW}|{_KEPT_TEXT}){_END}{_BODY}{_CLOSE}\z"
 )
 _LINK_TAG = (
-    rf"(?is)\G(?:[^<]++|{_COMMENT}"
+    rf"(?is)\G(?:[^<]++|<(?:{_COMMENT}"
     rf"|{_raw_element('script|style|' + _KEPT_RAW + '|' + _KEPT_TEXT, 1)}"
-    rf"|<(?!/?nav[\s/>]|a[\s/>])/?[A-Za-z]{_BODY}{_CLOSE}|{_BOGUS}|<(?![A-Za-z/!?]))*+"
+    rf"|(?!/?nav[\s/>]|a[\s/>])/?[A-Za-z]{_BODY}{_CLOSE}|{_BOGUS}|(?![A-Za-z/!?])))*+"
     rf"(<(?:a|/?nav){_END}{_BODY}>)"
 )
 # First attribute named href; the value group keeps its quotes.

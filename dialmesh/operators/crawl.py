@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..frames import add_once, explode_positions
@@ -154,12 +154,14 @@ def _advance(spark, parsed: DataFrame, pages: DataFrame) -> DataFrame:
     folder = scratch_dir(spark)
     visit = _visit_columns()
     for step in range(MAX_VISITS):
-        done = materialize(_visit(frontier, pages, visit), f"{folder}/step={step}")
+        # The count of sites that go on comes with the write, without a job of its own.
+        seen = Observation()
+        counted = _visit(frontier, pages, visit).observe(seen, F.count("link").alias("live"))
+        done = materialize(counted, f"{folder}/step={step}")
         schema = done.schema
-        live = done.where("link is not null")
-        if live.isEmpty():
+        if not seen.get["live"]:
             break
-        frontier = live.drop("error", "phones")
+        frontier = done.where("link is not null").drop("error", "phones")
     finished = spark.read.schema(schema).parquet(folder).where("link is null")
     return finished.select("seed", "error", F.col("visited").alias("links_visited"), "phones")
 

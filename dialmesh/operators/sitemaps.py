@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..frames import add_once, explode_positions
@@ -132,9 +132,13 @@ def _levels(spark, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     level = 0
     while True:
         joined = frontier.withColumn("key", capture_key("at")).join(nodes, "key").drop("key")
-        seen = materialize(joined, f"{folder}/level={level}")
+        counts = Observation()
+        indexes = F.count_if(F.size("sitemaps") > 0).alias("indexes")
+        seen = materialize(joined.observe(counts, indexes), f"{folder}/level={level}")
         schema = seen.schema
-        children = (
+        if not counts.get["indexes"]:
+            break
+        frontier = (
             seen.where(F.size("sitemaps") > 0)
             .withColumn("above", F.array_append("above", F.col("at")))
             .select("url", "host", "path", "above", F.posexplode("sitemaps").alias("pos", "loc"))
@@ -144,9 +148,6 @@ def _levels(spark, roots: DataFrame, nodes: DataFrame) -> DataFrame:
             .agg(F.min(F.struct(F.array_append("path", F.col("pos")).alias("path"), "host", "above")).alias("_m"))
             .select("url", "_m.host", "at", "_m.path", "_m.above")
         )
-        if seen.where(F.size("sitemaps") > 0).isEmpty():
-            break
-        frontier = children
         level += 1
     everything = spark.read.schema(schema).parquet(folder)
     # A sitemap is visited once per site, at the first of its places.
