@@ -79,18 +79,22 @@ def robots_sitemaps(sites: DataFrame, captures: DataFrame) -> DataFrame:
     """``url, sitemap_url, error`` per site URL.  The status of the robots answer does
     not matter, only a failed request does."""
     robots = captures.where(capture_key("url").rlike(r"/robots\.txt(?:\?|$)"))
-    bodies = robots.groupBy(capture_key("url").alias("key")).agg(
-        F.min_by(F.struct("error", "body"), F.struct(F.col("error").isNotNull(), "url", "body")).alias(
-            "_c"
-        )
-    )
-    joined = sites.select("url", robots_url("url").alias("key")).join(bodies, "key", "left")
-    joined = add_once(joined, "_s", sitemap_from_robots("_c.body"))
-    error = F.when(F.col("_c").isNull(), F.lit(NOT_CAPTURED)).otherwise(
-        F.coalesce("_c.error", "_s.error")
+    # Read before the shuffle, which then carries one address instead of a body.
+    entries = add_once(robots, "_s", sitemap_from_robots("body")).select(
+        capture_key("url").alias("key"),
+        F.struct(
+            F.col("error").isNotNull().alias("failed"),
+            "url",
+            F.col("_s.url").alias("sitemap_url"),
+            F.coalesce("error", "_s.error").alias("error"),
+        ).alias("_c"),
     )
+    # Of several captures of one address a good one wins.
+    one = entries.groupBy("key").agg(F.min("_c").alias("_c"))
+    joined = sites.select("url", robots_url("url").alias("key")).join(one, "key", "left")
+    error = F.when(F.col("_c").isNull(), F.lit(NOT_CAPTURED)).otherwise(F.col("_c.error"))
     return joined.select(
-        "url", F.when(error.isNull(), F.col("_s.url")).alias("sitemap_url"), error.alias("error")
+        "url", F.when(error.isNull(), F.col("_c.sitemap_url")).alias("sitemap_url"), error.alias("error")
     )
 
 

@@ -2,8 +2,8 @@
 
 Files are read as splittable text.  A line's number inside its file is the count
 of lines in the file's earlier splits plus its place in its own split, so the
-only thing gathered is one small row per input split; no file and no line list
-ever passes through a single task.
+only thing gathered is one small row per input split; no file passes through a
+single task.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..frames import add_once
 from ..functions.text import trim_space
 from ..functions.urls import parse_url_checked
+from ..session import materialize
 
 INVALID_HEADER = "invalid_header"
 EMPTY_CSV = "empty_csv"
@@ -33,7 +34,7 @@ REPORT_LIMIT = 20  # rejected lines shown in a report
 
 _QUOTED = r"\"(?:[^\"]|\"\")*+\""
 _FIELD = rf"(?s),({_QUOTED}|[^\",]*+)"
-_WELL_FORMED = rf"(?s)^(?:,(?:{_QUOTED}|[^\",]*+))++$"
+_WELL_FORMED = rf"(?s)^(?:,(?:{_QUOTED}|[^\",]*+))++\z"
 
 
 class ListError(ValueError):
@@ -72,41 +73,50 @@ class CsvList:
         return self
 
 
-def _numbered_lines(
-    spark: SparkSession, path: str | list[str], skip_blank: bool, header_of
-) -> tuple[DataFrame, DataFrame]:
-    """Lines ``(file, line_index, line, header)`` without the header line, and one
-    row ``(file, header)`` per file that has a first line."""
+def _physical_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     text = spark.read.option("lineSep", "\n").text(path)
-    lines = text.select(
+    return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.regexp_replace("value", r"\r$", "").alias("line"),
     )
-    if skip_blank:
-        lines = lines.where(F.col("line") != "")
-    # The id grows by one per row inside a split, whatever runs next to it.
-    lines = lines.withColumn("row_id", F.monotonically_increasing_id())
+
+
+def _with_row_id(lines: DataFrame) -> DataFrame:
+    """Number the rows of each scan task and write them down.
+
+    The id grows by one per row inside a split.  How a scan cuts files into splits
+    depends on the cores at hand, so the lines are stored with their ids: every later
+    use sees the same cut.
+    """
+    return materialize(lines.withColumn("row_id", F.monotonically_increasing_id()))
+
+
+_BEFORE = (Window.unboundedPreceding, -1)
+_WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def _number_rows(lines: DataFrame, header_of) -> tuple[DataFrame, DataFrame]:
+    """Lines ``(file, line_index, line, header)`` without the header, and one row
+    ``(file, header)`` per file.  Lines carry ``file, split, line, row_id``."""
     splits = lines.groupBy("file", "split").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("row_id").alias("first_id"),
         F.min_by("line", "row_id").alias("first_line"),
     )
     in_file = Window.partitionBy("file").orderBy("split")
-    # One row per input split: the split count is bounded by bytes / split size.
-    offsets = splits.select(
-        "file",
-        "split",
-        (
-            F.coalesce(F.sum("n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            - F.col("first_id")
-        ).alias("shift"),
-        header_of(
-            F.first("first_line").over(
-                in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            )
-        ).alias("header"),
-        (F.row_number().over(in_file) == 1).alias("is_first"),
+    # One row per input split (bytes / split size), written so that its size is known.
+    offsets = materialize(
+        splits.select(
+            "file",
+            "split",
+            (
+                F.coalesce(F.sum("n").over(in_file.rowsBetween(*_BEFORE)), F.lit(0))
+                - F.col("first_id")
+            ).alias("shift"),
+            header_of(F.first("first_line").over(in_file.rowsBetween(*_WHOLE))).alias("header"),
+            (F.row_number().over(in_file) == 1).alias("is_first"),
+        )
     )
     numbered = lines.join(offsets, ["file", "split"]).select(
         "file",
@@ -118,6 +128,114 @@ def _numbered_lines(
     return numbered.where("line_index > 0"), headers
 
 
+def _numbered_lines(spark: SparkSession, path: str | list[str], header_of):
+    return _number_rows(_with_row_id(_physical_lines(spark, path)), header_of)
+
+
+def _numbered_records(spark: SparkSession, path: str | list[str], header_of):
+    """The same for CSV records: blank lines are none, a quoted field may span lines."""
+    lines = _physical_lines(spark, path)
+    quotes = F.length(F.regexp_replace("line", '[^"]', ""))
+    if lines.where(quotes % 2 == 1).isEmpty():  # then every line is a record
+        return _number_rows(_with_row_id(lines.where("line <> ''")), header_of)
+    return _number_joined(_join_lines(_with_row_id(lines)), header_of)
+
+
+def _number_joined(records: DataFrame, header_of) -> tuple[DataFrame, DataFrame]:
+    headers = records.where("line_index = 0").select("file", header_of(F.col("line")).alias("header"))
+    headers = materialize(headers)  # one row per file
+    return records.where("line_index > 0").join(headers, "file"), headers
+
+
+def _state_before(start: int, window) -> tuple[Column, Column]:
+    """Running count of swaps, and the state (0 outside quotes, 1 inside) before a row whose predecessors map state 0
+    to ``f0`` and state 1 to ``f1``, when the partition starts in ``start``.
+
+    A row sets the state (f0 = f1), keeps it, or swaps it.  So the state is what the
+    last setting row left, swapped once per swapping row since.
+    """
+    swap = ((F.col("f0") == 1) & (F.col("f1") == 0)).cast("int")
+    swaps_with = F.sum(swap).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    swaps_before = F.coalesce(F.sum(swap).over(window.rowsBetween(*_BEFORE)), F.lit(0))
+    anchored = F.when(F.col("f0") == F.col("f1"), (F.col("f0") + F.col("swaps")) % 2)
+    anchor = F.last(anchored, ignorenulls=True).over(window.rowsBetween(*_BEFORE))
+    return swaps_with, (F.coalesce(anchor, F.lit(start)) + swaps_before) % 2
+
+
+def _join_lines(lines: DataFrame) -> DataFrame:
+    """Records ``(file, line_index, line)`` of lines that may lie inside quotes.
+
+    Sorting and running sums stay inside one input split; what crosses splits is one
+    row per split.  A record that is never closed keeps its first line only, which is
+    then rejected as badly quoted.
+    """
+    led = F.concat(F.lit(","), F.col("line"))
+    fields = rf"(?:,(?:{_QUOTED}|[^\",]*+)(?=,|\z))*+"
+    rest = r"(?:[^\"]|\"\")*+"
+    opened = rf"(?s)^{fields},\"{rest}\z"
+    closed_inside = rf"(?s)^{rest}\"{fields}\z"
+    reopened = rf"(?s)^{rest}\"{fields},\"{rest}\z"
+    steps = lines.withColumns(
+        {
+            "f0": (~led.rlike(_WELL_FORMED) & led.rlike(opened)).cast("int"),
+            "f1": (
+                ~F.col("line").rlike(closed_inside)
+                & (F.col("line").rlike(rf"(?s)^{rest}\z") | F.col("line").rlike(reopened))
+            ).cast("int"),
+        }
+    )
+    in_split = Window.partitionBy("file", "split").orderBy("row_id")
+    swaps, _ = _state_before(0, in_split)
+    steps = steps.withColumn("swaps", swaps)
+    steps = steps.withColumns({f"b{s}": _state_before(s, in_split)[1] for s in (0, 1)})
+    after = {s: F.when(F.col(f"b{s}") == 0, F.col("f0")).otherwise(F.col("f1")) for s in (0, 1)}
+    splits = steps.groupBy("file", "split").agg(
+        F.max_by(after[0], "row_id").alias("f0"), F.max_by(after[1], "row_id").alias("f1")
+    )
+    in_file = Window.partitionBy("file").orderBy("split")
+    splits = splits.withColumn("swaps", _state_before(0, in_file)[0])
+    splits = splits.withColumn("entry", _state_before(0, in_file)[1])
+    entries = materialize(splits.select("file", "split", "entry"))
+    inside = F.when(F.col("entry") == 0, F.col("b0")).otherwise(F.col("b1"))
+    begins = (F.col("inside") == 0) & (F.col("line") != "")
+    stated = materialize(
+        steps.join(entries, ["file", "split"])
+        .withColumn("inside", inside)
+        .withColumn(
+            "ends", F.when(F.col("inside") == 0, F.col("f0")).otherwise(F.col("f1"))
+        )
+        .where((F.col("inside") == 1) | (F.col("line") != ""))
+        .withColumn("in_split", F.sum(begins.cast("int")).over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+        .select("file", "split", "row_id", "line", "inside", "ends", "in_split")
+    )
+    counts = stated.groupBy("file", "split").agg(
+        F.max("in_split").alias("n"), F.max_by("ends", "row_id").alias("ends")
+    )
+    earlier = materialize(
+        counts.select(
+            "file",
+            "split",
+            F.coalesce(F.sum("n").over(in_file.rowsBetween(*_BEFORE)), F.lit(0)).alias("earlier"),
+            F.sum("n").over(in_file.rowsBetween(*_WHOLE)).alias("all"),
+            (F.last("ends").over(in_file.rowsBetween(*_WHOLE)) == 1).alias("never_closed"),
+        )
+    )
+    index = F.col("earlier") + F.col("in_split") - 1
+    parts = (
+        stated.join(earlier, ["file", "split"])
+        .withColumn("line_index", index.cast("long"))
+        .where(~F.col("never_closed") | (F.col("line_index") < F.col("all") - 1) | (F.col("inside") == 0))
+    )
+    return parts.groupBy("file", "line_index").agg(
+        F.array_join(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("row_id", "line"))), lambda p: p["line"]
+            ),
+            "\n",
+        ).alias("line")
+    )
+
+
 def _file_names(spark: SparkSession, path: str | list[str]) -> DataFrame:
     names = spark.read.text(path).inputFiles()
     listed = spark.createDataFrame([(n,) for n in names], "file string")
@@ -163,9 +281,7 @@ def read_domains(spark: SparkSession, path: str | list[str], mode: str = "permis
     Lines are trimmed, blank ones skipped (they still count); the index is 0-based
     with the header as 0.  Rows: ``file, line_index, url, scheme, host, hostname``.
     """
-    numbered, headers = _numbered_lines(
-        spark, path, skip_blank=False, header_of=lambda line: F.array(trim_space(line))
-    )
+    numbered, headers = _numbered_lines(spark, path, lambda line: F.array(trim_space(line)))
     checked = (
         numbered.where(header_check(F.col("header"), DOMAIN_HEADER).isNull())
         .withColumn("line", trim_space("line"))
@@ -204,13 +320,13 @@ def split_names(cell: Column) -> Column:
 
 
 def read_companies(spark: SparkSession, path: str | list[str], mode: str = "permissive") -> CsvList:
-    """Company records: four columns in any order, RFC 4180 quoting, one record a line.
+    """Company records: four columns in any order, RFC 4180 quoting.
 
-    Blank lines are no records and are not counted.  A badly quoted line is
+    The index counts records; blank lines are none.  A badly quoted record is
     rejected with ``parse_error``.  Rows: ``file, line_index, id, domain,
     commercial_name, legal_name, all_available_names``.
     """
-    numbered, headers = _numbered_lines(spark, path, skip_blank=True, header_of=csv_fields)
+    numbered, headers = _numbered_records(spark, path, csv_fields)
     valid = numbered.where(header_check(F.col("header"), COMPANY_HEADER).isNull())
     fields = add_once(valid, "fields", csv_fields(F.col("line")))
 

@@ -121,6 +121,13 @@ def test_random_sites_against_a_loop(spark, limit, monkeypatch):
     assert max(len(v) for v, _ in got.values()) == 11
 
 
+def test_empty_inputs(spark):
+    none = spark.createDataFrame([], CAPTURE_SCHEMA)
+    assert ops.crawl_sites(spark.createDataFrame([], "url string"), none).sites.isEmpty()
+    one = ops.crawl_sites(spark.createDataFrame([("https://a.example",)], "url string"), none)
+    assert [r["error"] for r in one.sites.collect()] == ["not_captured"]
+
+
 def test_copies_of_a_capture_count_once(spark):
     good = ("https://a.example", 200, None, page([], "541-754-3010"))
     captures = [good] * 50 + [("https://a.example", 503, None, page([], "212-754-3010"))] * 50
