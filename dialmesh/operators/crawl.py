@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..frames import add_once, explode_positions
 from ..functions.urls import allowed_host, capture_key, parse_url_checked, url_host, visit_url
+from ..joins import lookup_join
 from ..session import BucketedTable, is_small, materialize, scratch_dir
 from ..sources.captures import visit_failed
 from .page_features import page_features
@@ -130,12 +131,11 @@ def crawl_sites(seeds: DataFrame, captures: DataFrame) -> Crawl:
     captured, failed, seen before) ends the site with what was found.
     """
     spark = seeds.sparkSession
-    parsed = add_once(
-        seeds.select(F.col("url").alias("seed")), "parsed", parse_url_checked("seed")
-    )
+    jobs = seeds.select(F.col("url").alias("seed"))
+    parsed = add_once(jobs.distinct(), "parsed", parse_url_checked("seed"))
     pages = BucketedTable(crawl_features(_visitable(parsed, captures)), "key")
     try:
-        return Crawl(_advance(spark, parsed, pages.df))
+        return Crawl(lookup_join(jobs, _advance(spark, parsed, pages.df), "seed"))
     finally:
         pages.drop()
 
@@ -153,13 +153,16 @@ def _advance(spark, parsed: DataFrame, pages: DataFrame) -> DataFrame:
     )
     folder = scratch_dir(spark)
     visit = _visit_columns()
+    live = parsed.count()
     for step in range(MAX_VISITS):
         # The count of sites that go on comes with the write, without a job of its own.
         seen = Observation()
-        counted = _visit(frontier, pages, visit).observe(seen, F.count("link").alias("live"))
+        after = _visit(frontier, live, pages, visit)
+        counted = after.observe(seen, F.count("link").alias("live"))
         done = materialize(counted, f"{folder}/step={step}")
         schema = done.schema
-        if not seen.get["live"]:
+        live = seen.get["live"]
+        if not live:
             break
         frontier = done.where("link is not null").drop("error", "phones")
     finished = spark.read.schema(schema).parquet(folder).where("link is null")
@@ -194,10 +197,16 @@ def _visit_columns() -> list[dict[str, Column]]:
     ]
 
 
-def _visit(frontier: DataFrame, pages: DataFrame, columns: list[dict[str, Column]]) -> DataFrame:
-    """One step: visit each row's link and choose the next one (NULL = finished)."""
+def _visit(
+    frontier: DataFrame, rows: int, pages: DataFrame, columns: list[dict[str, Column]]
+) -> DataFrame:
+    """One step: visit each row's link and choose the next one (NULL = finished).
+
+    Many seeds of one site may want the same page, hence the lookup join.
+    """
     address, key, *after = columns
-    hit = frontier.withColumns(address).withColumns(key).join(pages, "key", "left")
+    probes = frontier.transform(add_once, "url", address["url"]).withColumns(key)
+    hit = lookup_join(probes, pages, "key", "left", rows)
     for stage in after:
         hit = hit.withColumns(stage)
     return hit.drop("key", "url", "failure", "nav", "ok")

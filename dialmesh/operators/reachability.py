@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..joins import lookup_join
+
 SUCCESSFUL = "successful"
 FAILED = "failed"
 BAD = "bad"
@@ -21,7 +23,7 @@ def check_results(urls: DataFrame, probe_log: DataFrame) -> DataFrame:
     one = probe_log.groupBy("url").agg(
         F.min(F.struct("status", "error")).alias("_probe")
     )
-    return urls.join(one, "url", "left").select(
+    return lookup_join(urls, one, "url", "left").select(
         "idx",
         "url",
         F.when(F.col("_probe.error").isNotNull(), F.lit(0))

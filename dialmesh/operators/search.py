@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..frames import add_once
 from ..functions.names import name_tokens, term_counts
 from ..functions.phones import validate_phone
+from ..joins import lookup_join
 from ..session import is_small
 from .companies import INVALID_PARAMS, STORE_COLUMNS
 
@@ -240,9 +241,12 @@ def search_companies(store: DataFrame, queries: DataFrame, index: NameIndex | No
     hits = name_hits(index or name_index(store), by_name).unionByName(phone_hits(store, by_phone))
     found = search_result(hits, store).withColumnRenamed("query_id", "search")
     answered = found.where("rank = 1").select("search", F.lit(True).alias("_hit"))
-    status = keyed.join(answered, "search", "left").select(
+    asked = keyed.count()
+    status = lookup_join(keyed, answered, "search", "left", asked).select(
         "query_id",
         F.coalesce("error", F.when(F.col("_hit").isNull(), F.lit("not_found"))).alias("error"),
     )
-    results = keyed.select("query_id", "search").join(found, "search").drop("search")
+    results = lookup_join(keyed.select("query_id", "search"), found, "search", rows=asked).drop(
+        "search"
+    )
     return results, status

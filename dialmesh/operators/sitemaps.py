@@ -17,6 +17,7 @@ from ..functions.urls import (
     url_host,
     visit_url,
 )
+from ..joins import lookup_join
 from ..session import BucketedTable, materialize, scratch_dir
 from ..sources.captures import visit_failed
 
@@ -91,7 +92,8 @@ def robots_sitemaps(sites: DataFrame, captures: DataFrame) -> DataFrame:
     )
     # Of several captures of one address a good one wins.
     one = entries.groupBy("key").agg(F.min("_c").alias("_c"))
-    joined = sites.select("url", robots_url("url").alias("key")).join(one, "key", "left")
+    keyed = sites.select("url", robots_url("url").alias("key"))
+    joined = lookup_join(keyed, one, "key", "left")
     error = F.when(F.col("_c").isNull(), F.lit(NOT_CAPTURED)).otherwise(F.col("_c.error"))
     return joined.select(
         "url", F.when(error.isNull(), F.col("_c.sitemap_url")).alias("sitemap_url"), error.alias("error")
@@ -135,7 +137,8 @@ def _levels(spark, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     folder = scratch_dir(spark)
     level = 0
     while True:
-        joined = frontier.withColumn("key", capture_key("at")).join(nodes, "key").drop("key")
+        keyed = frontier.withColumn("key", capture_key("at"))
+        joined = lookup_join(keyed, nodes, "key").drop("key")
         counts = Observation()
         indexes = F.count_if(F.size("sitemaps") > 0).alias("indexes")
         seen = materialize(joined.observe(counts, indexes), f"{folder}/level={level}")
@@ -166,14 +169,17 @@ def _levels(spark, roots: DataFrame, nodes: DataFrame) -> DataFrame:
 def sitemap_links(sites: DataFrame, captures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Site → robots → sitemaps.  Gives the links and the sites' ``url, sitemap_url,
     error`` (an unreadable first sitemap is ``not_captured``)."""
-    roots = robots_sitemaps(sites, captures)
+    roots = materialize(robots_sitemaps(sites, captures))  # used by both results
     links = expand_sitemaps(roots, captures)
     answered = captures.where(visit_failed().isNull()).select(
         capture_key("url").alias("_key")
     ).distinct()
+    # Sites without a sitemap get a key of their own instead of sharing NULL.
+    keyed = roots.withColumn(
+        "_key", F.coalesce(capture_key("sitemap_url"), F.concat(F.lit("#"), F.col("url")))
+    )
     status = (
-        roots.withColumn("_key", capture_key("sitemap_url"))
-        .join(answered.withColumn("_hit", F.lit(True)), "_key", "left")
+        lookup_join(keyed, answered.withColumn("_hit", F.lit(True)), "_key", "left")
         .select(
             "url",
             "sitemap_url",

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..frames import add_once
 from ..functions.urls import company_id
+from ..joins import lookup_join
 from ..operators.companies import UpdateResult, update_companies
 from ..operators.crawl import phones_to_company
 from ..operators.phones import page_phones, sanitize_phones
@@ -49,8 +50,8 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
 
 def latest_phones(log: DataFrame) -> DataFrame:
     """Rows of each company's latest batch."""
-    last = log.groupBy("id").agg(F.max("batch").alias("batch"))
-    return log.join(last, ["id", "batch"])
+    last = log.groupBy("id").agg(F.max("batch").alias("_last"))
+    return lookup_join(log, last, "id").where("batch = _last").drop("_last")
 
 
 def apply_log(store: DataFrame, log: DataFrame) -> UpdateResult:

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from dialmesh import joins
 from dialmesh.operators import crawl as ops
 from dialmesh.operators.companies import STORE_SCHEMA
 from dialmesh.plans.scrape import scrape_companies
@@ -97,10 +98,12 @@ def by_hand(seeds, pages):
     return out
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_random_sites_against_a_loop(spark, limit, monkeypatch):
-    """With and without the broadcast pruning of pages by host."""
+@pytest.mark.parametrize("limit, hot", [(1_000_000, 1_000_000), (0, 2)])
+def test_random_sites_against_a_loop(spark, limit, hot, monkeypatch):
+    """With and without the broadcast pruning of pages by host, and with hot keys
+    (pages that many seeds want at once) split off."""
     monkeypatch.setattr(ops, "BROADCAST_HOSTS", limit)
+    monkeypatch.setattr(joins, "HOT_ROWS", hot)
     rng = random.Random(7)
     pages, seeds = {}, []
     for s in range(40):
@@ -115,6 +118,13 @@ def test_random_sites_against_a_loop(spark, limit, monkeypatch):
                 links = [rng.choice(urls if rng.random() < 0.95 else targets) for _ in range(rng.randint(0, 6))]
                 pages[u] = (["541-754-3010"] if rng.random() < 0.06 else [], links)
     captures = [(u, 200, None, page(links, " ".join(p))) for u, (p, links) in pages.items()]
+    # A third of all seeds lies on one host and soon asks for the same pages.
+    crowd = [f"https://s0.example/in/{i}" for i in range(20)]
+    for u in crowd:
+        pages[u] = ([], ["https://s0.example/contact"])
+    pages.setdefault("https://s0.example/contact", ([], ["https://s0.example/about"]))
+    seeds += crowd
+    captures = [(u, 200, None, page(links, " ".join(p))) for u, (p, links) in pages.items()]
     crawl = run(spark, seeds, captures)
     got = {r["seed"]: (r["links_visited"], [p["number"] for p in r["phones"]]) for r in crawl.sites.collect()}
     assert got == by_hand(seeds, pages)
