@@ -85,9 +85,16 @@ def get_companies(store: DataFrame, urls: DataFrame) -> DataFrame:
 
 
 def get_company(store: DataFrame, url: str) -> DataFrame:
-    """The one row of a URL or bare domain (a pushed-down filter on the key); no row
-    when it is not stored."""
-    return store.where(F.col("id") == company_id(F.lit(url)))
+    """The one row of a URL or bare domain; no row when it is not stored.
+
+    The key is worked out first, so that the filter on it reaches the files.
+    Raises ``ValueError`` for a bad URL.
+    """
+    asked = store.sparkSession.createDataFrame([(url,)], "url string")
+    key = asked.select(parse_url_checked("url").alias("p")).first()["p"]
+    if key["error"]:
+        raise ValueError(key["error"])
+    return store.where(F.col("id") == key["hostname"])
 
 
 @dataclass(frozen=True)

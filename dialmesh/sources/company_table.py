@@ -57,9 +57,13 @@ class CompanyTable:
         """Write the next version and switch to it."""
         folder = self._new_folder()
         staged = f"{self.name}_{uuid.uuid4().hex}"
+        rows = companies.select(*STORE_COLUMNS)
+        if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            # Rows come in another cut than the buckets': one task per bucket, else
+            # every task would write a file for each.
+            rows = rows.repartition(self.buckets, "id")
         (
-            companies.select(*STORE_COLUMNS)
-            .write.format("parquet")
+            rows.write.format("parquet")
             .bucketBy(self.buckets, "id")
             .sortBy("id")
             .option("path", folder)

@@ -52,7 +52,7 @@ def test_states_of_files(spark, tmp_path):
     write(tmp_path, "a.csv", "")
     write(tmp_path, "b.csv", "first, last\nx.example\n")
     write(tmp_path, "c.csv", "domain\n\n  \n")
-    write(tmp_path, "d.csv", "domain\nbad line\n")
+    write(tmp_path, "d é%2F.csv", "domain\nbad line\n")
     write(tmp_path, "e.csv", "domain\nx.example\n")
     out = lists.read_domains(spark, str(tmp_path))
     assert errors(out) == ["empty_csv", "invalid_header", "empty_csv", None, None]

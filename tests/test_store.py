@@ -57,6 +57,8 @@ def test_get(spark, store):
         ("", "missing_host"), ("bad host", "invalid_url")]
     assert ops.get_company(store, "http://b.example/").first()["legal_name"] == "B INC."
     assert ops.get_company(store, "none.example").isEmpty()
+    with pytest.raises(ValueError, match="invalid_url"):
+        ops.get_company(store, "bad host")
 
 
 def test_upsert_replaces_whole_records(spark, store):
@@ -125,6 +127,9 @@ def test_table_versions(spark, store, tmp_path):
     lines.write_text(header + "bad host,A,,A\n")
     with pytest.raises(ListError):
         import_companies(spark, table, str(lines))
+    # The key of a lookup reaches the files.
+    plan = ops.get_company(table.read(), "http://a.example:80/x")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,a.example)" in plan
     # A join with the store on its key shuffles only the other side.
     plan = table.read().hint("merge").join(numbers.withColumnRenamed("url", "id"), "id")._jdf.queryExecution()
     text = plan.executedPlan().toString()
