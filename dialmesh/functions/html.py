@@ -208,9 +208,41 @@ def trimmed_hrefs(hrefs: Column | str) -> Column:
     return F.transform(as_col(hrefs), trim_space)
 
 
+def _flat_nav_links(items: Column, kinds: Column) -> Column:
+    """Links below navs that do not nest; ``kinds`` has one character per item.
+
+    A link is inside when it follows a ``(`` with nothing but links between.
+    """
+    marked = F.split(F.regexp_replace(kinds, r"(?:(?<=\()|\G(?!^))a", "i"), "")
+    inside = F.filter(
+        F.zip_with(items, marked, lambda i, m: F.struct(i["href"].alias("href"), m.alias("mark"))),
+        lambda p: p["mark"] == "i",
+    )
+    return F.transform(inside, lambda p: p["href"])
+
+
 def hrefs_in_nav(tags: Column | str) -> Column:
     """Raw hrefs below each nav; a link in nested navs is listed once per nav."""
-    items = as_col(tags)
+
+    def links(items: Column) -> Column:
+        kinds = F.array_join(
+            F.transform(
+                items,
+                lambda i: F.when(i["step"] == 1, "(").when(i["step"] == -1, ")").otherwise("a"),
+            ),
+            "",
+        )
+        return bind(
+            kinds,
+            lambda k: F.when(k.rlike(r"\([^)]*\("), _nested_nav_links(items)).when(
+                k.contains("("), _flat_nav_links(items, k)
+            ),
+        )
+
+    return F.coalesce(bind(as_col(tags), links), F.array().cast("array<string>"))
+
+
+def _nested_nav_links(items: Column) -> Column:
     navs = F.filter(
         F.transform(items, lambda i, p: F.struct(p.alias("at"), i["step"].alias("step"))),
         lambda n: n["step"] != 0,
@@ -240,10 +272,9 @@ def hrefs_in_nav(tags: Column | str) -> Column:
         inside = F.slice(items, mark["at"] + 2, F.greatest(stop - mark["at"] - 1, F.lit(0)))
         return F.transform(F.filter(inside, lambda i: i["step"] == 0), lambda i: i["href"])
 
-    links = bind(
+    return bind(
         marks,
         lambda ms: F.flatten(
             F.transform(F.filter(ms, lambda m: m["step"] == 1), lambda m: inner_links(m, ms))
         ),
     )
-    return F.coalesce(links, F.array().cast("array<string>"))

@@ -118,7 +118,10 @@ def match_phones(text: Column | str) -> Column:
         # Every match ends in four digits; most texts have none and need no full scan.
         found = bind(
             phone_matches(body),
-            lambda ms: F.when(F.size(ms) > 0, with_confidence(ms, F.split(body, PHONE_PATTERN, -1))),
+            lambda ms: F.when(
+                F.size(ms) > 0,
+                bind(F.split(body, PHONE_PATTERN, -1), lambda gaps: with_confidence(ms, gaps)),
+            ),
         )
         return F.when(body.rlike("[0-9]{4}"), found)
 

@@ -50,6 +50,11 @@ LINKS = {
         ["?a=1&b=2&copy=3<", "2"], ["?a=1&b=2&copy=3<", "2"]),
     "<navbar><a href=1></navbar><nav></nav>": (["1"], []),
     "<nav/><a href=1></nav><a href=2>": (["1", "2"], ["1"]),
+    "</nav><a href=0><nav><a href=1><a href=2></nav><a href=3></nav><nav><a href=4>": (
+        ["0", "1", "2", "3", "4"], ["1", "2", "4"]),
+    "<a href=0></nav></nav><nav><nav></nav><a href=1></nav><a href=2><nav><a href=3></nav>": (
+        ["0", "1", "2", "3"], ["1", "3"]),
+    "<a href=0><a href=1>": (["0", "1"], []),
 }
 
 
@@ -126,6 +131,15 @@ def test_given_pages_against_a_parser(spark):
         assert got[page_id] == ("".join(read.text), read.nav)
 
 
+def test_long_pages(spark):
+    """Many navs, links and numbers on one page."""
+    from dialmesh.operators.page_features import page_features
+
+    page = "<nav><a href=1></a></nav>" * 20_000 + "call 541-754-3010, " * 20_000
+    row = page_features(spark.createDataFrame([(page,)], "body string")).first()
+    assert (len(row["nav"]), len(row["phones"])) == (20_000, 20_000)
+
+
 @pytest.mark.parametrize("page", ["<" * 100_000, "<p " * 50_000, "<a href='" * 30_000, "<!--" * 50_000,
                                   "<script>" * 20_000, "&" * 100_000, "<p a=" + "\"" * 50_001])
 def test_hostile_pages_stay_linear(column, page):

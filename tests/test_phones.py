@@ -147,18 +147,18 @@ def test_dedup_keeps_order_and_best_confidence(spark):
 
 def test_page_phones_raw_and_clean(spark):
     body = (
-        "<body><p>Call (510) 575-7324 or <b>666 888 0000</b></p><td>(510) 575 7324</td>"
-        "<a href='tel:+15105757324'>a</a><a href='tel: 5105757324 '>b</a>"
+        "<body><p>Call (503) 575-7321 or <b>666 888 1000</b></p><td>(503) 575 7321</td>"
+        "<a href='tel:+15035757321'>a</a><a href='tel: 5035757321 '>b</a>"
         "<a href='TEL:1'>no</a><a href=tel:888-999-0000>c</a></body>"
     )
     pages = spark.createDataFrame([("u", body)], "url string, body string")
     raw = ops.page_phones(pages, ["url"])
     assert _rows(raw.select("pos", "number", "confidence"), "pos") == [
-        (0, "(510) 575-7324", 0), (1, "666 888 0000", 0), (2, "(510) 575 7324", 0),
-        (3, "+15105757324", 2), (4, "5105757324", 2), (5, "888-999-0000", 2)]
+        (0, "(503) 575-7321", 0), (1, "666 888 1000", 0), (2, "(503) 575 7321", 0),
+        (3, "+15035757321", 2), (4, "5035757321", 2), (5, "888-999-0000", 2)]
     clean = ops.label_phones(ops.page_phones(pages, ["url"], raw=False))
     assert _rows(clean.select("pos", "number", "label"), "pos") == [
-        (0, "+1 510-575-7324", 'a[href="tel:< phone number >"]'),
+        (0, "+1 503-575-7321", 'a[href="tel:< phone number >"]'),
         (5, "+1 888-999-0000", 'a[href="tel:< phone number >"]')]
 
 
