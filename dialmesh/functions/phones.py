@@ -147,21 +147,39 @@ def validate_phone(number: Column | str, area_codes: list[str] | None = None) ->
     ``area_codes`` replaces the built-in list of codes in use.
     """
     codes = assigned_area_codes() if area_codes is None else list(area_codes)
-    text = trim_space(number)
-    digits = F.regexp_replace(text, r"[^0-9]", "")
-    clean = text.rlike(rf"^[^0-9+A-Za-z]*+\+?+[0-9{WHITE_SPACE}.()\[\]/~\-\u2010-\u2015]++$")
-    foreign = text.rlike(r"^[^0-9+A-Za-z]*+\+\s*+[02-9]")
-    national = F.regexp_replace(digits, r"^1", "")
-    plus_short = text.rlike(r"^[^0-9+A-Za-z]*+\+") & ~digits.startswith("1")
-    shaped = national.rlike(r"^[2-9][0-9]{2}[2-9][0-9]{6}$") & ~plus_short
-    # One literal instead of hundreds keeps the plan small.
-    assigned = F.find_in_set(F.substring(national, 1, 3), F.lit(",".join(codes))) > 0
-    valid = clean & shaped & assigned
-    formatted = F.regexp_replace(national, r"^(...)(...)(....)$", "+1 $1-$2-$3")
-    error = F.when(valid, F.lit(None).cast("string")).otherwise(
-        F.when(clean & foreign, F.lit(UNSUPPORTED_COUNTRY)).otherwise(F.lit(INVALID_NUMBER))
-    )
-    return F.struct(F.when(valid, formatted).alias("number"), error.alias("error"))
+
+    def parts(text: Column) -> Column:
+        digits = F.regexp_replace(text, r"[^0-9]", "")
+        clean = text.rlike(rf"^[^0-9+A-Za-z]*+\+?+[0-9{WHITE_SPACE}.()\[\]/~\-\u2010-\u2015]++$")
+        # A plus sign announces a country code, which must be 1.
+        foreign = text.rlike(r"^[^0-9+A-Za-z]*+\+") & ~digits.startswith("1")
+        return F.struct(
+            F.regexp_replace(digits, r"^1", "").alias("national"),
+            clean.alias("clean"),
+            (foreign & (digits != "")).alias("foreign"),
+        )
+
+    def checked(p: Column) -> Column:
+        shaped = p["national"].rlike(r"^[2-9][0-9]{2}[2-9][0-9]{6}$")
+        # One literal instead of hundreds keeps the plan small.
+        assigned = F.find_in_set(F.substring(p["national"], 1, 3), F.lit(",".join(codes))) > 0
+        return F.when(
+            p["clean"] & shaped & ~p["foreign"] & assigned, format_international(p["national"])
+        )
+
+    def result(p: Column) -> Column:
+        return bind(
+            checked(p),
+            lambda good: F.struct(
+                good.alias("number"),
+                F.when(good.isNotNull(), F.lit(None).cast("string"))
+                .when(p["clean"] & p["foreign"], F.lit(UNSUPPORTED_COUNTRY))
+                .otherwise(F.lit(INVALID_NUMBER))
+                .alias("error"),
+            ),
+        )
+
+    return bind(bind(trim_space(number), parts), result)
 
 
 def format_international(ten_digits: Column | str) -> Column:

@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+MAX_BUCKETS = 100_000  # Spark's own limit
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new, not yet existing folder below the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -42,7 +45,8 @@ class BucketedTable:
     def __init__(self, df: DataFrame, key: str):
         self._spark = df.sparkSession
         self._name = f"dialmesh_{uuid.uuid4().hex}"
-        buckets = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(partitions, MAX_BUCKETS)
         (
             df.write.format("parquet")
             .bucketBy(buckets, key)

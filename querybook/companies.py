@@ -83,16 +83,6 @@ def csv_rejects_query(spark, sf_dir):
     SELECT 's_name', 'invalid_header', 0, 0
     """,
 )
-@query(
-    "empty_input_check",
-    """
-    SELECT 'c_name' AS header, 'invalid_header' AS error, 0 AS good_rows, 0 AS rejected_rows
-    UNION ALL
-    SELECT 'domain', NULL, (SELECT count(*) FROM supplier), 0
-    UNION ALL
-    SELECT 's_name', 'invalid_header', 0, 0
-    """,
-)
 def header_check_query(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier")
     good = suppliers.selectExpr("'s' || s_suppkey || '.example' AS domain")
@@ -104,6 +94,35 @@ def header_check_query(spark, sf_dir):
     )
 
 
+@query(
+    "empty_input_check",
+    """
+    SELECT 'good' AS list, NULL AS error, count(*) AS good_rows, 0 AS rejected_rows FROM supplier
+    UNION ALL SELECT 'bad', NULL, 0, count(*) FROM region
+    UNION ALL SELECT 'blank', 'empty_csv', 0, 0
+    """,
+)
+def empty_input_check_query(spark, sf_dir):
+    """A list is empty without good lines, unless lines were rejected."""
+    domains = {
+        "good": ("supplier", "'s' || s_suppkey || '.example'"),
+        "bad": ("region", "'bad region ' || r_regionkey"),
+        "blank": ("nation", "CASE WHEN n_nationkey < 0 THEN 'x' ELSE '' END"),
+    }
+    states = []
+    for name, (source, line) in domains.items():
+        lines = table(spark, sf_dir, source).selectExpr(f"{line} AS domain")
+        files = read_domains(spark, _write_lines(lines)).files
+        states.append(
+            files.agg(
+                F.min("error").alias("error"),
+                F.sum("good_rows").alias("good_rows"),
+                F.sum("rejected_rows").alias("rejected_rows"),
+            ).withColumn("list", F.lit(name))
+        )
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 # The cells hold commas, quotes and blanks; some domains are bad.
 _CUSTOMER_CELLS = [
     "CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_name || ' INC.' END AS company_legal_name",
