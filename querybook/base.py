@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -17,11 +18,23 @@ class Query:
 BOOK: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(spark, sf_dir)`` under ``name``."""
+def query(name: str, sql: str | None = None, lists: tuple[str, ...] = ()):
+    """Register ``fn(spark, sf_dir)`` under ``name``.
+
+    ``lists`` names array columns; both sides show them as text, because list values
+    compare differently from client to client.
+    """
 
     def register(fn):
-        BOOK[name] = Query(fn, sql)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(spark, sf_dir).withColumns({c: F.array_join(c, " | ") for c in lists})
+
+        texts = ", ".join(
+            f"CASE WHEN {c} IS NOT NULL THEN coalesce(array_to_string({c}, ' | '), '') END AS {c}"
+            for c in lists
+        )
+        text_sql = f"SELECT * REPLACE ({texts}) FROM ({sql})" if lists and sql else sql
+        BOOK[name] = Query(run if lists else fn, text_sql)
         return fn
 
     return register

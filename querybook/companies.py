@@ -147,6 +147,7 @@ def company_list(spark, sf_dir):
            [c_name, c_mktsegment, 'x'] AS all_available_names
     FROM customer WHERE c_custkey % 13 <> 5
     """,
+    lists=("all_available_names",),
 )
 def read_companies_query(spark, sf_dir):
     return company_list(spark, sf_dir).rows.drop("file", "line_index")
@@ -208,6 +209,7 @@ _IMPORT_KEY = "o_custkey + CASE WHEN o_orderkey % 50 = 0 THEN 1000000 ELSE 0 END
     SELECT * FROM ({_SQL_STORE}) WHERE id NOT IN (SELECT id FROM fresh)
     UNION ALL SELECT * FROM fresh
     """,
+    lists=("all_available_names", "phone_numbers"),
 )
 def upsert_companies_query(spark, sf_dir):
     return upsert_companies(
@@ -233,6 +235,7 @@ def _imported_orders(spark, sf_dir):
            CASE WHEN s_suppkey % 2 = 1 THEN ['+1 541-754-3010'] END AS phone_numbers
     FROM supplier
     """,
+    lists=("all_available_names", "phone_numbers"),
 )
 def create_company_table_query(spark, sf_dir):
     """Create, import a list file, import it again, then merge phone numbers."""
@@ -292,6 +295,7 @@ def company_json_query(spark, sf_dir):
            CASE WHEN s_suppkey % 3 = 0 THEN ['+1 541-754-3010'] END AS phone_numbers
     FROM supplier
     """,
+    lists=("all_available_names", "phone_numbers"),
 )
 def parse_company_json_query(spark, sf_dir):
     documents = company_json_query(spark, sf_dir)
@@ -324,6 +328,7 @@ _LOOKUP = """
            CASE WHEN k IS NULL THEN 'invalid_url' WHEN s.id IS NULL THEN 'not_found' END AS error
     FROM keys LEFT JOIN ({_SQL_STORE}) s ON s.id = 'c' || k || '.example'
     """,
+    lists=("all_available_names", "phone_numbers"),
 )
 def get_company_query(spark, sf_dir):
     urls = table(spark, sf_dir, "orders").selectExpr(f"{_LOOKUP} AS url")
@@ -368,6 +373,7 @@ _LAST = f"""
                 ELSE ['+1 541-754-' || l.phone, 'x'] END AS phone_numbers
     FROM ({_SQL_STORE}) s LEFT JOIN ({_LAST}) l ON l.id = s.id
     """,
+    lists=("all_available_names", "phone_numbers"),
 )
 def update_field_query(spark, sf_dir):
     return update_fields(customer_store(spark, sf_dir), _changes(spark, sf_dir), "o_orderkey").store
@@ -403,6 +409,7 @@ def update_field_rejects_query(spark, sf_dir):
            CASE WHEN l.phone IS NULL THEN s.phone_numbers ELSE ['n' || l.phone] END AS phone_numbers
     FROM ({_SQL_STORE}) s LEFT JOIN l ON l.id = s.id
     """,
+    lists=("all_available_names", "phone_numbers"),
 )
 def update_companies_query(spark, sf_dir):
     updates = table(spark, sf_dir, "orders").selectExpr(

@@ -171,7 +171,7 @@ def crawl_stats_query(spark, sf_dir):
 _NUMBERS = f"SELECT seed AS url, list(number ORDER BY pos) AS phone_numbers FROM ({_LONG_PHONES}) GROUP BY seed"
 
 
-@query("phones_to_company", _NUMBERS)
+@query("phones_to_company", _NUMBERS, lists=("phone_numbers",))
 def phones_to_company_query(spark, sf_dir):
     return phones_to_company(long_crawl(spark, sf_dir).phones())
 
@@ -182,6 +182,7 @@ def phones_to_company_query(spark, sf_dir):
     SELECT 's' || s_suppkey || '.example' AS id, s_name AS commercial_name, n.phone_numbers
     FROM supplier LEFT JOIN ({_NUMBERS}) n ON n.url = 'https://s' || s_suppkey || '.example'
     """,
+    lists=("phone_numbers",),
 )
 def scrape_companies_query(spark, sf_dir):
     store = table(spark, sf_dir, "supplier").selectExpr(
@@ -364,6 +365,7 @@ _STREAM_ROWS = f"""
     LEFT JOIN (SELECT id, list(number ORDER BY place) AS phone_numbers FROM ({_STREAM_ROWS}) GROUP BY id) n
       ON n.id = h.id
     """,
+    lists=("phone_numbers",),
 )
 def stream_scrape_updates_query(spark, sf_dir):
     """The pages as a stream of files into the log, then into a store of all hosts."""
