@@ -76,7 +76,7 @@ def get_companies(store: DataFrame, urls: DataFrame) -> DataFrame:
     # Bad URLs have no key; a stand-in of their own keeps them off one NULL partition.
     keyed = keyed.withColumn("_key", F.coalesce("id", F.concat(F.lit("#"), F.col("url"))))
     stored = store.select(F.col("id").alias("_key"), *FIELDS, F.lit(True).alias("_hit"))
-    return lookup_join(keyed, stored, "_key", "left").select(
+    return lookup_join(keyed, stored, "_key", "left", urls.count()).select(
         "url",
         "id",
         *FIELDS,

@@ -132,7 +132,8 @@ def crawl_sites(seeds: DataFrame, captures: DataFrame) -> Crawl:
     """
     spark = seeds.sparkSession
     jobs = seeds.select(F.col("url").alias("seed"))
-    parsed = add_once(jobs.distinct(), "parsed", parse_url_checked("seed"))
+    # Parsed once, as the pages' hosts, the count and the first step all ask for it.
+    parsed = materialize(add_once(jobs.distinct(), "parsed", parse_url_checked("seed")))
     pages = BucketedTable(crawl_features(_visitable(parsed, captures)), "key")
     try:
         return Crawl(lookup_join(jobs, _advance(spark, parsed, pages.df), "seed"))
@@ -153,7 +154,7 @@ def _advance(spark, parsed: DataFrame, pages: DataFrame) -> DataFrame:
     )
     folder = scratch_dir(spark)
     visit = _visit_columns()
-    live = parsed.count()
+    live = parsed.select("seed").count()
     for step in range(MAX_VISITS):
         # The count of sites that go on comes with the write, without a job of its own.
         seen = Observation()

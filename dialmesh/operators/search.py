@@ -241,7 +241,7 @@ def search_companies(store: DataFrame, queries: DataFrame, index: NameIndex | No
     hits = name_hits(index or name_index(store), by_name).unionByName(phone_hits(store, by_phone))
     found = search_result(hits, store).withColumnRenamed("query_id", "search")
     answered = found.where("rank = 1").select("search", F.lit(True).alias("_hit"))
-    asked = keyed.count()
+    asked = queries.count()
     status = lookup_join(keyed, answered, "search", "left", asked).select(
         "query_id",
         F.coalesce("error", F.when(F.col("_hit").isNull(), F.lit("not_found"))).alias("error"),

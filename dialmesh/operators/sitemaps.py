@@ -135,15 +135,16 @@ def _levels(spark, roots: DataFrame, nodes: DataFrame) -> DataFrame:
         F.array().cast("array<string>").alias("above"),
     )
     folder = scratch_dir(spark)
-    level = 0
+    level, rows = 0, roots.count()
     while True:
         keyed = frontier.withColumn("key", capture_key("at"))
-        joined = lookup_join(keyed, nodes, "key").drop("key")
+        joined = lookup_join(keyed, nodes, "key", rows=rows).drop("key")
         counts = Observation()
-        indexes = F.count_if(F.size("sitemaps") > 0).alias("indexes")
-        seen = materialize(joined.observe(counts, indexes), f"{folder}/level={level}")
+        listed = F.sum(F.size("sitemaps")).alias("listed")
+        seen = materialize(joined.observe(counts, listed), f"{folder}/level={level}")
         schema = seen.schema
-        if not counts.get["indexes"]:
+        rows = counts.get["listed"]  # no fewer than the next level has
+        if not rows:
             break
         frontier = (
             seen.where(F.size("sitemaps") > 0)
