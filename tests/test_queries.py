@@ -4,7 +4,8 @@ import duckdb
 import pytest
 
 import check_oracles
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from querybook import BOOK
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,10 +25,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(BOOK) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(BOOK))
 def test_query(spark, db, name):
     outcome = check_oracles.compare(spark, db, SF_DIR, name)
     assert " ok " in outcome, outcome
