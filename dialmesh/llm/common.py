@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,11 @@ WHITE = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.sparkContext.master.startswith("local["):  # else the package is shipped with the job
+        root = str(Path(__file__).parents[2])
+        known = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+        if root not in known.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
 from .common import table
+from .embedding_dedup import embedding_duplicates
 from .packing import pack, token_pieces
 from .piece_digests import piece_digests
+from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .token_files import read_token_files, write_token_files
 from .tokenizers_files import public_path
@@ -15,6 +17,10 @@ from .tokenizers_files import public_path
 CAPACITY = 4096
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_dir(spark)}/tokens"
     path = public_path("byte_bpe_50k.json")
@@ -26,6 +32,10 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_path("piece_bpe_32k.model")
     return count_tokens(table(spark, sf_dir, "documents"), path, limit=CAPACITY)
@@ -37,8 +47,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_files": op3_token_files,
     "op7_piece_codec": op7_piece_codec,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
 }
