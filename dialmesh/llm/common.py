@@ -6,11 +6,14 @@ import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A word is a run of anything but blank, tab, line feed, vertical tab, form feed and return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+SLICE_BYTES = 8_000_000  # text handled at a time
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -38,5 +41,12 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def empty_if_null(array: pa.Array) -> pa.Array:
-    return array.fill_null("")
+def slices(*columns: pa.Array):
+    """Batches cut so that the first column, of strings, holds about SLICE_BYTES."""
+    sizes = np.cumsum(pc.binary_length(columns[0]).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(sizes):
+        base = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, "right")))
+        yield [c.slice(at, end - at) for c in columns]
+        at = end

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_dir
 from .common import table
 from .embedding_dedup import embedding_duplicates
+from .minhash_dedup import near_duplicates
 from .packing import pack, token_pieces
 from .piece_digests import piece_digests
 from .substring_dedup import remove_repeats
@@ -28,6 +29,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, with_ids=False)
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"))
 
@@ -49,6 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_files": op3_token_files,
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op7_piece_codec": op7_piece_codec,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,

@@ -25,24 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import BucketedTable, materialize
-from .common import map_batches
+from .common import map_batches, slices
 from .word_hashes import split_words, window_hashes
 
 SIZE = 35
 GRAM = 8
 HOT_STRINGS = 128  # different strings of one minimiser in a bucket
-SLICE_BYTES = 8_000_000
-
-
-def _slices(*columns: pa.Array):
-    """Batches cut so that the first column, of strings, holds about SLICE_BYTES."""
-    sizes = np.cumsum(pc.binary_length(columns[0]).to_numpy(zero_copy_only=False), dtype=np.int64)
-    at = 0
-    while at < len(sizes):
-        base = sizes[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, "right")))
-        yield [c.slice(at, end - at) for c in columns]
-        at = end
 
 
 def _super_kmers(words, size: int):
@@ -139,7 +127,7 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind: pa.DataType) ->
 def _summaries(size: int):
     def step(batch):
         keys, texts, ids, marks = batch.columns
-        for texts, keys, ids, marks in _slices(texts, keys, ids, marks):
+        for texts, keys, ids, marks in slices(texts, keys, ids, marks):
             words = split_words(texts)
             n = len(texts)
             document, start, _, minimiser, repeats = _super_kmers(words, size)
@@ -175,7 +163,7 @@ def _packed(words, start: np.ndarray, windows: np.ndarray, size: int) -> list[me
 
 def _places(size: int):
     def step(batch):
-        for texts, starts, ids, marks in _slices(*batch.columns):
+        for texts, starts, ids, marks in slices(*batch.columns):
             words = split_words(texts)
             document, start, local, windows, minimiser = _chosen(words, starts, size)
             strings = _packed(words, start, windows, size)
@@ -217,7 +205,7 @@ def _repeated_windows(found: DataFrame, places: DataFrame, size: int, hot: int)
 
 def _strings(size: int):
     def step(batch):
-        for texts, sent in _slices(*batch.columns):
+        for texts, sent in slices(*batch.columns):
             rows = sent.flatten()
             owner = np.repeat(np.arange(len(sent)), np.diff(sent.offsets.to_numpy()))
             start, n, is_hot = (rows.field(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -295,7 +283,7 @@ def _cut(size: int):
     def step(batch):
         same = pc.equal(batch.column(3), batch.column(4))
         texts, covers, ids, marks, _ = batch.filter(same).columns
-        for texts, covers, ids, marks in _slices(texts, covers, ids, marks):
+        for texts, covers, ids, marks in slices(texts, covers, ids, marks):
             words = split_words(texts)
             buffer, at = words.joined()
             spans = covers.flatten()
