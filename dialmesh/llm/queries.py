@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from .common import table
@@ -14,10 +15,32 @@ from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .token_files import read_token_files, write_token_files
 from .tokenizers_files import public_path
+from .toxicity import score_toxicity, toxic_by_language, train
 
 CAPACITY = 4096
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """Rows whose labels nothing may be learned from."""
+    return F.crc32(F.col(key).cast("string")) % 5 == 0
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    return train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(spark, docs, sf_dir)
+    return score_toxicity(docs, model, ["doc_id", "lang"]).select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.coalesce(toxic_by_language("score", "lang", model), F.lit(False)).alias("over_threshold"),
+    )
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -52,6 +75,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_files": op3_token_files,
     "op4_minhash_dedup": op4_minhash_dedup,

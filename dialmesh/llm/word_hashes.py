@@ -69,7 +69,11 @@ class Words:
         return memoryview(np.insert(self.data[inside], ends, 32).tobytes()), at
 
 
-def split_words(texts: pa.Array, lower: bool = False) -> Words:
+#: White space, control characters and ASCII marks: what is left are letters and digits.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def split_words(texts: pa.Array, lower: bool = False, separates: np.ndarray = _SEPARATES) -> Words:
     """Words of a string array without nulls; ``lower`` makes A-Z small first."""
     n = len(texts)
     buffers = texts.buffers()
@@ -79,7 +83,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     offsets = offsets - offsets[0] if n else np.zeros(1, np.int64)
     if lower:
         data = _SMALL[data]
-    inside = ~_SEPARATES[data]
+    inside = ~separates[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     stops = inside.copy()
