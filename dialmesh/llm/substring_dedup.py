@@ -10,7 +10,9 @@ minimiser, where equal windows must meet; sorting counts them exactly.
 * Equal strings are counted together before they go to a bucket and stand there once,
   so copies of a document weigh nothing.
 * A minimiser with very many different strings (a passage within many documents) is hot:
-  its windows go by a 128-bit fingerprint of their own instead, so no bucket is large.
+  its strings are dealt over several buckets.  Each finds what repeats within itself, and
+  only what it has found once there, and one fingerprint (128 bits) of what it has found
+  repeated, meet those of the other buckets of that minimiser.
 """
 
 from __future__ import annotations
@@ -183,24 +185,31 @@ def _repeated_windows(found: DataFrame, places: DataFrame, size: int, hot: int)
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "start")).alias("one")
     ))
     per_bucket = different.groupBy("minimiser").agg(F.count(F.lit(1)).alias("strings"))
-    hot_ones = materialize(per_bucket.where(F.col("strings") > hot).select("minimiser", F.lit(True).alias("hot")))
-    different = different.join(hot_ones, "minimiser", "left")
+    hot_ones = materialize(per_bucket.where(F.col("strings") > hot))
+    dealt = F.ceil(F.col("strings") / hot).cast("int")
+    different = different.join(hot_ones, "minimiser", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("string_id"), dealt) + 1, F.lit(0)).cast("int")
+    )
     senders = different.groupBy(F.col("one.id").alias("id"), F.col("one.mark").alias("sender")).agg(
-        F.collect_list(F.struct("one.start", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("sent")
+        F.collect_list(F.struct("one.start", "n", "salt")).alias("sent")
     )
     sent = found.select("id", "mark", "text").join(senders, "id").where("mark = sender").select("text", "sent")
-    strings = materialize(map_batches(
-        sent, lambda: _strings(size),
-        "minimiser bigint, string_id binary, n bigint, packed string, windows array<binary>",
-    ).where("n > 0"))
-    strings = strings.dropDuplicates(["string_id"])
-    buckets = strings.where("packed is not null").select("minimiser", "string_id", "n", "packed")
-    buckets = buckets.repartition("minimiser").sortWithinPartitions("minimiser")
-    counted = buckets.mapInArrow(_count_windows(size), "string_id binary, windows array<int>")
-    single = strings.where("packed is null").select("string_id", "n", F.posexplode("windows").alias("window", "print"))
-    often = materialize(single.groupBy("print").agg(F.sum("n").alias("n")).where("n > 1").select("print"))
-    single = single.join(often, "print", "left_semi").groupBy("string_id").agg(F.collect_list("window").alias("windows"))
-    return counted.unionByName(single)
+    strings = map_batches(
+        sent, lambda: _strings(size), "minimiser bigint, salt int, string_id binary, n bigint, packed string"
+    )
+    buckets = strings.repartition("minimiser", "salt").sortWithinPartitions("minimiser", "salt")
+    counted = materialize(buckets.mapInArrow(
+        _count_windows(size),
+        "string_id binary, windows array<int>, open_at array<int>, open array<binary>, seen array<binary>",
+    ))
+    here = counted.where("windows is not null").select("string_id", "windows")
+    once = counted.where("open is not null").select("string_id", F.explode(F.arrays_zip("open", "open_at")).alias("w"))
+    once = once.select("string_id", F.col("w.open").alias("print"), F.col("w.open_at").alias("window"))
+    twice = counted.where("seen is not null").select(F.explode("seen").alias("print"), F.lit(2).alias("n"))
+    met = once.select("print", F.lit(1).alias("n")).unionByName(twice).groupBy("print").agg(F.sum("n").alias("n"))
+    met = materialize(met.where("n > 1").select("print"))
+    elsewhere = once.join(met, "print", "left_semi").groupBy("string_id").agg(F.collect_list("window").alias("windows"))
+    return here.unionByName(elsewhere)
 
 
 def _strings(size: int):
@@ -208,40 +217,33 @@ def _strings(size: int):
         for texts, sent in slices(*batch.columns):
             rows = sent.flatten()
             owner = np.repeat(np.arange(len(sent)), np.diff(sent.offsets.to_numpy()))
-            start, n, is_hot = (rows.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            start, n, salt = (rows.field(i).to_numpy() for i in range(3))
             words = split_words(texts)
             document, first, local, windows, minimiser = _chosen(
                 words, _lists(start, owner, len(sent), pa.int32()), size
             )
-            order = np.argsort((owner << 32) + start)
-            of = order[np.searchsorted(((owner << 32) + start)[order], (document << 32) + local)]
+            wanted = (owner << 32) + start
+            order = np.argsort(wanted)
+            of = order[np.searchsorted(wanted[order], (document << 32) + local)]
             strings = _packed(words, first, windows, size)
-            buffer, at = words.joined()
-            prints = [
-                [xxhash.xxh3_128_digest(buffer[at[w] : at[w + size] - 1]) for w in range(f, f + k)] if h else None
-                for f, k, h in zip(first.tolist(), windows.tolist(), is_hot[of].tolist())
-            ]
-            packed = [None if h else bytes(s).decode() for s, h in zip(strings, is_hot[of].tolist())]
             yield [
-                pa.array(minimiser.view(np.int64), pa.int64()),
+                pa.array(minimiser.view(np.int64), pa.int64()), pa.array(salt[of], pa.int32()),
                 pa.array([xxhash.xxh3_128_digest(s) for s in strings], pa.binary()),
-                pa.array(n[of], pa.int64()), pa.array(packed, pa.string()),
-                pa.array(prints, pa.list_(pa.binary())),
+                pa.array(n[of], pa.int64()), pa.array([bytes(s).decode() for s in strings], pa.string()),
             ]
 
     return step
 
 
 def _count_windows(size: int):
-    """From strings sorted by minimiser, of which a bounded number share one."""
+    """From strings sorted by bucket, of which a bounded number share one."""
 
     def run(batches):
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table])
-            minimiser = table.column(0).to_numpy()
-            ends = np.flatnonzero(np.diff(minimiser))  # a bucket is whole once the next began
+            ends = np.flatnonzero(_bucket_ends(table))  # a bucket is whole once the next began
             if not len(ends):
                 rest = table
                 continue
@@ -253,30 +255,64 @@ def _count_windows(size: int):
     return run
 
 
+def _bucket_ends(table: pa.Table) -> np.ndarray:
+    minimiser, salt = table.column(0).to_numpy(), table.column(1).to_numpy()
+    return (minimiser[1:] != minimiser[:-1]) | (salt[1:] != salt[:-1])
+
+
 def _windows_of(table: pa.Table, size: int):
-    packed = pc.split_pattern(table.column(3).combine_chunks(), " ")
-    ends = packed.offsets.to_numpy()[1:] - packed.offsets.to_numpy()[0]
-    words = packed.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+    packed = table.column(4).combine_chunks()
+    parts = pc.split_pattern(packed, " ")
+    ends = parts.offsets.to_numpy()[1:] - parts.offsets.to_numpy()[0]
+    classes, width = parts.flatten().dictionary_encode().indices.to_numpy().astype(np.int64), 1
     # classes of equal sequences of 1, 2, 4 ... words from each word on, by sorting pairs
-    classes, width = words, 1
     while width < size:
         step = min(width, size - width)
         ahead = np.append(classes[step:], np.zeros(step, np.int64))[: len(classes)]
         classes = np.unique(classes * (classes.max() + 1) + ahead, return_inverse=True)[1]
         width += step
+    # equal windows of different buckets of one minimiser are counted later
+    bucket = np.r_[0, np.cumsum(_bucket_ends(table))]
     lengths = np.diff(np.r_[0, ends])
     string = np.repeat(np.arange(len(ends)), lengths)
-    place = np.arange(len(words)) - np.repeat(ends - lengths, lengths)
+    place = np.arange(len(classes)) - np.repeat(ends - lengths, lengths)
     window = np.flatnonzero(place + size <= lengths[string])
-    weight = np.bincount(classes[window], weights=table.column(2).to_numpy()[string[window]])
-    window = window[weight[classes[window]] > 1]
-    if len(window):
-        listed, at = np.unique(string[window], return_index=True)
-        windows = pa.ListArray.from_arrays(
-            pa.array(np.r_[at, len(window)].astype(np.int32)), pa.array(place[window], pa.int32())
+    owner = string[window]
+    _, one, same = np.unique(
+        classes[window] * (bucket[-1] + 1) + bucket[owner], return_index=True, return_inverse=True
+    )
+    often = np.bincount(same, weights=table.column(3).to_numpy()[owner]) > 1
+    repeated = often[same]
+    dealt = table.column(1).to_numpy()[owner] > 0
+    is_open = dealt & ~repeated
+    seen = one[often & dealt[one]]
+    words = split_words(packed)
+    buffer, at = words.joined()
+
+    def prints(chosen: np.ndarray) -> pa.Array:
+        begin, end = at[window[chosen]], at[window[chosen] + size] - 1
+        return pa.array([xxhash.xxh3_128_digest(buffer[a:b]) for a, b in zip(begin.tolist(), end.tolist())], pa.binary())
+
+    def lists(chosen: np.ndarray, values: pa.Array) -> pa.Array:
+        has, first = np.unique(owner[chosen], return_index=True)
+        made = pa.ListArray.from_arrays(pa.array(np.r_[first, len(chosen)].astype(np.int32)), values)
+        back = np.full(len(lengths), -1)
+        back[has] = np.arange(len(has))
+        return made.take(pa.array(back, mask=back < 0))
+
+    hits, opened = np.flatnonzero(repeated), np.flatnonzero(is_open)
+    names = ["string_id", "windows", "open_at", "open", "seen"]
+    no_seen = pa.nulls(len(lengths), pa.list_(pa.binary()))
+    yield pa.RecordBatch.from_arrays([
+        table.column(2).combine_chunks(), lists(hits, pa.array(place[window[hits]], pa.int32())),
+        lists(opened, pa.array(place[window[opened]], pa.int32())), lists(opened, prints(opened)), no_seen,
+    ], names)
+    if len(seen):
+        none = pa.nulls(1, pa.list_(pa.int32()))
+        listed = pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()), prints(seen))
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.binary()), none, none, pa.nulls(1, pa.list_(pa.binary())), listed], names
         )
-        names = table.column(1).combine_chunks().take(pa.array(listed))
-        yield pa.RecordBatch.from_arrays([names, windows], ["string_id", "windows"])
 
 
 def _cut(size: int):
