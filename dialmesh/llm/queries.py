@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from .common import table
 from .embedding_dedup import embedding_duplicates
 from .minhash_dedup import near_duplicates
 from .packing import pack, token_pieces
 from .piece_digests import piece_digests
+from .quality_rules import base_failed, learn_rules, text_statistics, verdict
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .token_files import read_token_files, write_token_files
@@ -56,6 +57,14 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    statistics = materialize(text_statistics(table(spark, sf_dir, "documents")))
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "quality")
+    rules = learn_rules(statistics.join(labels, "doc_id"))
+    judged = statistics.withColumn("base_failed", base_failed())
+    return judged.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"))
 
@@ -79,6 +88,7 @@ QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_files": op3_token_files,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op6_quality_rules": op6_quality_rules,
     "op7_piece_codec": op7_piece_codec,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
