@@ -12,6 +12,7 @@ from .minhash_dedup import near_duplicates
 from .packing import pack, token_pieces
 from .piece_digests import piece_digests
 from .quality_rules import base_failed, learn_rules, text_statistics, verdict
+from .secret_scan import common_words, find, label_by_format, score_findings, train_forest
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .token_files import read_token_files, write_token_files
@@ -57,6 +58,24 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def secret_forest(findings: DataFrame):
+    """The tables hold no labelled findings: those that a strict format decides are labelled."""
+    labelled = findings.where(~held_out()).withColumn("label", label_by_format(F.col("found")))
+    return train_forest(labelled, common_words(findings))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    findings = materialize(find(table(spark, sf_dir, "documents")))
+    return score_findings(findings, secret_forest(findings)).select(
+        "doc_id",
+        F.col("found.start").cast("long").alias("start"),
+        F.length("found.value").cast("long").alias("length"),
+        F.sha2("found.value", 256).alias("value_sha256"),
+        F.round("score", 6).alias("score"),
+        "is_secret",
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     statistics = materialize(text_statistics(table(spark, sf_dir, "documents")))
     labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "quality")
@@ -88,6 +107,7 @@ QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_files": op3_token_files,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_piece_codec": op7_piece_codec,
     "op8_substring_dedup": op8_substring_dedup,
