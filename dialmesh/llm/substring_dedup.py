@@ -67,17 +67,45 @@ def _super_kmers(words, size: int):
 
 
 def remove_repeats(
-    docs: DataFrame, size: int = SIZE, hot: int = HOT_STRINGS, key: str = "doc_id", text: str = "text",
-    with_text: bool = False,
+    docs: DataFrame, size: int = SIZE, hot: int = HOT_STRINGS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key, n_words, n_removed, kept_sha256`` and, if wanted, ``kept_text`` of each row.
+    """``key, n_words, n_removed, kept_sha256`` of each row.
 
     A word is removed when a window that covers it has a word sequence that starts anywhere
     else too, in the same document or another; windows are judged on the input.  Kept words
-    are joined by one blank.  ``kept_text`` is null for a text that loses nothing.  Null
-    texts count as empty; texts shorter than a window lose nothing.  Rows may share a key or
-    have none, and a repeated row is a document of its own, so all its windows repeat.
+    are joined by one blank.  Null texts count as empty; texts shorter than a window lose
+    nothing.  Rows may share a key or have none, and a repeated row is a document of its
+    own, so all its windows repeat.
     """
+    summary, cut = _repeats(docs, size, hot, key, text)
+    cut = cut.drop("kept_text").dropDuplicates(["id", "mark"])
+    result = summary.select("key", "id", "mark", "n_words", "kept_sha256").join(cut, ["id", "mark"], "left")
+    return result.select(
+        F.col("key").alias(key), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("sha", "kept_sha256").alias("kept_sha256"),
+    )
+
+
+def cut_repeats(
+    docs: DataFrame, size: int = SIZE, hot: int = HOT_STRINGS, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` without the words that ``remove_repeats`` removes.
+
+    Texts that lose nothing, null ones included, stay as they are, as do all other columns;
+    what is left of the others are words joined by one blank.
+    """
+    _, cut = _repeats(docs, size, hot, key, text)
+    cut = cut.dropDuplicates(["id", "mark"]).select(
+        F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("kept_text").alias("__kept")
+    )
+    plain = F.coalesce(F.col(text), F.lit(""))
+    names = [c.alias(n) for c, n in zip(row_id(key, plain), ("__id", "__mark"))]
+    rows = docs.select("*", *names).join(cut, ["__id", "__mark"], "left")
+    return rows.select(*(F.coalesce("__kept", c).alias(c) if c == text else F.col(c) for c in docs.columns))
+
+
+def _repeats(docs: DataFrame, size: int, hot: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """A summary of every row, and what is left of those that lose words."""
     kind = docs.schema[key].dataType.simpleString()
     plain = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.col(key).alias("key"), plain.alias("text"), *row_id(key, plain))
@@ -105,14 +133,7 @@ def remove_repeats(
         found.df.select("text", "id", "mark").join(covers, "id").select("text", "covers", "id", "mark", "cover_mark"),
         lambda: _cut(size), "id bigint, mark bigint, n_removed bigint, sha string, kept_text string",
     )
-    if not with_text:
-        cut = cut.drop("kept_text")
-    cut = cut.dropDuplicates(["id", "mark"])
-    result = summary.select("key", "id", "mark", "n_words", "kept_sha256").join(cut, ["id", "mark"], "left")
-    return result.select(
-        F.col("key").alias(key), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("sha", "kept_sha256").alias("kept_sha256"), *cut.columns[4:],
-    )
+    return summary, cut
 
 
 def row_id(key: str, text: Column) -> list[Column]:
