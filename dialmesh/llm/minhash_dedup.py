@@ -9,11 +9,11 @@ adapts: it starts at three values and grows where a region holds more than
 1. Documents with equal sets are one class with one representative.
 2. In each region every member is paired with the smallest; these pairs are confirmed on
    full sets and linked documents put together.
-3. Regions that still hold several components try all their pairs across components whose
-   signatures and sizes leave a link possible; these too are confirmed.
+3. In regions that still hold several components, documents that signatures and sizes let
+   link with another component meet again with their full sets, in the task of the region,
+   which gives only the links that join components.
 
-So within a region no link is missed, and pairs are never made among documents that are
-already together.
+So within a region no link is missed, and no pairs leave a task but one per document.
 """
 
 from __future__ import annotations
@@ -101,11 +101,11 @@ def near_duplicates(
     sets = _sets(texts, ends)
     links = materialize(_confirmed(star, sets, percent))
     part = materialize(connected_components(links))
-    across = materialize(_across(regions, part, classes, percent).distinct())
-    more = materialize(_confirmed(across.join(star, ["a", "b"], "left_anti"), sets, percent))
+    more = materialize(_across(regions, part, classes, sets, percent))
     sets.drop()
     if not more.isEmpty():
-        part = materialize(connected_components(links.unionByName(more)))
+        joined = part.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        part = materialize(connected_components(joined.unionByName(more)))
     part = part.withColumnRenamed("node", "one")
     result = (
         signed.select("id", "n", "print", "print2")
@@ -235,25 +235,49 @@ def _confirmed(pairs: DataFrame, sets: BucketedTable, percent: int) -> DataFrame
     return map_batches(both, make, "a bigint, b bigint")
 
 
-def _across(regions: DataFrame, part: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of one region and different components that may link."""
+def _across(regions: DataFrame, part: DataFrame, classes: DataFrame, sets: BucketedTable, percent: int) -> DataFrame:
+    """Links ``a, b`` that join different components of one region."""
     placed = regions.join(part.withColumnRenamed("node", "one"), "one", "left")
     placed = placed.select("region", "one", F.coalesce("component", "one").alias("component"))
     split = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = materialize(split.where("low != high").select("region"))
-    open_rows = placed.join(split, "region").join(classes.select("one", "n", "signature"), "one")
-
-    def pairs(members: pa.Table) -> pa.Table:
-        members = members.sort_by("one")
-        one, component, n = (members.column(c).to_numpy() for c in ("one", "component", "n"))
-        rows = np.frombuffer(b"".join(members.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
-        a, b = [], []
-        for i in range(len(one) - 1):
-            equal = (rows[i + 1 :] == rows[i]).sum(1) >= LEAST_EQUAL
-            small, large = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
-            hits = np.flatnonzero(equal & (component[i + 1 :] != component[i]) & (100 * small >= percent * large))
-            a += [one[i]] * len(hits)
-            b += one[i + 1 + hits].tolist()
+    members = placed.join(split, "region").join(classes.select("one", "n", "signature"), "one")
+
+    def involved(region: pa.Table) -> pa.Table:
+        possible = np.zeros(len(region), bool)
+        for i, partners in _possible(region, percent):
+            possible[i] = possible[partners] = True
+        return region.filter(pa.array(possible))
+
+    def links(region: pa.Table) -> pa.Table:
+        ones, component = region.column("one").to_numpy(), region.column("component").to_numpy().copy()
+        shingles = [np.frombuffer(s.as_buffer(), np.uint64) for s in region.column("shingles")]
+        found = []
+        for i, partners in _possible(region, percent):
+            for j in partners.tolist():
+                if component[i] == component[j]:
+                    continue
+                a, b = shingles[i], shingles[j]
+                joint = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * joint >= percent * (len(a) + len(b) - joint):
+                    found.append((ones[i], ones[j]))
+                    component[component == component[j]] = component[i]
+        a, b = zip(*found) if found else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return open_rows.groupBy("region").applyInArrow(pairs, "a bigint, b bigint")
+    kind = "region bigint, one bigint, component bigint, n bigint, signature binary"
+    members = members.select("region", "one", "component", "n", "signature")
+    open_rows = materialize(members.groupBy("region").applyInArrow(involved, kind))
+    with_sets = open_rows.join(sets.df.select("one", "shingles"), "one")
+    return with_sets.groupBy("region").applyInArrow(links, "a bigint, b bigint")
+
+
+def _possible(region: pa.Table, percent: int):
+    """Each row with the later ones of other components that it may link with."""
+    component, n = region.column("component").to_numpy(), region.column("n").to_numpy()
+    rows = np.frombuffer(b"".join(region.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
+    for i in range(len(n) - 1):
+        equal = (rows[i + 1 :] == rows[i]).sum(1) >= LEAST_EQUAL
+        small, large = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
+        other = component[i + 1 :] != component[i]
+        yield i, i + 1 + np.flatnonzero(equal & other & (100 * small >= percent * large))
