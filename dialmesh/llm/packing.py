@@ -5,7 +5,7 @@ count as large; in order of size they form groups of equal cardinality and are r
 up to the largest of their group.  A linear program over configurations of these few sizes
 (columns made as needed by a knapsack) says how often each configuration is used; the whole
 part of it is laid out, actual documents take the rounded places, and what is left, then
-the small documents, go best-fit into the gaps.
+the small documents, go best-fit into the gaps.  A few numbers of groups are tried.
 
 Shards hold a bounded number of pieces, dealt out by the place a piece had in its task, so
 no key can be hot.  Each costs at most about one sequence more than a single packing would.
@@ -26,7 +26,7 @@ from .common import map_batches
 from .tokenizers_files import json_cache
 
 SHARD_PIECES = 8192
-GROUPS = 24
+GROUPS = (12, 16, 48)  # numbers of groups tried: few round more, many leave more behind
 LARGE_SHARE = 8  # large: over capacity / LARGE_SHARE
 
 
@@ -103,7 +103,18 @@ def pack(pieces: DataFrame, capacity: int, shard_pieces: int = SHARD_PIECES) ->
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each length."""
+    """Sequence and offset of each length: the best packing of those with ``GROUPS`` groups."""
+    best, least = None, -(-int(lengths.sum()) // capacity)
+    for groups in GROUPS:
+        made = _pack(lengths, capacity, groups)
+        if best is None or made[0].max(initial=-1) < best[0].max(initial=-1):
+            best = made
+        if best[0].max(initial=-1) < least:  # no packing has fewer
+            break
+    return best
+
+
+def _pack(lengths: np.ndarray, capacity: int, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(lengths)
     sequence, offset = np.full(n, -1, np.int64), np.zeros(n, np.int64)
     bins = _Bins(capacity)
@@ -115,7 +126,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     large = int(np.searchsorted(-sizes, -(capacity // LARGE_SHARE), "left"))
     left: list[int] = []
     if large > full:
-        groups = np.array_split(order[full:large], min(GROUPS, large - full))
+        groups = np.array_split(order[full:large], min(n_groups, large - full))
         queues = [g.tolist() for g in groups]  # each begins with its largest
         rounded = np.array([lengths[g[0]] for g in groups])
         patterns, times = configurations(rounded, np.array([len(g) for g in groups]), capacity)
