@@ -20,7 +20,7 @@ CONFIDENCE_LABELS = {
     TEL_LINK: 'a[href="tel:< phone number >"]',
 }
 
-# The plain pattern is (\+\d{1,2}\s)?[\s.-]*\(?\d{3}\)?[\s.-]*\d{3}[\s.-]*\d{4} with
+# Fixed value: the plain pattern is (\+\d{1,2}\s)?[\s.-]*\(?\d{3}\)?[\s.-]*\d{3}[\s.-]*\d{4} with
 # \s = [\t\n\f\r ].  A match never starts inside a run of separators, so the
 # lookbehind below changes no result but keeps long runs linear.
 _BLANK = r"\t\n\f\r "
@@ -35,17 +35,18 @@ WINDOW_BYTES = 12
 _PHONE_WORD = r"(?i)(?<![0-9A-Za-z_])(?:phone|telephone)(?![0-9A-Za-z_])"
 
 # Unassigned three-digit codes of the North American numbering plan among those
-# that its format rule admits (fixed values, public numbering plan).
+# that its format rule admits (fixed values, public numbering plan as of 2025).  A code in
+# doubt counts as assigned.
 UNASSIGNED_AREA_CODES = """
-221 230 232 237 238 241 243 245 247 258 259 261 265 271 273 275 278 280 282 285 286 287
-327 328 335 338 342 348 349 356 358 359 362 381 383 384 387 389
-420 421 426 427 429 439 446 449 451 452 453 454 456 459 460 461 462 465 467 471 476 481
+221 230 232 237 238 241 243 245 247 258 259 261 265 271 275 278 280 282 285 286 287
+328 335 338 342 348 349 356 358 359 362 381 383 384 389
+420 421 426 427 429 439 446 449 451 452 453 454 456 459 461 462 467 476 481
 482 485 486 487 489
 532 535 536 537 538 542 543 545 546 547 549 550 552 553 554 556 558 560 565 568 569 576
-578 582 583 589
-625 627 632 634 635 637 638 642 643 648 652 653 654 663 665 668 673 674 675 676 679 685 687
+578 583 589
+625 627 632 634 635 637 638 642 643 648 652 653 654 663 665 668 673 674 675 676 685 687
 723 735 736 739 741 745 746 749 750 751 752 756 759 761 764 768 776 783 789
-823 824 826 827 834 836 841 842 846 851 852 853 871 874 875 879 880 881 882 883 884 885
+823 824 827 834 836 841 842 846 852 853 871 874 875 879 880 881 882 883 884 885
 886 887 889
 921 923 926 927 932 935 946 950 953 957 958 974 976 981 982 987
 """.split()
@@ -141,14 +142,21 @@ def tel_phones(hrefs: Column | str) -> Column:
     )
 
 
+# An extension as tel links and texts write it: ";ext=12", "ext. 12", "x12", "#12".
+_EXTENSION = r"(?i)(?<=[0-9)])[\s,;]*(?:;ext=|extension|extn?\.?|x|#)[\s:.]*([0-9]{1,7})#?$"
+
+
 def validate_phone(number: Column | str, area_codes: list[str] | None = None) -> Column:
     """``struct<number, error>``: international format, or the reason of rejection.
 
-    ``area_codes`` replaces the built-in list of codes in use.
+    ``area_codes`` replaces the built-in list of codes in use.  An extension is kept, as
+    ``+1 AAA-BBB-CCCC ext. N``.
     """
     codes = assigned_area_codes() if area_codes is None else list(area_codes)
 
-    def parts(text: Column) -> Column:
+    def parts(whole: Column) -> Column:
+        extension = F.regexp_extract(whole, _EXTENSION, 1)
+        text = F.regexp_replace(whole, _EXTENSION, "")
         digits = F.regexp_replace(text, r"[^0-9]", "")
         clean = text.rlike(rf"^[^0-9+A-Za-z]*+\+?+[0-9{WHITE_SPACE}.()\[\]/~\-\u2010-\u2015]++$")
         # A plus sign announces a country code, which must be 1.
@@ -157,14 +165,15 @@ def validate_phone(number: Column | str, area_codes: list[str] | None = None) ->
             F.regexp_replace(digits, r"^1", "").alias("national"),
             clean.alias("clean"),
             (foreign & (digits != "")).alias("foreign"),
+            F.when(extension != "", F.concat(F.lit(" ext. "), extension)).otherwise("").alias("extension"),
         )
 
     def checked(p: Column) -> Column:
         shaped = p["national"].rlike(r"^[2-9][0-9]{2}[2-9][0-9]{6}$")
-        # One literal instead of hundreds keeps the plan small.
-        assigned = F.find_in_set(F.substring(p["national"], 1, 3), F.lit(",".join(codes))) > 0
+        assigned = F.substring(p["national"], 1, 3).isin(codes)
         return F.when(
-            p["clean"] & shaped & ~p["foreign"] & assigned, format_international(p["national"])
+            p["clean"] & shaped & ~p["foreign"] & assigned,
+            F.concat(format_international(p["national"]), p["extension"]),
         )
 
     def result(p: Column) -> Column:

@@ -47,7 +47,7 @@ def as_store_rows(companies: DataFrame, *extra: Column) -> DataFrame:
 def upsert_companies(store: DataFrame, companies: DataFrame, order: list[str]) -> DataFrame:
     """Whole-record upsert: the last row per id (by ``order``) replaces the stored one,
     phone numbers included.  ``max_by`` combines before the shuffle, so a key with
-    many copies costs one row per task."""
+    many copies costs one row per task; one full join then says which side wins."""
     last = (
         as_store_rows(companies, F.struct(*order).alias("_order"))
         .where("id is not null")
@@ -55,8 +55,10 @@ def upsert_companies(store: DataFrame, companies: DataFrame, order: list[str]) -
         .agg(F.max_by(F.struct(*FIELDS), "_order").alias("_c"))
         .select("id", "_c.*")
     )
-    kept = store.select(*STORE_COLUMNS).join(last.select("id"), "id", "left_anti")
-    return kept.unionByName(last)
+    imported = last.select("id", F.struct(*FIELDS).alias("_new"))
+    both = store.select(*STORE_COLUMNS).join(imported, "id", "full_outer")
+    fields = [F.when(F.col("_new").isNotNull(), F.col(f"_new.{n}")).otherwise(F.col(n)).alias(n) for n in FIELDS]
+    return both.select("id", *fields)
 
 
 def import_stats(rows: DataFrame) -> DataFrame:
@@ -112,7 +114,8 @@ def update_companies(store: DataFrame, updates: DataFrame, order: str | None = N
     """
     given = [name for name in FIELDS if name in updates.columns]
     keyed = add_once(updates, "_p", parse_url_checked("url")).withColumn("id", F.col("_p.hostname"))
-    rank = F.col(order) if order else F.struct("url", *given)
+    # in a struct, so that an update without an order is the earliest and not lost
+    rank = F.struct(order) if order else F.struct("url", *given)
 
     def last(name: str) -> Column:
         return F.max_by(name, F.when(F.col(name).isNotNull(), rank)).alias(f"_new_{name}")
@@ -130,11 +133,10 @@ def update_companies(store: DataFrame, updates: DataFrame, order: str | None = N
 
 def _update_rejects(store: DataFrame, keyed: DataFrame) -> DataFrame:
     bad = keyed.where("id is null").select("url", F.col("_p.error").alias("error"))
-    missing = (
-        keyed.where("id is not null")
-        .join(store.select("id"), "id", "left_anti")
-        .select("url", F.lit(NOT_FOUND).alias("error"))
-    )
+    known = store.select("id", F.lit(True).alias("_hit"))
+    asked = keyed.where("id is not null").select("id", "url")
+    missing = lookup_join(asked, known, "id", "left").where("_hit is null")
+    missing = missing.select("url", F.lit(NOT_FOUND).alias("error"))
     return bad.unionByName(missing)
 
 

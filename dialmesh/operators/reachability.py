@@ -23,7 +23,10 @@ def check_results(urls: DataFrame, probe_log: DataFrame) -> DataFrame:
     one = probe_log.groupBy("url").agg(
         F.min(F.struct("status", "error")).alias("_probe")
     )
-    return lookup_join(urls, one, "url", "left").select(
+    # Rows without a URL get a key of their own instead of meeting on NULL.
+    key = F.coalesce("url", F.concat(F.lit("#"), F.col("idx").cast("string"))).alias("_key")
+    keyed, one = urls.select("*", key), one.withColumnRenamed("url", "_key")
+    return lookup_join(keyed, one, "_key", "left").select(
         "idx",
         "url",
         F.when(F.col("_probe.error").isNotNull(), F.lit(0))

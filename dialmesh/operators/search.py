@@ -16,7 +16,7 @@ from ..frames import add_once
 from ..functions.names import name_tokens, term_counts
 from ..functions.phones import validate_phone
 from ..joins import lookup_join
-from ..session import is_small
+from ..session import is_small, materialize
 from .companies import INVALID_PARAMS, STORE_COLUMNS
 
 NAME_FIELDS = ["commercial_name", "legal_name", "all_available_names"]
@@ -185,6 +185,22 @@ def search_result(hits: DataFrame, store: DataFrame, page_size: int = PAGE_SIZE)
     )
 
 
+def search_phones(store: DataFrame, queries: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``search_result`` of ``queries(query_id, phone)``; each distinct number is looked up once.
+
+    A number that thousands of queries ask for is counted and ranked once; only its best
+    rows meet the queries.
+    """
+    asked = add_once(queries.select("query_id", "phone"), "_v", validate_phone("phone")).select(
+        "query_id", F.col("_v.number").alias("number")
+    )
+    asked = asked.where("number is not null")
+    numbers = asked.select(F.col("number").alias("query_id"), F.col("number").alias("phone")).distinct()
+    found = search_result(phone_hits(store, numbers), store, page_size)
+    # at most page_size rows per number
+    return lookup_join(asked, materialize(found.withColumnRenamed("query_id", "number")), "number").drop("number")
+
+
 def search_by_name(store: DataFrame, name: str, index: NameIndex | None = None) -> DataFrame:
     queries = store.sparkSession.createDataFrame([(0, name)], "query_id int, name string")
     hits = name_hits(index or name_index(store), queries)
@@ -239,7 +255,7 @@ def search_companies(store: DataFrame, queries: DataFrame, index: NameIndex | No
     by_name = searches.where(F.col("query_id").startswith("n:")).select("query_id", text.alias("name"))
     by_phone = searches.where(F.col("query_id").startswith("p:")).select("query_id", text.alias("phone"))
     hits = name_hits(index or name_index(store), by_name).unionByName(phone_hits(store, by_phone))
-    found = search_result(hits, store).withColumnRenamed("query_id", "search")
+    found = materialize(search_result(hits, store).withColumnRenamed("query_id", "search"))
     answered = found.where("rank = 1").select("search", F.lit(True).alias("_hit"))
     asked = queries.count()
     status = lookup_join(keyed, answered, "search", "left", asked).select(

@@ -26,6 +26,10 @@ INVALID_INDEX = "invalid_index"
 DEFAULT_NAME = "companies"
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has switched the table to a newer version."""
+
+
 class CompanyTable:
     def __init__(
         self,
@@ -53,8 +57,17 @@ class CompanyTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def replace(self, companies: DataFrame) -> None:
-        """Write the next version and switch to it."""
+    def version(self) -> str:
+        """Folder of the version that readers see."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
+        return described.where("col_name = 'Location'").first()["data_type"]
+
+    def replace(self, companies: DataFrame, made_from: str | None = None) -> None:
+        """Write the next version and switch to it.
+
+        With ``made_from`` (the version that ``companies`` was made from) the switch fails
+        with ``ConcurrentWrite`` when another writer has switched in between.
+        """
         folder = self._new_folder()
         staged = f"{self.name}_{uuid.uuid4().hex}"
         rows = companies.select(*STORE_COLUMNS)
@@ -69,23 +82,28 @@ class CompanyTable:
             .option("path", folder)
             .saveAsTable(staged)
         )
+        if made_from is not None and self.version() != made_from:
+            self.spark.sql(f"DROP TABLE {staged}")
+            raise ConcurrentWrite(f"{self.name} has a newer version than {made_from}")
         self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
         self.spark.sql(f"DROP TABLE {staged}")  # external: its files stay
 
     def upsert(self, companies: DataFrame, order: list[str]) -> None:
-        # The import is used twice (replaced keys, new rows): read its files once.
-        self.replace(upsert_companies(self.read(), materialize(companies), order))
+        made_from = self.version()
+        self.replace(upsert_companies(self.read(), companies, order), made_from)
 
     def update(self, updates: DataFrame, order: str | None = None) -> DataFrame:
         """Partial updates ``(url, <fields>)``; gives the rejects."""
-        return self._apply(update_companies(self.read(), materialize(updates), order))
+        made_from = self.version()
+        return self._apply(update_companies(self.read(), materialize(updates), order), made_from)
 
     def update_fields(self, changes: DataFrame, order: str) -> DataFrame:
-        return self._apply(update_fields(self.read(), materialize(changes), order))
+        made_from = self.version()
+        return self._apply(update_fields(self.read(), materialize(changes), order), made_from)
 
-    def _apply(self, result: UpdateResult) -> DataFrame:
+    def _apply(self, result: UpdateResult, made_from: str) -> DataFrame:
         rejects = materialize(result.rejects)  # against the version being replaced
-        self.replace(result.store)
+        self.replace(result.store, made_from)
         return rejects
 
     def _new_folder(self) -> str:

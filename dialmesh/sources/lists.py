@@ -24,6 +24,7 @@ PARSE_ERROR = "parse_error"
 WRONG_NUMBER_OF_FIELDS = "wrong_number_of_fields"
 
 DOMAIN_HEADER = ["domain"]
+# The column names of the company list.
 COMPANY_HEADER = [
     "domain",
     "company_commercial_name",
@@ -65,7 +66,7 @@ class CsvList:
         lines = self.report().collect()  # at most REPORT_LIMIT rows
         bad_file = self.files.where("error is not null").orderBy("file").limit(1).collect()
         if bad_file and bad_file[0]["error"] != EMPTY_CSV:
-            raise ListError(bad_file[0]["error"])
+            raise ListError(bad_file[0]["error"], lines)
         if lines:
             raise ListError("invalid_lines", lines)
         if bad_file:
@@ -98,7 +99,7 @@ _WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 def _number_rows(lines: DataFrame, header_of) -> tuple[DataFrame, DataFrame]:
     """Lines ``(file, line_index, line, header)`` without the header, and one row
-    ``(file, header)`` per file.  Lines carry ``file, split, line, row_id``."""
+    ``(file, header, header_line)`` per file.  Lines carry ``file, split, line, row_id``."""
     splits = lines.groupBy("file", "split").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("row_id").alias("first_id"),
@@ -114,9 +115,9 @@ def _number_rows(lines: DataFrame, header_of) -> tuple[DataFrame, DataFrame]:
                 F.coalesce(F.sum("n").over(in_file.rowsBetween(*_BEFORE)), F.lit(0))
                 - F.col("first_id")
             ).alias("shift"),
-            header_of(F.first("first_line").over(in_file.rowsBetween(*_WHOLE))).alias("header"),
+            F.first("first_line").over(in_file.rowsBetween(*_WHOLE)).alias("header_line"),
             (F.row_number().over(in_file) == 1).alias("is_first"),
-        )
+        ).withColumn("header", header_of(F.col("header_line")))
     )
     numbered = lines.join(offsets, ["file", "split"]).select(
         "file",
@@ -124,7 +125,7 @@ def _number_rows(lines: DataFrame, header_of) -> tuple[DataFrame, DataFrame]:
         "line",
         "header",
     )
-    headers = offsets.where("is_first").select("file", "header")
+    headers = offsets.where("is_first").select("file", "header", "header_line")
     return numbered.where("line_index > 0"), headers
 
 
@@ -142,9 +143,12 @@ def _numbered_records(spark: SparkSession, path: str | list[str], header_of):
 
 
 def _number_joined(records: DataFrame, header_of) -> tuple[DataFrame, DataFrame]:
-    headers = records.where("line_index = 0").select("file", header_of(F.col("line")).alias("header"))
+    headers = records.where("line_index = 0").select(
+        "file", header_of(F.col("line")).alias("header"), F.col("line").alias("header_line")
+    )
     headers = materialize(headers)  # one row per file
-    return records.where("line_index > 0").join(headers, "file"), headers
+    rows = records.where("line_index > 0").join(headers.drop("header_line"), "file")
+    return rows, headers
 
 
 def _state_before(start: int, window) -> tuple[Column, Column]:
@@ -167,7 +171,7 @@ def _join_lines(lines: DataFrame) -> DataFrame:
 
     Sorting and running sums stay inside one input split; what crosses splits is one
     row per split.  A record that is never closed keeps its first line only, which is
-    then rejected as badly quoted.
+    then rejected as badly quoted, and the lines after it are records of their own.
     """
     led = F.concat(F.lit(","), F.col("line"))
     fields = rf"(?:,(?:{_QUOTED}|[^\",]*+)(?=,|\z))*+"
@@ -220,12 +224,22 @@ def _join_lines(lines: DataFrame) -> DataFrame:
             (F.last("ends").over(in_file.rowsBetween(*_WHOLE)) == 1).alias("never_closed"),
         )
     )
+    # A record that is never closed ends with its first line; those after it are records.
     index = F.col("earlier") + F.col("in_split") - 1
-    parts = (
+    tail = F.col("never_closed") & (index == F.col("all") - 1) & (F.col("inside") == 1)
+    marked = (
         stated.join(earlier, ["file", "split"])
-        .withColumn("line_index", index.cast("long"))
-        .where(~F.col("never_closed") | (F.col("line_index") < F.col("all") - 1) | (F.col("inside") == 0))
+        .withColumn("tail", tail)
+        .where(~F.col("tail") | (F.col("line") != ""))
+        .withColumn("begins", (begins | F.col("tail")).cast("int"))
+        .withColumn("in_split", F.sum("begins").over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+        .select("file", "split", "row_id", "line", "in_split")
     )
+    marked = materialize(marked)
+    counts = marked.groupBy("file", "split").agg(F.max("in_split").alias("n"))
+    before = F.coalesce(F.sum("n").over(in_file.rowsBetween(*_BEFORE)), F.lit(0))
+    earlier = materialize(counts.select("file", "split", before.alias("earlier")))
+    parts = marked.join(earlier, ["file", "split"]).withColumn("line_index", index.cast("long"))
     return parts.groupBy("file", "line_index").agg(
         F.array_join(
             F.transform(
@@ -258,6 +272,7 @@ def _file_states(
     counts = checked.groupBy("file").agg(
         F.count_if(F.col("error").isNull()).alias("good_rows"),
         F.count_if(F.col("error").isNotNull()).alias("rejected_rows"),
+        F.count_if(F.col("error") == PARSE_ERROR).alias("badly_quoted"),
     )
     joined = listing.join(headers, "file", "left").join(counts, "file", "left")
     good = F.coalesce("good_rows", F.lit(0))
@@ -266,8 +281,10 @@ def _file_states(
         "file",
         "header",
         # A file without a first line is empty, not wrong; rejects hide emptiness.
-        F.when(F.col("header").isNull(), F.lit(EMPTY_CSV))
+        F.when(F.col("header_line").isNull(), F.lit(EMPTY_CSV))
+        .when(F.col("header").isNull(), F.lit(PARSE_ERROR))
         .when(header_check(F.col("header"), expected).isNotNull(), F.lit(INVALID_HEADER))
+        .when(F.col("badly_quoted") > 0, F.lit(PARSE_ERROR))
         .when((good == 0) & (bad == 0), F.lit(EMPTY_CSV))
         .alias("error"),
         good.alias("good_rows"),
@@ -323,7 +340,8 @@ def read_companies(spark: SparkSession, path: str | list[str], mode: str = "perm
     """Company records: four columns in any order, RFC 4180 quoting.
 
     The index counts records; blank lines are none.  A badly quoted record is
-    rejected with ``parse_error``.  Rows: ``file, line_index, id, domain,
+    rejected with ``parse_error``, which is then the state of its file too; every line after
+    it is still read.  Rows: ``file, line_index, id, domain,
     commercial_name, legal_name, all_available_names``.
     """
     numbered, headers = _numbered_records(spark, path, csv_fields)

@@ -8,6 +8,7 @@ partial update replaces the list.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,8 +45,18 @@ def start_scrape_stream(
     )
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(log_path)
+def read_log(spark: SparkSession, log_path: str, after: int = -1) -> DataFrame:
+    """The log's batches later than ``after``; no rows before the first batch.
+
+    Batches are folders, so those applied already are not read again.
+    """
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return log.where(F.col("batch") > after)
 
 
 def latest_phones(log: DataFrame) -> DataFrame:

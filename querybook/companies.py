@@ -20,7 +20,7 @@ from dialmesh.operators.companies import (
 )
 from dialmesh.plans.directory import import_companies
 from dialmesh.session import scratch_dir
-from dialmesh.sources.company_json import company_json, parse_company_json
+from dialmesh.sources.company_json import company_json, parse_company_json, read_company_json
 from dialmesh.sources.company_table import CompanyTable
 from dialmesh.sources.lists import read_companies, read_domains
 
@@ -166,6 +166,129 @@ def import_stats_query(spark, sf_dir):
     return import_stats(good.unionByName(records.rejects.select("error")))
 
 
+# --- line numbers, rejects and file states ------------------------------------
+# Three company files (customer key modulo 3) in key order, then one with a badly quoted
+# header and one without lines.  The third file opens a quote in its first line.
+_HEADER_LINE = "domain,company_commercial_name,company_legal_name,company_all_available_names"
+_COMPANY_LINE = """
+  CASE WHEN c_custkey = 2 THEN 'h2.example,"open,,x'
+       WHEN c_custkey % 7 = 0 THEN 'h' || c_custkey || '.example,three,fields'
+       WHEN c_custkey % 7 = 1 THEN 'bad url ' || c_custkey || ',N,,x'
+       WHEN c_custkey % 7 = 2 AND c_custkey % 3 < 2 THEN 'h' || c_custkey || '.example,a"b,,x'
+       WHEN c_custkey % 7 = 3 THEN ''
+       ELSE 'h' || c_custkey || '.example,N' || c_custkey || ',,x | y' END
+"""
+_COMPANY_RECORDS = f"""
+  SELECT *, CASE WHEN c_custkey = 2 THEN 'parse_error' WHEN c_custkey % 7 = 0 THEN 'wrong_number_of_fields'
+                 WHEN c_custkey % 7 = 1 THEN 'invalid_url'
+                 WHEN c_custkey % 7 = 2 AND c_custkey % 3 < 2 THEN 'parse_error' END AS error,
+         row_number() OVER (PARTITION BY list ORDER BY c_custkey) AS line_index
+  FROM (SELECT c_custkey, c_custkey % 3 AS list, {_COMPANY_LINE} AS line FROM customer) WHERE line <> ''
+"""
+
+
+def _ordered_file(spark, header: str, lines=None) -> str:
+    """Path of one file of ``lines(k, line)`` in the order of k below a header."""
+    rows = spark.createDataFrame([(-1, header)], "k bigint, line string")
+    rows = rows if lines is None else rows.unionByName(lines)
+    path = scratch_dir(spark)
+    rows.repartition(1).sortWithinPartitions("k").select("line").write.text(path)
+    return path
+
+
+def _numbered(df, paths):
+    """``df`` with the place of its file's path in ``paths`` as ``list``."""
+    place = F.lit(None).cast("long")
+    for i, path in enumerate(paths):
+        place = F.when(F.contains("file", F.lit(path.rsplit("/", 1)[1])), F.lit(i).cast("long")).otherwise(place)
+    return df.withColumn("list", place)
+
+
+def numbered_companies(spark, sf_dir):
+    lines = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", f"{_COMPANY_LINE} AS line")
+    paths = [_ordered_file(spark, _HEADER_LINE, lines.where(f"k % 3 = {i}")) for i in range(3)]
+    paths.append(_ordered_file(spark, 'domain,"company', lines.where("k % 11 = 0")))
+    paths.append(_ordered_file(spark, _HEADER_LINE))
+    return read_companies(spark, paths), paths
+
+
+@query(
+    "company_line_numbers",
+    f"SELECT list, line_index, 'h' || c_custkey || '.example' AS id FROM ({_COMPANY_RECORDS}) WHERE error IS NULL",
+)
+def company_line_numbers_query(spark, sf_dir):
+    result, paths = numbered_companies(spark, sf_dir)
+    return _numbered(result.rows, paths).select("list", "line_index", "id")
+
+
+@query(
+    "company_rejects",
+    f"""
+    SELECT list, line_index, CASE error WHEN 'invalid_url' THEN split_part(line, ',', 1) ELSE line END AS line, error
+    FROM ({_COMPANY_RECORDS}) WHERE error IS NOT NULL
+    """,
+)
+def company_rejects_query(spark, sf_dir):
+    result, paths = numbered_companies(spark, sf_dir)
+    return _numbered(result.rejects, paths).select("list", "line_index", "line", "error")
+
+
+@query(
+    "company_file_states",
+    f"""
+    SELECT list, 'parse_error' AS error, count(*) FILTER (error IS NULL) AS good_rows,
+           count(*) FILTER (error IS NOT NULL) AS rejected_rows FROM ({_COMPANY_RECORDS}) GROUP BY list
+    UNION ALL SELECT 3, 'parse_error', 0, 0 UNION ALL SELECT 4, 'empty_csv', 0, 0
+    """,
+)
+def company_file_states_query(spark, sf_dir):
+    result, paths = numbered_companies(spark, sf_dir)
+    return _numbered(result.files, paths).select("list", "error", "good_rows", "rejected_rows")
+
+
+_DOMAIN_ROWS = f"""
+  SELECT page_id % 2 AS list, row_number() OVER (PARTITION BY page_id % 2 ORDER BY page_id) AS line_index,
+         CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line FROM pages
+"""
+
+
+def numbered_domains(spark, sf_dir):
+    lines = table(spark, sf_dir, "pages").selectExpr(
+        "page_id AS k", f"CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line"
+    )
+    paths = [_ordered_file(spark, "domain", lines.where(f"k % 2 = {i}")) for i in range(2)]
+    return read_domains(spark, paths), paths
+
+
+@query(
+    "domain_line_numbers",
+    f"""
+    SELECT list, line_index, line LIKE 'bad%' OR line LIKE 'ftp%' AS rejected FROM ({_DOMAIN_ROWS}) WHERE line <> ''
+    """,
+)
+def domain_line_numbers_query(spark, sf_dir):
+    result, paths = numbered_domains(spark, sf_dir)
+    rows = result.rows.select("file", "line_index", F.lit(False).alias("rejected")).unionByName(
+        result.rejects.select("file", "line_index", F.lit(True).alias("rejected"))
+    )
+    return _numbered(rows, paths).select("list", "line_index", "rejected")
+
+
+@query(
+    "domain_reject_report",
+    f"""
+    SELECT line_index, line FROM ({_DOMAIN_ROWS}) WHERE list = 1 AND (line LIKE 'bad%' OR line LIKE 'ftp%')
+    ORDER BY line_index LIMIT 20
+    """,
+)
+def domain_reject_report_query(spark, sf_dir):
+    lines = table(spark, sf_dir, "pages").selectExpr(
+        "page_id AS k", f"CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line"
+    )
+    path = _ordered_file(spark, "domain", lines.where("k % 2 = 1"))
+    return read_domains(spark, path).report().select("line_index", "line")
+
+
 # --- store -------------------------------------------------------------------
 _STORE_COLUMNS = """
   'c' || c_custkey || '.example' AS id, 'https://c' || c_custkey || '.example' AS domain,
@@ -304,6 +427,26 @@ def parse_company_json_query(spark, sf_dir):
     )
 
 
+@query(
+    "read_company_json",
+    """
+    SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 's' || s_suppkey || '.example' END AS id,
+           CASE s_suppkey % 4 WHEN 1 THEN 'parse_error' WHEN 2 THEN 'invalid_url' WHEN 3 THEN 'missing_host' END AS error
+    FROM supplier
+    """,
+)
+def read_company_json_query(spark, sf_dir):
+    """Broken documents, bad and missing domains beside good ones."""
+    documents = company_json_query(spark, sf_dir).withColumn(
+        "document",
+        F.expr("""CASE s_suppkey % 4 WHEN 0 THEN document WHEN 1 THEN substr(document, 1, length(document) - 3)
+                  WHEN 2 THEN '{"domain":"http://a b"}' ELSE '{"commercial_name":"x"}' END"""),
+    )
+    return documents.select("s_suppkey", read_company_json("document").alias("c")).select(
+        "s_suppkey", F.col("c.company.id").alias("id"), "c.error"
+    )
+
+
 # --- lookup and updates ------------------------------------------------------
 _LOOKUP = """
   CASE o_orderkey % 5 WHEN 0 THEN 'c' || o_custkey || '.example'
@@ -426,8 +569,23 @@ def update_companies_query(spark, sf_dir):
     f"""
     SELECT id, p AS number, p AS valid_number
     FROM (SELECT id, unnest(phone_numbers) AS p FROM ({_SQL_STORE}))
+    UNION ALL
+    SELECT 'c' || c_custkey || '.example', n.number, n.valid_number FROM customer, (VALUES
+      ('555-555-5555', NULL), ('635 271 8110', NULL), ('(826) 754-3010', '+1 826-754-3010'),
+      ('582.754.3010', '+1 582-754-3010'), ('+1 (327) 754-3010', '+1 327-754-3010'),
+      ('541-754-3010;ext=12', '+1 541-754-3010 ext. 12'), ('(541) 754-3010 x7', '+1 541-754-3010 ext. 7'),
+      ('541-754-3010 ext. 405', '+1 541-754-3010 ext. 405'), ('ext. 12', NULL)) n(number, valid_number)
     """,
 )
 def company_phone_check_query(spark, sf_dir):
-    numbers = customer_store(spark, sf_dir).select("id", F.explode("phone_numbers").alias("number"))
-    return numbers.withColumn("valid_number", validate_phone("number")["number"])
+    """Stored numbers of each company, and for each the same other spellings, good and bad."""
+    others = [
+        "555-555-5555", "635 271 8110", "(826) 754-3010", "582.754.3010", "+1 (327) 754-3010",
+        "541-754-3010;ext=12", "(541) 754-3010 x7", "541-754-3010 ext. 405", "ext. 12",
+    ]
+    stored = customer_store(spark, sf_dir).select("id", F.explode("phone_numbers").alias("number"))
+    spelled = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit(".example")).alias("id"),
+        F.explode(F.array(*map(F.lit, others))).alias("number"),
+    )
+    return stored.unionByName(spelled).withColumn("valid_number", validate_phone("number")["number"])

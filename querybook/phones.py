@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dialmesh.functions.phones import (
-    SERVICE_AREA_CODES,
-    UNASSIGNED_AREA_CODES,
-    format_international,
-)
+from dialmesh.functions.phones import format_international
 from dialmesh.operators.phones import (
     dedup_phones,
     label_phones,
@@ -24,11 +20,17 @@ PATTERN = r"(\+\d{1,2}\s)?[\s.-]*\(?\d{3}\)?[\s.-]*\d{3}[\s.-]*\d{4}"
 BLANKS = "E' \\t\\n\\r\\f'"
 
 
-def _codes(codes) -> str:
-    return ", ".join(f"'{c}'" for c in codes)
-
-
-_SERVICE = _codes(c for codes in SERVICE_AREA_CODES.values() for c in codes)
+# Area codes in use, by first and second digit (fixed values, kept apart from the library's).
+AREA_CODES = "|".join([
+    "20[123456789]|21[023456789]|22[03456789]|23[14569]|24[02689]|25[0123467]|26[0234789]|27[023469]|28[1349]",
+    "30[123456789]|31[023456789]|32[01345679]|33[0124679]|34[013567]|35[012347]|36[01345789]|38[02567]",
+    "40[123456789]|41[023456789]|42[3458]|43[01245678]|44[0123578]|45[078]|46[034589]|47[01234589]|48[034]",
+    "50[0123456789]|51[023456789]|52[0123456789]|53[01349]|54[0148]|55[179]|56[123467]|57[01234579]|58[01245678]",
+    "60[0123456789]|61[023456789]|62[01234689]|63[01369]|64[0145679]|65[0156789]|66[012479]|67[012789]|68[01234689]",
+    "70[123456789]|71[023456789]|72[01456789]|73[012478]|74[02378]|75[3478]|76[023579]|77[01234589]|78[0124567]",
+    "80[0123456789]|81[023456789]|82[015689]|83[01235789]|84[0345789]|85[01456789]|86[0123456789]|87[023678]|88[8]",
+    "90[0123456789]|91[023456789]|92[04589]|93[0146789]|94[01235789]|95[12469]|97[0123589]|98[034569]",
+])
 
 
 def validated(source: str) -> str:
@@ -41,9 +43,7 @@ def validated(source: str) -> str:
     FROM (
       SELECT *, regexp_matches(nat, '^[2-9][0-9]{{2}}[2-9][0-9]{{6}}$')
                 AND NOT (plus AND digits[1] <> '1')
-                AND area[2] <> '9' AND area[2:3] <> '11' AND area[1:2] NOT IN ('37', '96')
-                AND (CASE WHEN area[2] = area[3] THEN area IN ({_SERVICE})
-                          ELSE area NOT IN ({_codes(UNASSIGNED_AREA_CODES)}) END) AS ok
+                AND regexp_matches(area, '^({AREA_CODES})$') AS ok
       FROM (
         SELECT *, regexp_replace(digits, '^1', '') AS nat, regexp_replace(digits, '^1', '')[1:3] AS area
         FROM (

@@ -5,8 +5,8 @@ from __future__ import annotations
 from dialmesh.operators.search import (
     name_hits,
     name_index,
-    phone_hits,
     search_companies,
+    search_phones,
     search_result,
     search_sort,
     tokenize_names,
@@ -148,7 +148,7 @@ def search_by_phone_query(spark, sf_dir):
     queries = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS query_id", f"{_PHONE_TEXT.format(string='string')} AS phone"
     )
-    return search_result(phone_hits(store, queries), store).select("query_id", "total", "rank", "id")
+    return search_phones(store, queries).select("query_id", "total", "rank", "id")
 
 
 _MIXED = """

@@ -158,8 +158,32 @@ def test_bad_company_lines(spark, tmp_path):
 def test_record_that_is_never_closed(spark, tmp_path):
     path = write(tmp_path, "a.csv", HEADER + 'a.example,A,,A\nopen.example,"a,,c\nb.example,B,,B\n\nc.example,C,,C\n')
     out = lists.read_companies(spark, path)
-    assert [r[:2] for r in companies(out)] == [(1, "a.example")]
+    assert [r[:2] for r in companies(out)] == [(1, "a.example"), (3, "b.example"), (4, "c.example")]
     assert bad(out) == [(2, 'open.example,"a,,c', "parse_error")]
+    assert errors(out) == ["parse_error"]
+
+
+def test_no_line_is_lost_across_splits(spark, tmp_path, splits):
+    """Header, rows, rejects and blank lines make up the file, wherever a quote stays open."""
+    for at, name in ((3, "a.csv"), (250, "b.csv"), (499, "c.csv")):
+        lines = [f"h{i}.example,N{i},,x" if i % 9 else "" for i in range(500)]
+        lines[at] = f'h{at}.example,"N,,x'
+        lines[2] = 'q.example,"in, quotes",,x'
+        write(tmp_path, name, HEADER + "\n".join(lines) + "\n")
+    splits("700")
+    out = lists.read_companies(spark, str(tmp_path))
+    blank = sum(i % 9 == 0 for i in range(500))
+    counts = [r.asDict() for r in out.files.orderBy("file").collect()]
+    for at, row in zip((3, 250, 499), counts):
+        whole = 500 - blank + (at % 9 == 0)
+        assert (row["good_rows"], row["rejected_rows"], row["error"]) == (whole - 1, 1, "parse_error")
+    found = out.rows.unionByName(out.rejects, allowMissingColumns=True).select("file", "line_index")
+    assert found.distinct().count() == found.count()
+
+
+def test_badly_quoted_header(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'domain,"company\n' + "a.example,A,,A\n")
+    assert errors(lists.read_companies(spark, path)) == ["parse_error"]
 
 
 def test_quoted_line_breaks_across_splits(spark, tmp_path, splits):

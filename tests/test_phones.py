@@ -71,6 +71,12 @@ def test_match_phones_against_plain_scan(column, texts):
 
 
 VALID = {
+    "541-754-3010 ext 4": "+1 541-754-3010 ext. 4",
+    "541-754-3010;ext=12": "+1 541-754-3010 ext. 12",
+    "(541) 754-3010 x7": "+1 541-754-3010 ext. 7",
+    "(582) 754-3010": "+1 582-754-3010",
+    "826.754.3010": "+1 826-754-3010",
+    "+1 327 754 3010": "+1 327-754-3010",
     "(541) 754-3010": "+1 541-754-3010",
     "+1 541 754-3010": "+1 541-754-3010",
     "541.754.3010": "+1 541-754-3010",
@@ -93,7 +99,8 @@ INVALID = {
     "541-154-3010": "invalid_number",
     "211-555-0100": "invalid_number",
     "call me": "invalid_number",
-    "541-754-3010 ext 4": "invalid_number",
+    "ext. 12": "invalid_number",
+    "635 271 8110": "invalid_number",
     "": "invalid_number",
     "+44 20 7946 0958": "unsupported_country",
     "+5417543010": "unsupported_country",

@@ -133,3 +133,23 @@ def test_each_hit_is_shuffled_once(spark, store):
     result.collect()
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan and "CartesianProduct" not in plan and "WindowGroupLimit" in plan
+
+
+def test_words_of_names(column):
+    from dialmesh.functions.names import name_tokens
+
+    cases = {
+        "Joe's Diner": ["joe's", "diner"], "3.5 and 1,000": ["3.5", "and", "1,000"], "हिन्दी भाषा": ["हिन्दी", "भाषा"],
+        "Cafe\u0301 O’Neil": ["cafe\u0301", "o’neil"], "東京 tower": ["東", "京", "tower"], "a-b_c & d.": ["a", "b_c", "d"],
+        "example.com": ["example.com"], "": [], "'...'": [],
+    }
+    assert column(list(cases), name_tokens) == list(cases.values())
+
+
+def test_counts_of_many_words(column):
+    from dialmesh.functions.names import name_tokens, term_counts
+
+    words = [f"w{i % 4000}" for i in range(16_000)]
+    (out,) = column([" ".join(words)], lambda c: term_counts(name_tokens(c)))
+    assert {r["term"]: r["tf"] for r in out} == Counter(words) and len(out) == 4000
+    assert column(["", "b a b"], lambda c: term_counts(name_tokens(c))) == [[], [("a", 1), ("b", 2)]]

@@ -134,3 +134,13 @@ def test_table_versions(spark, store, tmp_path):
     plan = table.read().hint("merge").join(numbers.withColumnRenamed("url", "id"), "id")._jdf.queryExecution()
     text = plan.executedPlan().toString()
     assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_documents_with_errors(column):
+    documents = [
+        '{"domain":"https://a.example","commercial_name":"A","id":"a.example"}', '{bad', "", None, '{"domain":"http://a b"}',
+        '{"commercial_name":"x"}', '{"domain":"redis://a.example"}',
+    ]
+    got = column(documents, cj.read_company_json)
+    assert [r["error"] for r in got] == [None, "parse_error", "parse_error", "parse_error", "invalid_url", "missing_host", "invalid_scheme"]
+    assert got[0]["company"]["id"] == "a.example" and all(r["company"] is None for r in got[1:])

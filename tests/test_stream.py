@@ -38,3 +38,13 @@ def test_later_batches_replace(spark, tmp_path):
     assert {r["id"]: r["phone_numbers"] for r in result.store.collect()} == {
         "a.example": ["+1 541-754-3013"], "b.example": ["+1 541-754-3012"], "c.example": ["old"]}
     assert result.rejects.isEmpty()
+
+
+def test_log_before_the_first_batch_and_later_batches(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert ops.read_log(spark, log).isEmpty() and "batch" in ops.read_log(spark, log).columns
+    row = ("a.example", "+1 541-754-3010", 0, "https://a.example", 0)
+    for batch in (0, 1, 2):
+        rows = spark.createDataFrame([row], "id string, number string, confidence int, url string, pos int")
+        rows.write.parquet(f"{log}/batch={batch}")
+    assert sorted(r["batch"] for r in ops.read_log(spark, log, after=0).collect()) == [1, 2]
