@@ -7,8 +7,9 @@ adapts: it starts at three values and grows where a region holds more than
 ``REGION`` documents, until no region does or the signatures end.
 
 1. Documents with equal sets are one class with one representative.
-2. In each region every member is paired with the smallest; these pairs are confirmed on
-   full sets and linked documents put together.
+2. In each region every member is paired with one leader: the smallest, or, in a crowded
+   region on the way, the member that stands in the largest regions and so is closest to
+   all.  These pairs are confirmed on full sets and linked documents put together.
 3. In regions that still hold several components, documents that signatures and sizes let
    link with another component meet again with their full sets, in the task of the region,
    which gives only the links that join components.
@@ -92,9 +93,9 @@ def near_duplicates(
     ))
     alike = signed.where("n > 0 and id is not null").groupBy("print", "print2", "n", "signature")
     classes = materialize(alike.agg(F.min("id").alias("one")))
-    regions = _regions(classes.select("one", "signature"), region)
-    star = regions.where("one != leader").select(F.col("leader").alias("a"), F.col("one").alias("b"))
-    star = materialize(star.distinct())
+    regions, leaders = _regions(classes.select("one", "signature"), region)
+    star = regions.select("leader", "one").unionByName(leaders).where("one != leader")
+    star = materialize(star.select(F.least("leader", "one").alias("a"), F.greatest("leader", "one").alias("b")).distinct())
     ends = star.select(F.col("a").alias("one")).unionByName(star.select(F.col("b").alias("one")))
     # all members of regions are ends of star pairs
     ends = ends.distinct().join(classes.select("one", "print", "print2"), "one")
@@ -169,9 +170,10 @@ def _keys(depth: int, all_trees: bool):
     return step
 
 
-def _regions(classes: DataFrame, limit: int) -> DataFrame:
-    """``region, one, leader`` for all regions of two members or more."""
-    found, active = None, classes
+def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """``region, one, leader`` for all final regions of two members or more, and
+    ``leader, one`` for the members of the crowded regions on the way."""
+    found, leaders, active = None, classes.selectExpr("one", "one AS leader").where("false"), classes
     for depth in DEPTHS:
         first, last = depth == DEPTHS[0], depth == VALUES
         rows = map_batches(active, lambda d=depth, f=first: _keys(d, f), "tree int, region bigint, one bigint")
@@ -184,11 +186,16 @@ def _regions(classes: DataFrame, limit: int) -> DataFrame:
             members = members.withColumn("region", F.when(F.col("n") > limit, F.xxhash64("region", part)).otherwise(F.col("region")))
         members = members.drop("n")
         found = members if found is None else found.unionByName(members)
-        crowded = sizes.where(F.col("n") > limit).select("region")
+        crowded = sizes.where(F.col("n") > limit).select("region", "n")
         if last or crowded.isEmpty():
-            return materialize(found)
-        deeper = rows.join(crowded, "region").groupBy("one").agg(F.collect_list("tree").alias("trees"))
-        active = materialize(classes.select("one", "signature").join(deeper, "one"))
+            return materialize(found), leaders
+        crowd = materialize(rows.join(crowded, "region"))
+        density = materialize(crowd.groupBy("one").agg(F.sum("n").alias("density"), F.collect_list("tree").alias("trees")))
+        dense = crowd.join(density.select("one", "density"), "one")
+        leader = F.max_by("one", F.struct("density", -F.col("one"))).alias("leader")
+        leader = materialize(dense.groupBy("region").agg(leader))
+        leaders = leaders.unionByName(crowd.select("region", "one").join(leader, "region").select("one", "leader"))
+        active = materialize(classes.select("one", "signature").join(density.select("one", "trees"), "one"))
 
 
 def _sets(texts: DataFrame, ends: DataFrame) -> BucketedTable:
