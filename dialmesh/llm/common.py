@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: A word is a run of anything but blank, tab, line feed, vertical tab, form feed and return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 8_000_000  # text handled at a time
+SLICE_BYTES = 2_000_000  # text handled at a time: arrays of numbers per byte are many times larger
 WHITE = " \t\n\x0b\x0c\r"
 
 

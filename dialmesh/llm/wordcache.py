@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 1_000_000  # known words of one worker, about 200 bytes each
+MAX_WORDS = 600_000  # known words of one worker, about 200 bytes each (two workers per executor, beside its heap)
 SLICE_BYTES = 4_000_000  # text handled at a time
 KEY_CHARS = 200  # longer words are not worth remembering
 
