@@ -101,13 +101,9 @@ def near_duplicates(
     ends = ends.distinct().join(classes.select("one", "print", "print2"), "one")
     sets = _sets(texts, ends)
     links = materialize(_confirmed(star, sets, percent))
-    part = materialize(connected_components(links))
-    more = materialize(_across(regions, part, classes, sets, percent))
+    more = materialize(_across(regions, _together(links), classes, sets, percent))
     sets.drop()
-    if not more.isEmpty():
-        joined = part.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        part = materialize(connected_components(joined.unionByName(more)))
-    part = part.withColumnRenamed("node", "one")
+    part = materialize(connected_components(links.unionByName(more))).withColumnRenamed("node", "one")
     result = (
         signed.select("id", "n", "print", "print2")
         .join(classes.select("print", "print2", "n", "one"), ["print", "print2", "n"], "left")
@@ -122,6 +118,19 @@ def near_duplicates(
     )
 
 
+def _together(links: DataFrame) -> DataFrame:
+    """``node, component``: the smallest document that a link of it leads to.
+
+    Equal marks are linked for certain; different ones may be too, by longer ways, which
+    costs the next step some comparisons and no link.
+    """
+    ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
+    )
+    least = ends.groupBy("node").agg(F.min("other").alias("other"))
+    return materialize(least.select("node", F.least("node", "other").alias("component")))
+
+
 def _print(shingles: np.ndarray) -> tuple[int, int]:
     digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
     return int(digest[0]), int(digest[1])
