@@ -69,7 +69,7 @@ def json_cache(path: str) -> WordCache:
 
     def spaced_words(texts):
         texts = pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", rf"\1 {JOINED}\2")
-        return pc.replace_substring_regex(texts, r"([^\s])\n([^\s])", f"\\1 {JOINED}\n {JOINED}\\2")
+        return pc.replace_substring_regex(texts, r"([!-~À-ɏ])\n([!-~À-ɏ])", f"\\1 {JOINED}\n {JOINED}\\2")
 
     def bare_words(texts):
         texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")

@@ -16,14 +16,14 @@ from dialmesh.llm.tokenizers_files import json_cache, public_path
 
 ODD = [
     "", " ", "  ", "a  b", "a   b ", " a", "a ", "\n a", "a \n b", "a\n\nb", "x.\nY,\tz", "▁a", "é́", "İstanbul ΣΑΣ",
-    "<|endoftext|>", "x <|endoftext|> y", "<|ENDOFTEXT|>", "\x01", "a \x01b", "don't we'll 'S", "12 3,4 ½²", "漢字 梦 🙂",
+    "a\n\xa0 b", "a\n\xa0", "a\xa0\nb", "a\n\u2028b.\n\x0b c", "<|endoftext|>", "x <|endoftext|> y", "<|ENDOFTEXT|>", "\x01", "a \x01b", "don't we'll 'S", "12 3,4 ½²", "漢字 梦 🙂",
     "the" * 300, "ab" * 900, "<s> <0x41>",
 ]
 
 
 def texts(seed=1):
     rng = random.Random(seed)
-    letters = " \n\t.,'a bZé²½İΣ漢́梦ßtheing▁🙂<|>"
+    letters = " \n\t.,'a bZé²½İΣ漢́梦ßtheing▁🙂<|>\xa0\u2028\r\x0b\n "
     made = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
     return ODD + made + ODD[::-1]
 
