@@ -27,6 +27,7 @@ TEST_PATH = r"(?i)(test|example|sample|mock|fixture|demo)"
 DICTIONARY = 400  # most frequent words beside candidates
 MAX_TRAIN = 20_000  # labelled findings
 TREES, DEPTH = 20, 6
+N_FEATURES = 14
 MASK = "[SECRET]"
 
 Tree = float | tuple  # share of secrets, or (feature, threshold, tree up to it, tree beyond)
@@ -184,7 +185,7 @@ def score_findings(findings: DataFrame, forest: Forest) -> DataFrame:
     """Add ``score`` and ``is_secret`` (a score of one half or more)."""
     numbers = F.array(*(v.cast("double") for v in features(F.col("found"), F.col("path"), forest.dictionary)))
     rows = add_once(findings, "__numbers", numbers)
-    values = [F.col("__numbers")[i] for i in range(14)]
+    values = [F.col("__numbers")[i] for i in range(N_FEATURES)]
     rows = rows.withColumn("score", forest_score(values, forest)).drop("__numbers")
     return rows.withColumn("is_secret", F.col("score") >= 0.5)
 
@@ -199,7 +200,7 @@ def redact(docs: DataFrame, forest: Forest, text: str = "text", path: str = "sou
     rows = add_once(docs, "__found", found)
     judged = F.transform("__found", lambda c: F.struct(c["value"].alias("value"), numbers(c).alias("numbers")))
     rows = add_once(rows, "__judged", F.when(F.size("__found") > 0, judged))
-    secret = lambda c: forest_score([c["numbers"][i] for i in range(14)], forest) >= 0.5
+    secret = lambda c: forest_score([c["numbers"][i] for i in range(N_FEATURES)], forest) >= 0.5
     secrets = F.transform(F.filter("__judged", secret), lambda c: c["value"])
     rows = add_once(rows, "__secrets", F.array_sort(secrets, lambda a, b: F.length(b) - F.length(a)))
     masked = F.aggregate("__secrets", F.col(text), lambda t, s: F.replace(t, s, F.lit(MASK)))
