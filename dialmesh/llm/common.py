@@ -37,6 +37,8 @@ def map_batches(
         for batch in batches:
             for columns in step(batch):
                 yield pa.RecordBatch.from_arrays(columns, names)
+            del batch
+            pa.default_memory_pool().release_unused()  # a worker outlives its task
 
     return df.mapInArrow(run, schema)
 

@@ -12,6 +12,7 @@ tokenizer as a whole where blanks count.
 
 from __future__ import annotations
 
+import itertools
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 600_000  # known words of one worker, about 200 bytes each (two workers per executor, beside its heap)
+MAX_WORDS = 300_000  # known words of one worker, about 200 bytes each (two workers per executor, beside its heap)
 SLICE_BYTES = 4_000_000  # text handled at a time
 KEY_CHARS = 200  # longer words are not worth remembering
 
@@ -53,8 +54,9 @@ class WordCache:
         fresh = {w: array("I", ids).tobytes() for w, ids in zip(new, encode(new))}
         for i in gaps:
             values[i] = fresh[words[i]]
-        if len(known) + len(fresh) <= self._max:
-            known.update(fresh)
+        room = self._max - len(known)
+        if room > 0:
+            known.update(itertools.islice(fresh.items(), room))
         return values
 
     def learn(self, words: Sequence[str], values: list[Sequence[int]]) -> None:
