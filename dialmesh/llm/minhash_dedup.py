@@ -13,8 +13,11 @@ adapts: it starts at three values and grows where a region holds more than
 3. In regions that still hold several components, documents that signatures and sizes let
    link with another component meet again with their full sets, in the task of the region,
    which gives only the links that join components.
+4. In regions of the least depth that were crowded, members outside the largest component
+   (by then few) meet all members in the same way, in pairs of blocks.
 
-So within a region no link is missed, and no pairs leave a task but one per document.
+So within a region of the least depth no link is missed, and no pairs leave a task but one
+per document.
 """
 
 from __future__ import annotations
@@ -93,7 +96,7 @@ def near_duplicates(
     ))
     alike = signed.where("n > 0 and id is not null").groupBy("print", "print2", "n", "signature")
     classes = materialize(alike.agg(F.min("id").alias("one")))
-    regions, leaders = _regions(classes.select("one", "signature"), region)
+    regions, leaders, crowd = _regions(classes.select("one", "signature"), region)
     star = regions.select("leader", "one").unionByName(leaders).where("one != leader")
     star = materialize(star.select(F.least("leader", "one").alias("a"), F.greatest("leader", "one").alias("b")).distinct())
     ends = star.select(F.col("a").alias("one")).unionByName(star.select(F.col("b").alias("one")))
@@ -102,8 +105,14 @@ def near_duplicates(
     sets = _sets(texts, ends)
     links = materialize(_confirmed(star, sets, percent))
     more = materialize(_across(regions, _together(links), classes, sets, percent))
+    part = materialize(connected_components(links.unionByName(more)))
+    if crowd is not None:
+        late = materialize(_across(_blocks(crowd, part, 4 * region), part, classes, sets, percent))
+        if not late.isEmpty():
+            stars = part.select(F.col("component").alias("a"), F.col("node").alias("b"))
+            part = materialize(connected_components(stars.unionByName(late)))
     sets.drop()
-    part = materialize(connected_components(links.unionByName(more))).withColumnRenamed("node", "one")
+    part = part.withColumnRenamed("node", "one")
     result = (
         signed.select("id", "n", "print", "print2")
         .join(classes.select("print", "print2", "n", "one"), ["print", "print2", "n"], "left")
@@ -179,10 +188,11 @@ def _keys(depth: int, all_trees: bool):
     return step
 
 
-def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """``region, one, leader`` for all final regions of two members or more, and
-    ``leader, one`` for the members of the crowded regions on the way."""
-    found, leaders, active = None, classes.selectExpr("one", "one AS leader").where("false"), classes
+def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``region, one, leader`` for all final regions of two members or more,
+    ``leader, one`` for the members of the crowded regions on the way, and ``region, one``
+    of the crowded regions of the least depth, if there are any."""
+    found, widest, leaders, active = None, None, classes.selectExpr("one", "one AS leader").where("false"), classes
     for depth in DEPTHS:
         first, last = depth == DEPTHS[0], depth == VALUES
         rows = map_batches(active, lambda d=depth, f=first: _keys(d, f), "tree int, region bigint, one bigint")
@@ -197,8 +207,9 @@ def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
         found = members if found is None else found.unionByName(members)
         crowded = sizes.where(F.col("n") > limit).select("region", "n")
         if last or crowded.isEmpty():
-            return materialize(found), leaders
+            return materialize(found), leaders, widest
         crowd = materialize(rows.join(crowded, "region"))
+        widest = crowd.select("region", "one") if first else widest
         density = materialize(crowd.groupBy("one").agg(F.sum("n").alias("density"), F.collect_list("tree").alias("trees")))
         dense = crowd.join(density.select("one", "density"), "one")
         leader = F.max_by("one", F.struct("density", -F.col("one"))).alias("leader")
@@ -207,6 +218,31 @@ def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
         active = materialize(classes.select("one", "signature").join(density.select("one", "trees"), "one"))
 
 
+def _blocks(crowd: DataFrame, part: DataFrame, size: int) -> DataFrame:
+    """``region, one``: crowded regions as pairs of blocks of about ``size`` members, one of
+    members outside the largest component of the region and one of any.
+
+    Each two members of different components share a pair of blocks.
+    """
+    placed = crowd.join(part.withColumnRenamed("node", "one"), "one", "left")
+    placed = materialize(placed.select("region", "one", F.coalesce("component", "one").alias("component")))
+    counts = placed.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
+    most = F.max_by("component", F.struct("n", "component"))
+    shape = counts.groupBy("region").agg(most.alias("most"), F.sum("n").alias("n"), F.max("n").alias("top"))
+    blocks = lambda n: F.ceil(n / size)
+    shape = materialize(shape.where("n > top").select(
+        "region", "most", blocks(F.col("n")).alias("n_all"), blocks(F.col("n") - F.col("top")).alias("n_open")
+    ))
+    members = placed.join(shape, "region")
+    block = lambda n: F.pmod(F.xxhash64("one"), n)
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    opened = members.where("component != most").select(
+        "region", "one", block(F.col("n_open")).alias("i"), numbers("n_all").alias("j")
+    )
+    others = members.select("region", "one", numbers("n_open").alias("i"), block(F.col("n_all")).alias("j"))
+    return opened.unionByName(others).select(F.xxhash64("region", "i", "j").alias("region"), "one").distinct()
+
+
 def _sets(texts: DataFrame, ends: DataFrame) -> BucketedTable:
     """``one, n, shingles`` of the documents in ``ends``, in buckets of ``one``."""
     chosen = texts.join(ends.withColumnRenamed("one", "id"), "id").select("text", "id", "print", "print2")

@@ -123,6 +123,28 @@ def test_near_duplicates(spark, region):
     assert len(got) == len(rows)
 
 
+def test_near_duplicates_beside_a_crowd(spark):
+    """1,200 variants of one text, and documents that link with one variant each."""
+    rng = random.Random(16)
+    base, rows = [f"w{k}" for k in range(400)], []
+    for i in range(1200):
+        copy = list(base)
+        for k in rng.sample(range(60), 4):
+            copy[6 * k] = f"v{i}x{k}"
+        rows.append((i, " ".join(copy)))
+    for i in range(60):  # a rewritten end, too far from all but its variant
+        words = rows[rng.randrange(1200)][1].split()
+        rows.append((5000 + i, " ".join(words[:344] + [f"e{i}y{k}" for k in range(56)])))
+    sets = {i: shingles(t) for i, t in rows}
+    near = lambda i, j: 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    beside = [(j, i) for i in range(5000, 5060) for j in range(1200) if near(i, j)]
+    assert [i for _, i in beside] == list(range(5000, 5060))
+    assert all(near(0, i) for i in range(1200))
+    part = components(sets, beside + [(0, i) for i in range(1200)])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(df).collect()} == part
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "p q r s t u"), (2, "p q r s t u"), (None, "a b c d e f"), (None, None), (3, "a b c d e f")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
