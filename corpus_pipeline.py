@@ -49,7 +49,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask secrets; every document stays."""
-    forest = queries.secret_forest(materialize(find(docs)))
+    forest = queries.secret_forest(materialize(find(docs, every=True)))
     return _with_length(redact(docs, forest))
 
 

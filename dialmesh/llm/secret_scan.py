@@ -1,7 +1,7 @@
 """Secret scanning: candidate strings, judged by a random forest on how and where they stand.
 
 A candidate is a run of twelve or more of the characters of keys, addresses and paths with a
-digit in it.  Its features are its length, the changes between kinds of characters, how much
+digit in it, or any value that is quoted or assigned after a credential word.  Its features are its length, the changes between kinds of characters, how much
 of it dictionary words cover, whether it is part of a path, and the words beside it.  The
 forest learns from labelled findings (Spark's own implementation) and is turned into one SQL
 expression, so scanning and redaction are column expressions without a shuffle.
@@ -23,6 +23,13 @@ CANDIDATE = rf"(?<![{CHARS}])[A-Za-z_+/.@-]*+[0-9][{CHARS}]*+(?:={{1,2}}(?![{CHA
 LEAST = 12
 BESIDE = 40  # characters kept on either side
 CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|auth|credential|private|access_?key)"
+_INSIDE = "|".join(rf"{q}[^{q}\r\n]++(?:(?<=\\){q}[^{q}\r\n]*+){{0,200}}+{q}" for q in "\"'`")
+#: Up to a value: a credential word, its quote or bracket, and a mark or the quote of the value.
+#: Group 1 is the value, which is only looked at: a credential word in it counts too.
+ASSIGNED = (
+    rf"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|auth|credential|private|access_?key)[A-Za-z0-9_-]*+"
+    rf"[\"'`\]]*+[ \t]*+(?:(?::=|==|=>|[=:])[ \t]*+(?=({_INSIDE}|[\"'`]?+[^\s\"'`]\S*+))|(?=[\"'`])(?=({_INSIDE})))"
+)
 TEST_PATH = r"(?i)(test|example|sample|mock|fixture|demo)"
 DICTIONARY = 400  # most frequent words beside candidates
 MAX_TRAIN = 20_000  # labelled findings
@@ -39,24 +46,46 @@ class Forest:
     dictionary: list[str] = field(default_factory=list)
 
 
+def _starts(gaps: Column, taken: Column) -> Column:
+    """Places, from 1, of the matches ``taken`` of a pattern that splits a text into ``gaps``."""
+    none = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("starts"))
+    sizes = F.zip_with(F.slice(gaps, F.lit(1), F.size(taken)), taken, lambda g, t: F.struct(F.length(g).alias("gap"), F.length(t).alias("own")))
+
+    def add(a, x):
+        start = a["at"] + x["gap"]
+        return F.struct((start + x["own"]).alias("at"), F.array_append(a["starts"], start).alias("starts"))
+
+    return F.aggregate(sizes, none, add, lambda a: a["starts"])
+
+
 def candidates(text: str) -> Column:
-    """Different candidates of the column ``text``: ``value, start`` (first place, from 1),
+    """Candidates of the column ``text``, one for each place: ``value, start`` (from 1),
     ``before, after``."""
-    runs = F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))
-    values = F.array_distinct(F.transform(runs, lambda x: F.regexp_replace(x, r"[.@/-]+$", "")))
-    values = F.filter(values, lambda x: (F.length(x) >= LEAST) & x.rlike("[0-9]"))
+    t = F.col(text)
 
-    def place(x):
-        start = F.position(x, F.col(text))
+    def place(value, start):
         first = F.greatest(start - BESIDE, F.lit(1))
         return F.struct(
-            x.alias("value"),
+            value.alias("value"),
             start.alias("start"),
-            F.substr(F.col(text), first, start - first).alias("before"),
-            F.substr(F.col(text), start + F.length(x), F.lit(BESIDE)).alias("after"),
+            F.substr(t, first, start - first).alias("before"),
+            F.substr(t, start + F.length(value), F.lit(BESIDE)).alias("after"),
         )
 
-    return F.transform(values, place)
+    def assigned(raw, start):
+        quoted = raw.rlike("(?s)^([\"'`]).*\\1$") & (F.length(raw) > 1)
+        bare = F.regexp_replace(F.regexp_replace(raw, "^[\"'`]", ""), r"[\"'`,;.)\]}>]+$", "")
+        value = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(bare)
+        return place(value, start + raw.rlike("^[\"'`]").cast("int"))
+
+    matches = lambda pattern, group: F.regexp_extract_all(t, F.lit(pattern), F.lit(group))
+    runs, heads = matches(CANDIDATE, 0), matches(ASSIGNED, 0)
+    free = F.zip_with(runs, _starts(F.split(t, CANDIDATE, -1), runs), lambda x, s: place(F.regexp_replace(x, r"[.@/-]+$", ""), s))
+    free = F.filter(free, lambda c: (F.length(c["value"]) >= LEAST) & c["value"].rlike("[0-9]"))
+    raw = F.zip_with(matches(ASSIGNED, 1), matches(ASSIGNED, 2), lambda x, y: F.concat(x, y))
+    starts = F.zip_with(_starts(F.split(t, ASSIGNED, -1), heads), heads, lambda s, h: s + F.length(h))
+    kept = F.filter(F.zip_with(raw, starts, assigned), lambda c: F.length(c["value"]) > 0)
+    return F.when(t.rlike(ASSIGNED), F.array_distinct(F.concat(free, kept))).otherwise(free)
 
 
 def features(found: Column, path: Column, dictionary: list[str]) -> list[Column]:
@@ -92,24 +121,35 @@ def features(found: Column, path: Column, dictionary: list[str]) -> list[Column]
     ]
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """``key, path, found``: one row for each different candidate of each row."""
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source", every: bool = False) -> DataFrame:
+    """``key, path, found``: one row for each different candidate of each row, at its first
+    place, or, with ``every``, for each place of each candidate."""
     rows = docs.select(F.col(key).alias("key"), F.col(path).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = rows.where(F.col("t").rlike("[0-9]"))
-    rows = rows.select("key", "path", F.explode(candidates("t")).alias("found"))
+    found = F.when(F.col("t").rlike(f"[0-9]|{CREDENTIAL}"), candidates("t"))
+    if not every:
+        rows = add_once(rows, "all", F.array_sort(found, lambda a, b: a["start"] - b["start"]))
+        rows = add_once(rows, "values", F.transform("all", lambda c: c["value"]))
+        found = F.filter("all", lambda c, i: F.array_position("values", c["value"]) == i + 1)
+    rows = rows.select("key", "path", F.explode(found).alias("found"))
     return rows.withColumnRenamed("key", key)
 
 
 def label_by_format(found: Column) -> Column:
     """Labels of findings that a strict format decides: 1, 0, or null.
 
-    Keys of one provider's fixed form and long values assigned to a credential word are
-    secrets; mail and network addresses, host names and bare numbers are none.
+    Keys of one provider's fixed form, and values assigned to a credential word that are
+    long or, in quotes, mix kinds of characters are secrets; mail and network addresses,
+    host names, bare numbers and unquoted plain words are none.
     """
     value, before = found.getField("value"), found.getField("before")
-    assigned = before.rlike(rf"{CREDENTIAL}[A-Za-z_]*\s*[=:]\s*[\"']?$")
+    assigned = before.rlike(rf"{CREDENTIAL}[A-Za-z0-9_-]*[\"'`\]]*\s*[=:]>?\s*[\"'`]?$")
+    quoted = before.rlike("[\"'`]$")
+    kinds = sum(value.rlike(k).cast("int") for k in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]"))
+    mixed = assigned & quoted & (kinds >= 2) & value.rlike(r"^\S{6,}$") & ~value.rlike("^[A-Z]?[a-z]+$")
     none = value.rlike(r"^[0-9.+-]+$") | value.rlike(r"^[^@]+@[^@]+\.[a-z]+$") | value.rlike(r"^[a-z0-9-]+(\.[a-z0-9-]+)+$")
-    return F.when(none, 0).when(value.rlike("^AKIA[0-9A-Z]{16}$"), 1).when(assigned & value.rlike("^[A-Za-z0-9+/_-]{16,}=*$"), 1)
+    none = none | (~quoted & value.rlike("^[A-Z]?[a-z]+$"))
+    long = assigned & value.rlike("^[A-Za-z0-9+/_-]{16,}=*$")
+    return F.when(none, 0).when(value.rlike("^AKIA[0-9A-Z]{16}$") | long | mixed, 1)
 
 
 def common_words(findings: DataFrame, limit: int = DICTIONARY) -> list[str]:
@@ -191,18 +231,23 @@ def score_findings(findings: DataFrame, forest: Forest) -> DataFrame:
 
 
 def redact(docs: DataFrame, forest: Forest, text: str = "text", path: str = "source") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``MASK``, wherever it stands.
+    """``docs`` with every secret in ``text`` replaced by ``MASK``, wherever it stands on its own.
 
+    A value is a secret where one of its places makes it one; longer runs that merely contain
+    it stay.
     Texts without one, null ones included, stay as they are; so do all other columns.
     """
     numbers = lambda c: F.array(*(v.cast("double") for v in features(c, F.col(path).cast("string"), forest.dictionary)))
-    found = F.when(F.col(text).rlike("[0-9]"), candidates(text))
+    found = F.when(F.col(text).rlike(f"[0-9]|{CREDENTIAL}"), candidates(text))
     rows = add_once(docs, "__found", found)
     judged = F.transform("__found", lambda c: F.struct(c["value"].alias("value"), numbers(c).alias("numbers")))
     rows = add_once(rows, "__judged", F.when(F.size("__found") > 0, judged))
     secret = lambda c: forest_score([c["numbers"][i] for i in range(N_FEATURES)], forest) >= 0.5
-    secrets = F.transform(F.filter("__judged", secret), lambda c: c["value"])
+    secrets = F.array_distinct(F.transform(F.filter("__judged", secret), lambda c: c["value"]))
     rows = add_once(rows, "__secrets", F.array_sort(secrets, lambda a, b: F.length(b) - F.length(a)))
-    masked = F.aggregate("__secrets", F.col(text), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    literal = lambda s: F.regexp_replace(s, r"([^\p{L}\p{N}\s])", r"\\$1")
+    any_of = F.array_join(F.transform("__secrets", literal), "|")
+    alone = F.concat(F.lit(f"(?<![{CHARS}])(?:"), any_of, F.lit(")(?![.@/-]*+[A-Za-z0-9_+])"))
+    masked = F.regexp_replace(F.col(text), alone, F.lit(MASK))
     replaced = F.when(F.size("__secrets") > 0, masked).otherwise(F.col(text))
     return rows.select(*(replaced.alias(c) if c == text else F.col(c) for c in docs.columns))
