@@ -37,9 +37,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest key of each group of near-duplicates."""
-    dropped = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(materialize(dropped.distinct()), "doc_id", "left_anti").select(docs.columns)
+    """Keep one row of each group of near-duplicates, the one with the smallest key.
+
+    Each row counts for itself, whether its key is repeated or null; those without words stay.
+    """
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    near = near_duplicates(rows, key="__row").select("__row", "component_id")
+    first = F.min_by("__row", F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("__row")
+    kept = rows.select("__row", "doc_id").join(near, "__row").groupBy("component_id").agg(first)
+    return rows.join(materialize(kept.select("__row")), "__row", "left_semi").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

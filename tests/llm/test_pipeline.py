@@ -72,6 +72,18 @@ def test_stages(spark, tables):
     assert final.columns == docs.columns and final.count() == docs.count()
 
 
+def test_repeated_rows_survive_once(spark):
+    rng = random.Random(15)
+    one, two, three, four = (" ".join(prose(rng, 90)) for _ in range(4))
+    rows = [(1, one)] * 4 + [(None, two)] * 3 + [(None, three), (5, three), (6, four), (6, "other words " + four), (7, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    single = materialize(corpus_pipeline.near_dedup(spark, docs, ""))
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.substring_dedup(spark, single, "").collect()), key=str)
+    last = next(t for i, t in got if i == 6)
+    assert last in (four, "other words " + four)
+    assert got == sorted([(1, one), (None, two), (5, three), (6, last), (7, ""), (None, None)], key=str)
+
+
 def test_empty_tables(spark, tables, tmp_path):
     folder, _ = tables
     for name in ("documents", "labels"):
