@@ -3,7 +3,7 @@
 Each task packs its rows into blocks.  A unit vector u is kept as scale * q with q in int8
 and the norm e of what that leaves out, so for two vectors
 ``|cos - scale_u scale_v (q_u . q_v)| <= e_u + (1 + e_u) e_v``.  Tiles (pairs of blocks) take
-the integer products; only pairs that the bound leaves possible are computed in double
+the products in float32, one side scaled before; only pairs that the bound leaves possible are computed in double
 precision.  A tile gives, per vector, the number of its links and one link to the root of
 its component within the tile, never the pairs.
 
