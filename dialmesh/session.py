@@ -2,18 +2,23 @@
 
 Long loops cut their lineage by writing a table and reading it back.  The folder
 is the one the cluster names in ``spark.checkpoint.dir``; a local session without
-that setting (tests) gets a folder of its own.
+that setting (tests) gets a folder of its own.  What is made inside ``releasing`` is
+deleted when that ends.
 """
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 MAX_BUCKETS = 100_000  # Spark's own limit
+_LOCAL = threading.local()  # what the open ``releasing`` blocks of this thread have to undo
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -24,7 +29,51 @@ def scratch_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dialmesh-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/dialmesh-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/dialmesh-{uuid.uuid4().hex}"
+    _at_release(lambda: remove_folder(spark, path))
+    return path
+
+
+def _at_release(undo: Callable[[], object]) -> None:
+    blocks = getattr(_LOCAL, "blocks", [])
+    if blocks:
+        blocks[-1].append(undo)
+
+
+@contextmanager
+def releasing() -> Iterator[None]:
+    """Delete the scratch folders and tables made inside, once the block is left.
+
+    DataFrames that read them must have been written by then, to a folder named by
+    ``scratch_dir`` before the block (or in an outer one).
+    """
+    if not hasattr(_LOCAL, "blocks"):
+        _LOCAL.blocks = []
+    _LOCAL.blocks.append([])
+    try:
+        yield
+    finally:
+        for undo in reversed(_LOCAL.blocks.pop()):
+            undo()
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can write; nothing if it is not there."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    files, at = _file_system(spark, path)
+    found = files.listStatus(at) if files.exists(at) else []
+    return sorted(status.getPath().getName() for status in found if status.isDirectory())
 
 
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -54,6 +103,7 @@ class BucketedTable:
             .option("path", scratch_dir(self._spark))
             .saveAsTable(self._name)
         )
+        _at_release(self.drop)
 
     @property
     def df(self) -> DataFrame:

@@ -21,6 +21,7 @@ from dialmesh.operators.companies import (
 from dialmesh.plans.directory import import_companies
 from dialmesh.session import scratch_dir
 from dialmesh.sources.company_json import company_json, parse_company_json, read_company_json
+from dialmesh.sources.company_store import CompanyStore
 from dialmesh.sources.company_table import CompanyTable
 from dialmesh.sources.lists import read_companies, read_domains
 
@@ -538,9 +539,7 @@ def update_field_rejects_query(spark, sf_dir):
     return result.rejects.groupBy("url", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "update_companies",
-    f"""
+_UPDATED_STORE = f"""
     WITH l AS (
       SELECT 'c' || o_custkey || '.example' AS id, max(o_orderkey) AS phone,
              max(o_orderkey) FILTER (o_orderkey % 4 = 0) AS legal
@@ -551,19 +550,41 @@ def update_field_rejects_query(spark, sf_dir):
            s.all_available_names,
            CASE WHEN l.phone IS NULL THEN s.phone_numbers ELSE ['n' || l.phone] END AS phone_numbers
     FROM ({_SQL_STORE}) s LEFT JOIN l ON l.id = s.id
-    """,
-    lists=("all_available_names", "phone_numbers"),
-)
-def update_companies_query(spark, sf_dir):
-    updates = table(spark, sf_dir, "orders").selectExpr(
+"""
+
+
+def _order_updates(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(
         "'https://c' || o_custkey || '.example' AS url",
         "array('n' || o_orderkey) AS phone_numbers",
         "CASE WHEN o_orderkey % 4 = 0 THEN 'L' || o_orderkey END AS legal_name",
         "o_orderkey",
     )
+
+
+@query("update_companies", _UPDATED_STORE, lists=("all_available_names", "phone_numbers"))
+def update_companies_query(spark, sf_dir):
+    updates = _order_updates(spark, sf_dir)
     return update_companies(customer_store(spark, sf_dir), updates, "o_orderkey").store
 
 
+def _stored(spark, companies):
+    store = CompanyStore(spark, f"{scratch_dir(spark)}/store", f"store_{uuid.uuid4().hex}")
+    store.create(companies)
+    return store
+
+
+@query("update_store", _UPDATED_STORE, lists=("all_available_names", "phone_numbers"))
+def update_store_query(spark, sf_dir):
+    """``update_companies`` on the partitioned store: two changes, of which the older is repeated."""
+    store = _stored(spark, customer_store(spark, sf_dir))
+    updates = _order_updates(spark, sf_dir)
+    store.update(updates.drop("legal_name"), "o_orderkey", batch=1)
+    store.update(updates.drop("phone_numbers"), "o_orderkey", batch=2)
+    store.update(updates.selectExpr("url", "'again' AS legal_name"), batch=1)
+    return store.read()
+
+
 @query(
     "company_phone_check",
     f"""

@@ -7,6 +7,9 @@ addresses of all sixteen.  The visit order then has a closed form.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from dialmesh.functions.html import hrefs_in_nav, link_tags
@@ -20,8 +23,15 @@ from dialmesh.operators.sitemaps import (
 )
 from dialmesh.plans.scrape import scrape_companies
 from dialmesh.session import scratch_dir
-from dialmesh.sources.captures import stream_captures
-from dialmesh.streaming.scrape_stream import apply_log, read_log, start_scrape_stream
+from dialmesh.sources.captures import load_captures, stream_captures
+from dialmesh.sources.company_store import CompanyStore
+from dialmesh.streaming.scrape_stream import (
+    apply_log,
+    merge_batch,
+    read_log,
+    start_scrape_stream,
+    start_store_stream,
+)
 
 from .base import query, table
 from .pages import page_phone_rows, sql_text
@@ -358,6 +368,17 @@ _STREAM_ROWS = f"""
 """
 
 
+def _host_store(pages):
+    return pages.selectExpr(f"{_HOST} AS id").distinct().selectExpr(
+        "id",
+        "'https://' || id AS domain",
+        "id AS commercial_name",
+        "'' AS legal_name",
+        "array(id) AS all_available_names",
+        "cast(null AS array<string>) AS phone_numbers",
+    )
+
+
 @query(
     "stream_scrape_updates",
     f"""
@@ -373,13 +394,48 @@ def stream_scrape_updates_query(spark, sf_dir):
     work = scratch_dir(spark)
     stream = stream_captures(spark, f"{sf_dir}/pages*.parquet", pages.schema, body="html")
     start_scrape_stream(stream, f"{work}/log", f"{work}/checkpoint").awaitTermination()
-    hosts = pages.selectExpr(f"{_HOST} AS id").distinct()
-    store = hosts.selectExpr(
-        "id",
-        "'https://' || id AS domain",
-        "id AS commercial_name",
-        "'' AS legal_name",
-        "array(id) AS all_available_names",
-        "cast(null AS array<string>) AS phone_numbers",
+    return apply_log(_host_store(pages), read_log(spark, f"{work}/log")).store.select("id", "phone_numbers")
+
+
+ARRIVALS = 4
+
+
+@query(
+    "stream_into_store",
+    f"""
+    WITH arrived AS (
+      SELECT arrival, id, list(number ORDER BY place) AS phone_numbers FROM (
+        SELECT page_id % {ARRIVALS} AS arrival, {_HOST} AS id, number, min(url || '|' || lpad(pos::VARCHAR, 9, '0')) AS place
+        FROM (SELECT p.page_id, p.url, v.pos, v.valid_number AS number
+              FROM ({validated(page_phone_rows('pages', tel=False))}) v JOIN pages p ON p.page_id = v.page_id
+              WHERE v.error IS NULL)
+        GROUP BY ALL)
+      GROUP BY ALL
     )
-    return apply_log(store, read_log(spark, f"{work}/log")).store.select("id", "phone_numbers")
+    SELECT after_batch, id, last.phone_numbers
+    FROM (SELECT DISTINCT {_HOST} AS id FROM pages) CROSS JOIN (SELECT unnest(range({ARRIVALS})) AS after_batch)
+    LEFT JOIN (SELECT s.after_batch, a.id, max_by(a.phone_numbers, a.arrival) AS phone_numbers
+               FROM arrived a JOIN (SELECT unnest(range({ARRIVALS})) AS after_batch) s ON a.arrival <= s.after_batch
+               GROUP BY ALL) last USING (after_batch, id)
+    """,
+    lists=("phone_numbers",),
+)
+def stream_into_store_query(spark, sf_dir):
+    """The pages arrive in four parts; the store after each micro-batch.
+
+    Each batch but the first is followed by the one before it once more, which must not count.
+    """
+    pages = table(spark, sf_dir, "pages")
+    work = scratch_dir(spark)
+    store = CompanyStore(spark, f"{work}/store", f"store_{uuid.uuid4().hex}")
+    store.create(_host_store(pages))
+    after = []
+    for batch in range(ARRIVALS):
+        arrived = pages.where(f"page_id % {ARRIVALS} = {batch}")
+        arrived.write.parquet(f"{work}/in/{batch}")
+        stream = stream_captures(spark, f"{work}/in/*", pages.schema, body="html")
+        start_store_stream(stream, store, f"{work}/checkpoint").awaitTermination()
+        if batch:
+            merge_batch(store, load_captures(spark.read.parquet(f"{work}/in/{batch - 1}"), body="html"), batch - 1)
+        after.append(store.read().select(F.lit(batch).alias("after_batch"), "id", "phone_numbers"))
+    return reduce(lambda a, b: a.unionByName(b), after)
