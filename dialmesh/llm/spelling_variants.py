@@ -4,15 +4,19 @@ A word stands between ``^`` and ``$``.  At each place its gram grows from two ch
 until fewer than T of all grams are like it; a place whose grams stay frequent to eight
 characters or the end of the word gives none.  The dictionary is the frequent grams alone,
 pruned by T, which bounds their number.  What a gram is depends on its own characters only,
-so an edit touches just the grams that lie over it.  Their largest number over all places of
-a word is its bound A: of any A + 1 grams of the word, each word one edit away has at least
-one.  So the lists of its A + 1 rarest grams are merged, and all of them, as every list is
-shorter than T, are short.  The merged words are verified by their edit distance.
-
-Words whose grams can all be touched at once take the next T, eight times as large, with
-shorter grams; at the last T the dictionary is empty and all grams have two characters, of
-which one edit leaves most.  An untouched gram stands at the same place or is shifted by the
-difference in length, so lists are kept by gram, place and length.
+so an edit touches just the grams that lie over it.
+
+The lists of a few grams of a word are merged: so many that the bound on those an edit can
+touch is below their number, so every word one edit away is in one of the lists.  Grams that
+share no place do with the fewest, two lists with a bound of one; the two that are rarest
+together are taken, and as every list is shorter than T, none is long.  The merged words are
+verified by their edit distance.
+
+Words without two grams apart, all of which one edit could touch, take the next T, eight
+times as large, with shorter grams; at the last T the dictionary is empty and all grams have
+two characters.  An untouched gram stands at the same place or is shifted by the difference
+in length, so lists are kept by gram, place and length, and a word asks for those of its own
+length and of the next one; pairs count in both orders.
 """
 
 from __future__ import annotations
@@ -72,66 +76,73 @@ def most_affected(word: str, grams: list[tuple[int, str]]) -> int:
     return max(cover[1:-1], default=0)
 
 
-def rarest_grams(word: str, frequent: dict[str, int], limit: int) -> tuple[int, list[tuple[int, str]]]:
-    """The limit under which one edit leaves a gram of the word, and the grams to look up."""
+def merged_grams(word: str, frequent: dict[str, int], limit: int) -> tuple[int, list[tuple[int, str]]]:
+    """The limit under which one edit leaves a gram of the word, and the two grams to look up."""
     while True:
         grams = grams_of(word, frequent, limit)
-        affected = most_affected(word, grams)
-        if affected < len(grams):
-            grams.sort(key=lambda g: (frequent.get(g[1], 0), -len(g[1])))
-            return limit, grams[: affected + 1]
+        counts = [frequent.get(gram, 0) for _, gram in grams]
+        best, first, chosen = None, None, []
+        ended = 0  # grams so far that end before the present one begins; ends rise with places
+        for j, (place, gram) in enumerate(grams):
+            while ended < j and grams[ended][0] + len(grams[ended][1]) <= place:
+                if first is None or counts[ended] < counts[first]:
+                    first = ended
+                ended += 1
+            if first is not None and (best is None or counts[first] + counts[j] < best):
+                best, chosen = counts[first] + counts[j], [grams[first], grams[j]]
+        if chosen:
+            return limit, chosen
         limit *= LADDER
 
 
-KEYS = "`limit` bigint, gram string, place int, length int"
+def _key(limit: int, gram: str, place: int, length: int) -> str:
+    return f"{limit} {place} {length} {gram}"
 
 
 def _lookups(words: DataFrame, frequent, limit: int) -> DataFrame:
-    """``limit, gram, place, length, word, n``: lists to merge for each word."""
+    """``word, n, limit, keys``: lists to merge for each word, of its length and the next."""
 
     def make():
         known = frequent.value
 
         def step(batch):
             names, counts = batch.columns
-            rows = []
-            for word, n in zip(names.to_pylist(), counts.to_pylist()):
-                used, grams = rarest_grams(word, known, limit)
+            limits, keys = [], []
+            for word in names.to_pylist():
+                used, grams = merged_grams(word, known, limit)
                 size = len(word)
-                for place, gram in grams:
-                    # length of the other word, and places of its gram
-                    for other, places in ((size, (0,)), (size + 1, (0, 1)), (size - 1, (0, -1))):
-                        rows += [(used, gram, place + by, other, word, n) for by in places]
-            yield _columns(rows)
+                limits.append(used)
+                keys.append([_key(used, g, i + by, size + more) for i, g in grams for more, by in ((0, 0), (1, 0), (1, 1))])
+            yield [names, counts, pa.array(limits, pa.int64()), pa.array(keys, pa.list_(pa.string()))]
 
         return step
 
-    return map_batches(words, make, f"{KEYS}, word string, n bigint")
+    return map_batches(words, make, "word string, n bigint, `limit` bigint, keys array<string>")
 
 
 def _postings(words: DataFrame, frequent, limits: list[int]) -> DataFrame:
-    """``limit, gram, place, length, near, near_n``: all words by their grams."""
+    """``near, near_n, keys``: the lists that each word is in."""
 
     def make():
         known = frequent.value
 
         def step(batch):
             names, counts = batch.columns
-            rows = []
-            for word, n in zip(names.to_pylist(), counts.to_pylist()):
-                for limit in limits:
-                    rows += [(limit, g, i, len(word), word, n) for i, g in grams_of(word, known, limit)]
-            yield _columns(rows)
+            keys = [
+                [_key(limit, g, i, len(word)) for limit in limits for i, g in grams_of(word, known, limit)]
+                for word in names.to_pylist()
+            ]
+            yield [names, counts, pa.array(keys, pa.list_(pa.string()))]
 
         return step
 
-    return map_batches(words, make, f"{KEYS}, near string, near_n bigint")
+    return map_batches(words, make, "near string, near_n bigint, keys array<string>")
 
 
-def _columns(rows: list[tuple]) -> list[pa.Array]:
-    kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())
-    columns = zip(*rows) if rows else ((),) * len(kinds)
-    return [pa.array(list(c), kind) for c, kind in zip(columns, kinds)]
+def _by_key(rows: DataFrame) -> DataFrame:
+    """One row per list; different lists of one hash only bring words that fail to verify."""
+    names = rows.columns[:2]
+    return rows.select(*names, F.explode("keys").alias("key")).select(*names, F.xxhash64("key").alias("key"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -143,9 +154,12 @@ def near_words(words: DataFrame) -> DataFrame:
     lookups = materialize(_lookups(words, shared, limit))
     limits = sorted(r[0] for r in lookups.select("limit").distinct().collect())  # few: powers of LADDER
     lists = _postings(words, shared, limits)
-    merged = lookups.join(lists, ["limit", "gram", "place", "length"])
+    merged = _by_key(lookups).join(_by_key(lists), "key")
     near = merged.where((F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1))
-    return near.select("word", "n", "near", "near_n").distinct()
+    there = F.struct("word", "n", "near", "near_n")
+    back = F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    both = near.select(F.explode(F.when(F.length("word") == F.length("near"), F.array(there)).otherwise(F.array(there, back))).alias("p"))
+    return both.select("p.*").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:

@@ -179,9 +179,11 @@ def test_bound_of_affected_grams():
         m = f"^{w}$"
         grams.update(m[i : i + q] for q in range(2, 9) for i in range(len(m) - q + 1))
     for w in words:
-        limit, rare = sv.rarest_grams(w, grams, 4)
+        limit, rare = sv.merged_grams(w, grams, 4)
         own = sv.grams_of(w, grams, limit)
-        assert len(rare) == sv.most_affected(w, own) + 1 and all(grams[g] < limit for _, g in own)
+        assert sv.most_affected(w, rare) < len(rare) == 2 and all(grams[g] < limit for _, g in own)
+        apart = [grams[a] + grams[b] for i, a in own for j, b in own if i + len(a) <= j]
+        assert sum(grams[g] for _, g in rare) == min(apart)
         for at in range(len(w) + 1):
             edits = [w[:at] + c + w[at:] for c in "abz"] + [w[:at] + w[at + 1 :]] * (at < len(w)) + [w[:at] + "z" + w[at + 1 :]]
             for other in edits:
