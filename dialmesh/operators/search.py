@@ -160,27 +160,41 @@ def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
     return scored.groupBy("query_id", "id").agg(F.round(best, SCORE_DIGITS).alias("score"))
 
 
+def asked_numbers(queries: DataFrame) -> DataFrame:
+    """``query_id, number`` of the queries whose number validates."""
+    checked = add_once(queries.select("query_id", "phone"), "_v", validate_phone("phone"))
+    return checked.select("query_id", F.col("_v.number").alias("number")).where("number is not null")
+
+
+def number_hits(listed: DataFrame, asked: DataFrame) -> DataFrame:
+    """``query_id, id, score`` with each distinct number of ``asked(number)`` as ``query_id``;
+    ``listed`` has ``number, id``, pairs once."""
+    numbers = asked.select("number").distinct()
+    hits = _join_on_hot_key(listed, numbers, "number", is_small(numbers, BROADCAST_TERMS))
+    return hits.select(F.col("number").alias("query_id"), "id", F.lit(1.0).alias("score"))
+
+
 def phone_hits(store: DataFrame, queries: DataFrame) -> DataFrame:
     """``query_id, id, score`` of the companies that list the query's number."""
-    checked = add_once(queries.select("query_id", "phone"), "_v", validate_phone("phone"))
-    wanted = checked.select("query_id", F.col("_v.number").alias("number")).where(
-        "number is not null"
-    )
+    wanted = asked_numbers(queries)
     numbers = store.select("id", F.explode(F.array_distinct("phone_numbers")).alias("number"))
     return _join_on_hot_key(numbers, wanted, "number", is_small(wanted, BROADCAST_TERMS)).select(
         "query_id", "id", F.lit(1.0).alias("score")
     )
 
 
-def search_result(hits: DataFrame, store: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """``query_id, total, rank, score`` and the company's columns.
+def ranked_page(hits: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The best hits per query with ``total``, which counts all hits, not only those returned.
 
-    ``total`` counts all hits, not only those returned.  Counting the score keeps
-    both uses of the hits on one shuffle.
+    Counting the score keeps both uses of the hits on one shuffle.
     """
     totals = hits.groupBy("query_id").agg(F.count("score").alias("total"))
-    top = search_sort(hits, page_size).join(totals, "query_id")
-    return store.select(*STORE_COLUMNS).join(top, "id").select(
+    return search_sort(hits, page_size).join(totals, "query_id")
+
+
+def search_result(hits: DataFrame, store: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``query_id, total, rank, score`` and the company's columns."""
+    return store.select(*STORE_COLUMNS).join(ranked_page(hits, page_size), "id").select(
         "query_id", "total", "rank", "score", *STORE_COLUMNS
     )
 
@@ -189,12 +203,10 @@ def search_phones(store: DataFrame, queries: DataFrame, page_size: int = PAGE_SI
     """``search_result`` of ``queries(query_id, phone)``; each distinct number is looked up once.
 
     A number that thousands of queries ask for is counted and ranked once; only its best
-    rows meet the queries.
+    rows meet the queries.  ``CompanyStore.search_phones`` reads stored numbers instead of
+    all companies.
     """
-    asked = add_once(queries.select("query_id", "phone"), "_v", validate_phone("phone")).select(
-        "query_id", F.col("_v.number").alias("number")
-    )
-    asked = asked.where("number is not null")
+    asked = asked_numbers(queries)
     numbers = asked.select(F.col("number").alias("query_id"), F.col("number").alias("phone")).distinct()
     found = search_result(phone_hits(store, numbers), store, page_size)
     # at most page_size rows per number

@@ -9,6 +9,10 @@ old or the new version, never a half, and a failed write leaves the old one as i
 
 A batch number makes a change count once: one that is not above the number in the version
 has been applied and is skipped.
+
+Beside the companies lie their phone numbers as ``number, id``, partitioned by number.  A
+change takes the pairs that went out of, and those that came into their partitions, and the
+same version switches both, so a search by number never sees one without the other.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.phones import validate_phone
 from ..functions.urls import company_id, parse_url_checked
+from ..joins import lookup_join
 from ..operators.companies import (
     STORE_COLUMNS,
     STORE_SCHEMA,
@@ -29,18 +35,23 @@ from ..operators.companies import (
     update_fields,
     upsert_companies,
 )
+from ..operators.search import PAGE_SIZE, asked_numbers, number_hits, ranked_page
 from ..session import child_folders, materialize, remove_folder, scratch_dir
 from .company_table import ConcurrentWrite
 
-VERSION_SCHEMA = "part int, folder string, batch bigint"
-NO_PART = -1  # the row that carries the batch number
+VERSION_SCHEMA = "kind string, part int, folder string, batch bigint"
+COMPANIES, NUMBERS, BATCH = "companies", "numbers", "batch"
+SCHEMAS = {COMPANIES: STORE_SCHEMA, NUMBERS: "number string, id string"}
+SPREAD = 16  # partitions that the companies with one number are dealt over
+PUSHED = 200  # numbers that are named in the filter of a read
 REJECT_SCHEMA = "url string, error string"
 
 
 @dataclass(frozen=True)
 class Version:
     at: str  # its folder
-    folders: dict[int, str]  # of the partitions with rows
+    folders: dict[int, str]  # of the partitions with companies
+    numbers: dict[int, str]  # of the partitions with phone numbers
     batch: int | None  # the last one applied
 
     def has(self, batch: int | None) -> bool:
@@ -58,7 +69,7 @@ class CompanyStore:
 
     def create(self, companies: DataFrame | None = None) -> None:
         """Create the store, empty or with ``companies`` in store shape, ids once each."""
-        empty = self._write_version({}, None)
+        empty = self._write_version({}, {}, None)
         self.spark.sql(f"CREATE TABLE {self.name} ({VERSION_SCHEMA}) USING parquet LOCATION '{empty}'")
         if companies is not None:
             rows = self._here(as_store_rows(companies).where("id is not null"))
@@ -69,16 +80,45 @@ class CompanyStore:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
         at = described.where("col_name = 'Location'").first()["data_type"]
         rows = self.spark.read.schema(VERSION_SCHEMA).parquet(at).collect()
-        folders = {part: folder for part, folder, _ in rows if part != NO_PART}
-        return Version(at, folders, max((r["batch"] for r in rows if r["batch"] is not None), default=None))
+        kinds = {kind: {r["part"]: r["folder"] for r in rows if r["kind"] == kind} for kind in SCHEMAS}
+        batch = max((r["batch"] for r in rows if r["batch"] is not None), default=None)
+        return Version(at, kinds[COMPANIES], kinds[NUMBERS], batch)
 
     def read(self, parts: set[int] | None = None, version: Version | None = None) -> DataFrame:
         """The rows (of some partitions), as of now: later changes do not show in them."""
-        folders = (version or self.version()).folders
-        asked = [folder for part, folder in sorted(folders.items()) if parts is None or part in parts]
-        if not asked:
-            return self.spark.createDataFrame([], STORE_SCHEMA)
-        return self.spark.read.schema(STORE_SCHEMA).parquet(*asked)
+        return self._read(COMPANIES, (version or self.version()).folders, parts)
+
+    def read_numbers(self, numbers: DataFrame | None = None, version: Version | None = None) -> DataFrame:
+        """``number, id``, of all companies or from the partitions of the given ``number``s."""
+        folders = (version or self.version()).numbers
+        if numbers is None:
+            return self._read(NUMBERS, folders, None)
+        placed = numbers.select("number", F.explode(self._number_parts(F.col("number"))).alias("part"))
+        listed = self._read(NUMBERS, folders, {r[0] for r in placed.select("part").distinct().collect()})
+        few = numbers.select("number").distinct().limit(PUSHED + 1).collect()
+        if len(few) <= PUSHED:  # the filter reaches the files, which are sorted by number
+            return listed.where(F.col("number").isin([r[0] for r in few]))
+        return listed
+
+    def search_phones(self, queries: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+        """``operators.search.search_phones`` by the stored numbers: reads their partitions, and
+        those of the companies that are returned."""
+        now = self.version()
+        asked = materialize(asked_numbers(queries))
+        hits = number_hits(self.read_numbers(asked, now), asked)
+        found = materialize(ranked_page(hits, page_size))
+        ids = found.select("id").distinct()
+        companies = self.read(self._parts_of(ids), now).select(*STORE_COLUMNS)
+        rows = materialize(companies.join(found, "id")).withColumnRenamed("query_id", "number")
+        return lookup_join(asked, rows, "number").select("query_id", "total", "rank", "score", *STORE_COLUMNS)
+
+    def search_phone(self, phone: str) -> DataFrame:
+        """The companies with one number, by rank; ``ValueError`` if it does not validate."""
+        queries = self.spark.createDataFrame([(0, phone)], "query_id int, phone string")
+        error = queries.select(validate_phone("phone")["error"].alias("error")).first()["error"]
+        if error:
+            raise ValueError(error)
+        return self.search_phones(queries).drop("query_id").orderBy("rank")
 
     def get(self, url: str) -> DataFrame:
         """The row of a URL or bare domain, read from its partition only; ``ValueError`` if bad."""
@@ -112,7 +152,7 @@ class CompanyStore:
         Not while a reader still works on an older version.
         """
         now = self.version()
-        used = {"/".join(folder.split("/")[-2:]) for folder in now.folders.values()}
+        used = {"/".join(f.split("/")[-2:]) for f in [*now.folders.values(), *now.numbers.values()]}
         used.add("version/" + now.at.rsplit("/", 1)[1])
         old = [f"version/{name}" for name in child_folders(self.spark, f"{self.location}/version")]
         for write in child_folders(self.spark, f"{self.location}/data"):
@@ -144,28 +184,68 @@ class CompanyStore:
     def _part(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.parts)).cast("int")
 
+    def _number_parts(self, number: Column) -> Column:
+        """Partitions that may hold a number: a hot one lies in several, by id."""
+        first = F.xxhash64(number)
+        return F.array_distinct(F.array(*[F.pmod(F.pmod(first, F.lit(self.parts)) + i, F.lit(self.parts)).cast("int") for i in range(SPREAD)]))
+
+    def _number_part(self, number: Column, key: Column) -> Column:
+        place = F.pmod(F.xxhash64(number), F.lit(self.parts)) + F.pmod(F.xxhash64(key), F.lit(SPREAD))
+        return F.pmod(place, F.lit(self.parts)).cast("int")
+
     def _parts_of(self, ids: DataFrame) -> set[int]:
         return {r[0] for r in ids.select(self._part(F.col("id"))).distinct().collect()}
 
+    def _read(self, kind: str, folders: dict[int, str], parts: set[int] | None) -> DataFrame:
+        asked = [folder for part, folder in sorted(folders.items()) if parts is None or part in parts]
+        if not asked:
+            return self.spark.createDataFrame([], SCHEMAS[kind])
+        return self.spark.read.schema(SCHEMAS[kind]).parquet(*asked)
+
+    def _write(self, rows: DataFrame, parts: set[int], order: list[str]) -> dict[int, str]:
+        """Folders of partitions, from rows with their ``part``."""
+        written = self._folder("data")
+        placed = rows.repartition(len(parts), "part").sortWithinPartitions("part", *order)
+        placed.write.partitionBy("part").parquet(written)
+        made = child_folders(self.spark, written)
+        return {int(name.removeprefix("part=")): f"{written}/{name}" for name in made if name.startswith("part=")}
+
     def _replace(self, rows: DataFrame, made_from: Version, batch: int | None, parts: set[int]) -> None:
         """The next version: ``rows`` in the given partitions, the others as they were."""
-        folders = dict(made_from.folders)
+        folders, numbers = dict(made_from.folders), made_from.numbers
         if parts:
-            written = self._folder("data")
             placed = rows.select(*STORE_COLUMNS, self._part(F.col("id")).alias("part"))
-            placed = placed.repartition(len(parts), "part").sortWithinPartitions("part", "id")
-            placed.write.partitionBy("part").parquet(written)
-            folders.update({part: f"{written}/part={part}" for part in parts})
-        version = self._write_version(folders, made_from.batch if batch is None else batch)
+            folders.update(self._write(placed, parts, ["id"]))
+            before, after = self._read(COMPANIES, made_from.folders, parts), self._read(COMPANIES, folders, parts)
+            numbers = self._changed_numbers(_listed(before), _listed(after), numbers)
+        version = self._write_version(folders, numbers, made_from.batch if batch is None else batch)
         if self.version().at != made_from.at:
             raise ConcurrentWrite(f"{self.name} has a newer version than {made_from.at}")
         self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{version}'")
 
-    def _write_version(self, folders: dict[int, str], batch: int | None) -> str:
-        rows = [*[(part, folder, None) for part, folder in folders.items()], (NO_PART, None, batch)]
+    def _changed_numbers(self, before: DataFrame, after: DataFrame, folders: dict[int, str]) -> dict[int, str]:
+        """Folders of the number partitions after companies changed from one state to another."""
+        pair = ["number", "id"]
+        sides = before.select(*pair, F.lit(-1).alias("by")).unionByName(after.select(*pair, F.lit(1).alias("by")))
+        changed = materialize(sides.groupBy(*pair).agg(F.sum("by").alias("by")).where("by <> 0"))
+        part = self._number_part(F.col("number"), F.col("id")).alias("part")
+        touched = {r[0] for r in changed.select(part).distinct().collect()}
+        if not touched:
+            return folders
+        kept = self._read(NUMBERS, folders, touched).join(changed.where("by < 0").select(*pair), pair, "left_anti")
+        made = self._write(kept.unionByName(changed.where("by > 0").select(*pair)).select(*pair, part), touched, pair)
+        return {p: f for p, f in folders.items() if p not in touched} | made
+
+    def _write_version(self, folders: dict[int, str], numbers: dict[int, str], batch: int | None) -> str:
+        rows = [(COMPANIES, part, folder, None) for part, folder in folders.items()]
+        rows += [(NUMBERS, part, folder, None) for part, folder in numbers.items()]
         path = self._folder("version")
-        self.spark.createDataFrame(rows, VERSION_SCHEMA).coalesce(1).write.parquet(path)
+        self.spark.createDataFrame([*rows, (BATCH, None, None, batch)], VERSION_SCHEMA).coalesce(1).write.parquet(path)
         return path
 
     def _folder(self, kind: str) -> str:
         return f"{self.location}/{kind}/{uuid.uuid4().hex}"
+
+
+def _listed(companies: DataFrame) -> DataFrame:
+    return companies.select("id", F.explode(F.array_distinct("phone_numbers")).alias("number"))

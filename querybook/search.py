@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from dialmesh.operators.search import (
     name_hits,
     name_index,
@@ -11,6 +13,8 @@ from dialmesh.operators.search import (
     search_sort,
     tokenize_names,
 )
+from dialmesh.session import scratch_dir
+from dialmesh.sources.company_store import CompanyStore
 
 from .base import query, table
 
@@ -134,21 +138,32 @@ _PHONE_HITS = f"""
 """
 
 
-@query(
-    "search_by_phone",
-    f"""
+_PHONE_PAGES = f"""
     SELECT query_id, total, rank, id FROM (
       SELECT *, count(*) OVER (PARTITION BY query_id) AS total,
              row_number() OVER (PARTITION BY query_id ORDER BY id) AS rank FROM ({_PHONE_HITS})
     ) WHERE rank <= 10
-    """,
-)
-def search_by_phone_query(spark, sf_dir):
-    store = part_store(spark, sf_dir)
-    queries = table(spark, sf_dir, "supplier").selectExpr(
+"""
+
+
+def phone_queries(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS query_id", f"{_PHONE_TEXT.format(string='string')} AS phone"
     )
-    return search_phones(store, queries).select("query_id", "total", "rank", "id")
+
+
+@query("search_by_phone", _PHONE_PAGES)
+def search_by_phone_query(spark, sf_dir):
+    store = part_store(spark, sf_dir)
+    return search_phones(store, phone_queries(spark, sf_dir)).select("query_id", "total", "rank", "id")
+
+
+@query("search_stored_numbers", _PHONE_PAGES)
+def search_stored_numbers_query(spark, sf_dir):
+    """The same searches by the numbers that the store keeps."""
+    store = CompanyStore(spark, f"{scratch_dir(spark)}/store", f"store_{uuid.uuid4().hex}")
+    store.create(part_store(spark, sf_dir))
+    return store.search_phones(phone_queries(spark, sf_dir)).select("query_id", "total", "rank", "id")
 
 
 _MIXED = """

@@ -71,6 +71,46 @@ def test_upsert_and_fields(spark, store):
     assert rows(store.read())["z.example"]["legal_name"] == "L" and store.version().batch == 5
 
 
+def listed(store):
+    return sorted(map(tuple, store.read_numbers().select("number", "id").collect()))
+
+
+def test_numbers_follow_the_companies(spark, store):
+    assert listed(store) == sorted(("old", r[0]) for r in ROWS)
+    assert len(store.version().numbers) == 8  # one hot number, dealt by id
+    number = "+1 541-754-3010"
+    before = store.version().numbers
+    store.update(update(spark, ("c1.example", [number, number, "x"], 1), ("c2.example", [number], 1)))
+    after = store.version().numbers
+    assert listed(store) == sorted([("old", r[0]) for r in ROWS[:1] + ROWS[3:]] + [(number, "c1.example"), (number, "c2.example"), ("x", "c1.example")])
+    assert 0 < sum(after[p] != f for p, f in before.items()) <= 5
+    rejects = store.update(update(spark, ("c3.example", ["old"], 1)))  # the same list again: its pairs stay
+    assert rejects.isEmpty() and store.version().numbers == after
+    found = store.search_phone("(541) 754-3010").collect()
+    assert [(r["rank"], r["total"], r["id"], r["phone_numbers"]) for r in found] == [
+        (1, 2, "c1.example", [number, number, "x"]), (2, 2, "c2.example", [number])]
+    queries = spark.createDataFrame([(1, "541.754.3010"), (2, "5417543010"), (3, "bad"), (4, "541-754-3999"), (None, None)], "query_id int, phone string")
+    got = sorted((r["query_id"], r["rank"], r["id"]) for r in store.search_phones(queries).collect())
+    assert got == [(q, n, f"c{n}.example") for q in (1, 2) for n in (1, 2)]
+    with pytest.raises(ValueError, match="invalid_number"):
+        store.search_phone("123")
+    store.upsert(spark.createDataFrame([("c1.example", 1)], "domain string, n int"), ["n"])
+    assert [r["id"] for r in store.search_phone("541-754-3010").collect()] == ["c2.example"]
+
+
+def test_number_search_reads_its_files_only(spark, tmp_path):
+    rows = [(f"d{i}.example", "", "", "", [], [f"+1 541-754-{i:04d}"]) for i in range(400)]
+    store = CompanyStore(spark, str(tmp_path / "s"), f"s_{uuid.uuid4().hex}", parts=64)
+    store.create(spark.createDataFrame(rows, STORE_SCHEMA))
+    asked = spark.createDataFrame([("+1 541-754-0123",)], "number string")
+    read = store.read_numbers(asked)
+    assert len(read.inputFiles()) <= 16 and len(store.read_numbers().inputFiles()) == 64
+    assert [r["id"] for r in read.collect()] == ["d123.example"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "EqualTo(number,+1 541-754-0123)" in plan
+    assert [r["id"] for r in store.search_phone("541-754-0123").collect()] == ["d123.example"]
+
+
 def test_empty_store_and_changes(spark, tmp_path):
     store = CompanyStore(spark, str(tmp_path / "s"), f"s_{uuid.uuid4().hex}", parts=4)
     store.create()
