@@ -49,7 +49,7 @@ class NameIndex:
         saved = self.postings.sparkSession.read.schema(self.postings.schema).parquet(
             f"{path}/postings"
         )
-        _term_stats(saved).write.mode("overwrite").parquet(f"{path}/terms")
+        term_stats(saved).write.mode("overwrite").parquet(f"{path}/terms")
         self.fields.write.mode("overwrite").parquet(f"{path}/fields")
 
     @staticmethod
@@ -78,11 +78,11 @@ def tokenize_names(store: DataFrame) -> DataFrame:
     ).select("_t.term", "field", "id", "_t.tf", "len")
 
 
-def _term_stats(postings: DataFrame) -> DataFrame:
+def term_stats(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _field_stats(store: DataFrame) -> DataFrame:
+def field_stats(store: DataFrame) -> DataFrame:
     """Documents with at least one term in the field, and their mean length."""
     lengths = {
         "commercial_name": F.size(name_tokens("commercial_name")),
@@ -103,16 +103,18 @@ def _field_stats(store: DataFrame) -> DataFrame:
 
 def name_index(store: DataFrame) -> NameIndex:
     postings = tokenize_names(store)
-    return NameIndex(postings, _term_stats(postings), _field_stats(store))
+    return NameIndex(postings, term_stats(postings), field_stats(store))
 
 
-def _join_on_hot_key(big: DataFrame, small: DataFrame, key: str, broadcast: bool) -> DataFrame:
-    """Equi-join that stays even when one key holds much of ``big``."""
+def join_on_hot_key(
+    big: DataFrame, small: DataFrame, key: str, broadcast: bool, salt: str = "id"
+) -> DataFrame:
+    """Equi-join that stays even when one key holds much of ``big``, dealt by ``salt``."""
     if broadcast:
         return big.join(F.broadcast(small), key)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (
-        big.withColumn("_salt", F.pmod(F.hash("id"), F.lit(SALTS)))
+        big.withColumn("_salt", F.pmod(F.hash(salt), F.lit(SALTS)))
         .join(salted, [key, "_salt"])
         .drop("_salt")
     )
@@ -127,16 +129,11 @@ def search_sort(hits: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= page_size)
 
 
-def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
-    """``query_id, id, score`` of every company with at least one query term."""
-    wanted = (
-        queries.select("query_id", F.explode(name_tokens("name")).alias("term"))
-        .groupBy("query_id", "term")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    fields = F.broadcast(index.fields)  # one row per name field: three rows
-    idf = (
-        index.terms.join(wanted.select("term").distinct(), "term", "left_semi")
+def term_idf(terms: DataFrame, fields: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``term, field, avg_len, idf`` of the wanted terms."""
+    fields = F.broadcast(fields)  # one row per name field: three rows
+    return (
+        terms.join(wanted.select("term").distinct(), "term", "left_semi")
         .join(fields, "field")
         .select(
             "term",
@@ -145,12 +142,22 @@ def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
             F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"),
         )
     )
+
+
+def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
+    """``query_id, id, score`` of every company with at least one query term."""
+    wanted = (
+        queries.select("query_id", F.explode(name_tokens("name")).alias("term"))
+        .groupBy("query_id", "term")
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+    idf = term_idf(index.terms, index.fields, wanted)
     weighted = wanted.join(idf, "term")
     norm = F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len"))
     part = F.col("weight") * F.col("idf") * F.col("tf") * (K1 + 1) / norm
     postings = index.postings.withColumnRenamed("field", "_field")
     # At most one weighted row per wanted term and name field.
-    joined = _join_on_hot_key(postings, weighted, "term", is_small(wanted, BROADCAST_TERMS))
+    joined = join_on_hot_key(postings, weighted, "term", is_small(wanted, BROADCAST_TERMS))
     scored = joined.where(F.col("_field") == F.col("field")).select(
         "query_id", "id", "field", part.alias("part")
     )
@@ -170,7 +177,7 @@ def number_hits(listed: DataFrame, asked: DataFrame) -> DataFrame:
     """``query_id, id, score`` with each distinct number of ``asked(number)`` as ``query_id``;
     ``listed`` has ``number, id``, pairs once."""
     numbers = asked.select("number").distinct()
-    hits = _join_on_hot_key(listed, numbers, "number", is_small(numbers, BROADCAST_TERMS))
+    hits = join_on_hot_key(listed, numbers, "number", is_small(numbers, BROADCAST_TERMS))
     return hits.select(F.col("number").alias("query_id"), "id", F.lit(1.0).alias("score"))
 
 
@@ -178,7 +185,7 @@ def phone_hits(store: DataFrame, queries: DataFrame) -> DataFrame:
     """``query_id, id, score`` of the companies that list the query's number."""
     wanted = asked_numbers(queries)
     numbers = store.select("id", F.explode(F.array_distinct("phone_numbers")).alias("number"))
-    return _join_on_hot_key(numbers, wanted, "number", is_small(wanted, BROADCAST_TERMS)).select(
+    return join_on_hot_key(numbers, wanted, "number", is_small(wanted, BROADCAST_TERMS)).select(
         "query_id", "id", F.lit(1.0).alias("score")
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from dialmesh.operators.block_search import BlockIndex, search_names, search_totals
 from dialmesh.operators.search import (
     name_hits,
     name_index,
@@ -118,6 +119,29 @@ def search_by_name_query(spark, sf_dir):
     )
 
 
+def _block_index(spark, store):
+    return BlockIndex.build(store, f"{scratch_dir(spark)}/index")
+
+
+@query(
+    "search_names",
+    f"""
+    SELECT r.query_id, r.total, r.rank, r.score, r.id, p_name || ' & Co' AS commercial_name
+    FROM ({_RANKED}) r JOIN part ON 'p' || p_partkey || '.example' = r.id
+    """,
+)
+def search_names_query(spark, sf_dir):
+    """The page of each search with only the blocks scored that can reach it."""
+    store = part_store(spark, sf_dir)
+    found = search_names(_block_index(spark, store), store, name_queries(spark, sf_dir))
+    return found.select("query_id", "total", "rank", "score", "id", "commercial_name")
+
+
+@query("search_totals", f"SELECT query_id, count(*) AS total FROM ({_HITS}) GROUP BY query_id")
+def search_totals_query(spark, sf_dir):
+    return search_totals(_block_index(spark, part_store(spark, sf_dir)), name_queries(spark, sf_dir))
+
+
 @query("search_result", f"SELECT query_id, total, rank, id FROM ({_RANKED})")
 def search_result_query(spark, sf_dir):
     return search_by_name_query(spark, sf_dir).select("query_id", "total", "rank", "id")
