@@ -120,12 +120,16 @@ def _repeats(docs: DataFrame, size: int, hot: int, key: str, text: str) -> tuple
     met = materialize(kmers.groupBy("minimiser").agg(times.alias("n")).where("n > 1").select("minimiser"))
     wanted = kmers.select("id", "start", "minimiser").join(met, "minimiser", "left_semi")
     wanted = wanted.groupBy("id").agg(F.collect_set("start").alias("starts"))
-    found = BucketedTable(texts.select("id", "mark", "text").join(wanted, "id"), "id")
+    once, copies = _repeated_rows(texts.select("id", "mark", "text"), summary)
+    found = BucketedTable(once.join(wanted, "id"), "id")
     places = materialize(map_batches(
         found.df.select("text", "starts", "id", "mark"), lambda: _places(size),
         "id bigint, mark bigint, start int, minimiser bigint, string_id binary",
     ))
-    repeated = _repeated_windows(found.df, places, size, hot)
+    counted = places.withColumn("n", F.lit(1)) if copies is None else (
+        places.join(copies, ["id", "mark"], "left").withColumn("n", F.coalesce("copies", F.lit(1)))
+    )
+    repeated = _repeated_windows(found.df, counted, size, hot)
     covers = places.select("id", "mark", "start", "string_id").join(repeated, "string_id")
     covers = covers.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "windows")).alias("covers"))
     covers = covers.select("id", F.col("mark").alias("cover_mark"), "covers")
@@ -136,6 +140,20 @@ def _repeats(docs: DataFrame, size: int, hot: int, key: str, text: str) -> tuple
     return summary, cut
 
 
+def _repeated_rows(texts: DataFrame, summary: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Each row once by ``id, mark``, and how many ``copies`` the repeated ones have.
+
+    Windows of equal rows are read and cut once; the count stands for the other copies.
+    """
+    copies = summary.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    copies = materialize(copies.where("copies > 1"))
+    if copies.isEmpty():
+        return texts, None
+    name = ["id", "mark"]
+    single = texts.join(copies, name, "left_anti")
+    return single.unionByName(texts.join(copies, name, "left_semi").dropDuplicates(name)), copies
+
+
 def row_id(key: str, text: Column) -> list[Column]:
     """Two hashes that name a row by its key and text; equal rows share them."""
     return [F.xxhash64(F.col(key), text).alias("id"), F.xxhash64(text, F.col(key), F.lit(1)).alias("mark")]
@@ -203,7 +221,7 @@ def _places(size: int):
 def _repeated_windows(found: DataFrame, places: DataFrame, size: int, hot: int) -> DataFrame:
     """``string_id, windows``: the windows of each different string that occur elsewhere."""
     different = materialize(places.groupBy("minimiser", "string_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "start")).alias("one")
+        F.sum("n").cast("long").alias("n"), F.min(F.struct("id", "mark", "start")).alias("one")
     ))
     per_bucket = different.groupBy("minimiser").agg(F.count(F.lit(1)).alias("strings"))
     hot_ones = materialize(per_bucket.where(F.col("strings") > hot))

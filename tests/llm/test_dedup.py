@@ -186,3 +186,16 @@ def test_cut_repeats(spark):
     want = {i: kept if removed else text for (i, text), (_, _, removed, _, kept) in zip(rows, repeats(rows, 35))}
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == want
     assert cut_repeats(df.where("false")).count() == 0
+
+
+def test_many_equal_rows(spark):
+    rng = random.Random(44)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(150)]
+    text = " ".join(base)
+    rows = [(1, text)] * 3000 + [(2, " ".join([word() for _ in range(50)] + base[20:90])), (3, " ".join(word() for _ in range(60)))] + [(None, "n " * 50)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = collections.Counter(tuple(r) for r in remove_repeats(df).collect())
+    assert got == collections.Counter(w[:4] for w in repeats(rows, 35))
+    left = collections.Counter((r["doc_id"], r["text"]) for r in cut_repeats(df).collect())
+    assert left[1, ""] == 3000 and left[None, ""] == 2 and sum(left.values()) == len(rows)
