@@ -21,16 +21,17 @@ from ..session import materialize
 WINDOW = 8
 SPLIT = r"[\x20\x09-\x0D]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks")
-#: Statistics that rules may use, from the counts.
+#: Statistics that rules may use, from the counts; texts without words count as 0 in each.
 FEATURES = {
-    "word_length": "word_chars / n_words",
-    "symbols_per_word": "n_symbols / n_words",
-    "dup_lines_per_word": "n_dup_lines / n_words",
-    "repeated_share": "n_repeat_words / n_words",
-    "marks_per_word": "n_marks / n_words",
+    "word_length": "try_divide(word_chars, n_words)",
+    "symbols_per_word": "try_divide(n_symbols, n_words)",
+    "dup_lines_per_word": "try_divide(n_dup_lines, n_words)",
+    "repeated_share": "try_divide(n_repeat_words, n_words)",
+    "marks_per_word": "try_divide(n_marks, n_words)",
 }
 QUANTILES = 32
 MAX_RULES, MAX_CONDITIONS = 10, 4
+MAX_FAILED = 12  # rules that may fail the pruning, each time without the condition they began with
 
 
 def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -118,30 +119,40 @@ def verdict(rules: list[Rule]) -> Column:
 def learn_rules(labelled: DataFrame, key: str = "doc_id", max_rules: int = MAX_RULES) -> list[Rule]:
     """Rules for rows with ``quality`` 0 from all rows of ``labelled`` (``COUNTS, quality``).
 
-    Rows without a label are left out.  Without rows of both kinds there are no rules.
+    Rows without a label are left out.  Without rows of both kinds there are no rules.  A
+    third of each kind judges the rules.
     """
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(3))
+    place = F.xxhash64(F.col(key), F.lit(3))
     rows = labelled.where("quality is not null").select(
-        *COUNTS, (F.col("quality") == 0).cast("int").alias("low"), (place == 0).alias("judges")
+        *COUNTS, (F.col("quality") == 0).cast("int").alias("low"), place.alias("place")
     )
     rows = materialize(rows)
     steps = [(i + 0.5) / QUANTILES for i in range(QUANTILES)]
     values = {f: F.coalesce(F.expr(e), F.lit(0.0)) for f, e in FEATURES.items()}
-    cuts = rows.groupBy("low").agg(*(F.percentile_approx(v, steps, 1000).alias(f) for f, v in values.items())).collect()
+    cuts = rows.groupBy("low").agg(
+        F.percentile_approx("place", 1 / 3, 1000).alias("third"),
+        *(F.percentile_approx(v, steps, 1000).alias(f) for f, v in values.items()),
+    ).collect()
     if len(cuts) < 2:
         return []
+    third = {r["low"]: r["third"] for r in cuts}
+    rows = rows.withColumn("judges", F.col("place") <= F.when(F.col("low") == 1, third[1]).otherwise(third[0]))
     thresholds = {
         f: sorted({(a + b) / 2 for r in [sorted({x for c in cuts for x in c[f]})] for a, b in zip(r, r[1:])})
         for f in FEATURES
     }
     rules: list[Rule] = []
-    while len(rules) < max_rules:
-        rule = _grow(rows, thresholds)
-        rule = _prune(rows, rule) if rule else ()
-        if not rule:
+    barred: set[Condition] = set()
+    while len(rules) < max_rules and len(barred) <= MAX_FAILED:
+        grown = _grow(rows, thresholds, barred)
+        if not grown:
             break
-        rules.append(rule)
-        rows = rows.where(~holds(rule))
+        rule = _prune(rows, grown)
+        if rule:
+            rules.append(rule)
+            rows = rows.where(~holds(rule))
+        else:
+            barred.add(grown[0])
     return rules
 
 
@@ -151,7 +162,8 @@ def _reached(feature: str, cuts: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= value))
 
 
-def _grow(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
+def _grow(rows: DataFrame, thresholds: dict[str, list[float]], barred: set[Condition]) -> Rule:
+    """The best conditions one by one; no rule begins with a barred one."""
     rule: Rule = ()
     while len(rule) < MAX_CONDITIONS:
         own = rows.where(~F.col("judges")).where(holds(rule))
@@ -172,7 +184,7 @@ def _grow(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
             for i, cut in enumerate(cuts):
                 p, n = p + counts.get(i, (0, 0))[0], n + counts.get(i, (0, 0))[1]
                 for at_least, a, b in ((False, p, n), (True, p_all - p, n_all - n)):
-                    if a:
+                    if a and (rule or Condition(feature, at_least, cut) not in barred):
                         new = a * (math.log2(a / (a + b)) - math.log2(p_all / (p_all + n_all)))
                         if new > gain:
                             best, gain = Condition(feature, at_least, cut), new

@@ -1,6 +1,7 @@
 """Classifier, rules and scans: held-out accuracy, brute force and planted cases."""
 
 import collections
+import math
 import random
 import re
 
@@ -119,6 +120,53 @@ def test_learned_rules(spark):
     assert df.limit(3).where(rules.verdict([])).count() == 3
 
 
+def test_rules_of_odd_and_few_rows(spark):
+    rng, rows = random.Random(19), [(-1, "", 0), (-2, None, 1), (-3, "  \n", 0), (-4, "short", None), (None, "x", 0)]
+    for i in range(120):
+        words = prose(rng, rng.randint(40, 80))
+        if i % 8 == 0:  # low, by symbols
+            words = [w + "##" if rng.random() < 0.5 else w for w in words]
+        elif i % 8 == 1:  # low, but the base rule sees it
+            words = words[:3] * 12
+        rows.append((i, " ".join(words), int(i % 8 > 1)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    counted = rules.text_statistics(df).join(df.select("doc_id", "quality"), "doc_id")
+    assert rules.learn_rules(counted) != []
+    learned = rules.learn_rules(counted.where(~rules.base_failed()))
+    assert learned
+    judged = counted.where("doc_id >= 0").withColumn("kept", ~rules.base_failed() & rules.verdict(learned))
+    assert {r["doc_id"] for r in judged.where("kept").collect()} == {i for i in range(120) if i % 8 > 1}
+    assert rules.learn_rules(counted.where("doc_id < 0")) == []
+
+
+def test_growing_against_plain_python(spark):
+    """The first condition is the one with the largest information gain of all."""
+    rng, rows = random.Random(20), []
+    for i in range(90):
+        low = i % 3 == 0
+        rows.append((i, 100, rng.randint(300, 900) - 200 * low, rng.randint(0, 30) + 15 * low, rng.randint(0, 9), rng.randint(0, 30), 0, low))
+    names = ("doc_id", *rules.COUNTS, "low")
+    df = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{c} long" for c in rules.COUNTS) + ", low boolean")
+    df = df.withColumn("low", F.col("low").cast("int")).withColumn("judges", F.lit(False))
+    cuts = {f: [0.01, 0.05, 0.1, 0.2, 0.3, 2.0, 4.0, 5.0, 7.0] for f in rules.FEATURES}
+    plain = [dict(zip(names, r)) for r in rows]
+    value = lambda r, f: r[rules.FEATURES[f].split("(")[1].split(",")[0]] / r["n_words"]
+
+    def gain(kept, all_rows):
+        p, p_all = sum(r["low"] for r in kept), sum(r["low"] for r in all_rows)
+        return p * (math.log2(p / len(kept)) - math.log2(p_all / len(all_rows))) if p else 0
+
+    sides = {}
+    for f, steps in cuts.items():
+        for cut in steps:
+            for at_least in (True, False):
+                sides[rules.Condition(f, at_least, cut)] = gain([r for r in plain if (value(r, f) >= cut) == at_least], plain)
+    first = rules._grow(df, cuts, set())[0]
+    assert abs(sides[first] - max(sides.values())) < 1e-9
+    second = rules._grow(df, cuts, {first})[0]
+    assert second != first and abs(sides[second] - max(g for c, g in sides.items() if c != first)) < 1e-9
+
+
 SECRETS = ["AKIA" + "Q7XZ29LMN4PT5RW8", "9f8e7d6c5b4a39281706f5e4d3c2b1a0ffee1234", "a1b2c3d4e5f6a7b8c9"]
 
 
