@@ -33,6 +33,8 @@ from .tokenizers_files import json_cache
 #: Sizes of the four ids of each control byte.
 SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
+WIDEST = 1 << 22  # ids below this are counted in a table
+
 SEGMENT = (
     "part int, segment int, before bigint, n_ids bigint, doc_ids binary, doc_null binary, "
     "doc_sizes binary, ranking binary, control binary, data binary"
@@ -41,18 +43,23 @@ SEGMENT = (
 
 def encode_ranks(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """``ranking, control, data`` of a segment's ids (unsigned 32-bit)."""
-    distinct, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")  # ties: the smaller id first
-    rank = np.empty(len(order), "<u4")
-    rank[order] = np.arange(len(order))
-    ranks = rank[inverse]
+    names = None
+    if ids.max(initial=0) >= WIDEST:  # no places in a vocabulary: number them first
+        names, ids = np.unique(ids, return_inverse=True)
+    counts = np.bincount(ids)
+    distinct = np.flatnonzero(counts)
+    ranked = distinct[np.argsort(-counts[distinct], kind="stable")]  # ties: the smaller id first
+    rank = np.empty(len(counts), "<u4")
+    rank[ranked] = np.arange(len(ranked))
+    ranks = rank[ids]
     codes = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
     padded[: len(codes)] = codes
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
     planes = ranks.view(np.uint8).reshape(-1, 4)
     data = planes[np.arange(4, dtype=np.uint8) <= codes[:, None]]
-    return distinct[order].astype("<u4").tobytes(), control.tobytes(), data.tobytes()
+    ranked = ranked if names is None else names[ranked]
+    return ranked.astype("<u4").tobytes(), control.tobytes(), data.tobytes()
 
 
 def decode_ranks(n_ids: int, ranking: bytes, control: bytes, data: bytes) -> np.ndarray:

@@ -95,7 +95,7 @@ def test_empty_tables(spark, tables, tmp_path):
 def test_registered_queries(spark, name):
     rows = queries.QUERIES[name](spark, SF_DIR)
     table = "embeddings" if "embedding" in name else "documents"
-    n = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/{table}.parquet'").fetchone()[0]
+    n = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/{table}.parquet'").fetchall()[0][0]
     if name not in ("op5_secret_scan", "op10_packing"):
         assert rows.count() == n
     assert "doc_id" in rows.columns or "vec_id" in rows.columns
