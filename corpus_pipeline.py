@@ -7,7 +7,9 @@ kept; tables without rows, and extra columns of any name, pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import itertools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialmesh.llm import queries
@@ -18,7 +20,7 @@ from dialmesh.llm.secret_scan import find, redact
 from dialmesh.llm.substring_dedup import cut_repeats
 from dialmesh.llm.tokenizers_files import public_path
 from dialmesh.llm.toxicity import score_toxicity, toxic_by_language
-from dialmesh.session import materialize, scratch_dir
+from dialmesh.session import materialize, releasing, scratch_dir
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -36,16 +38,42 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(~toxic_by_language("__score", "lang", model)).drop("__score")
 
 
+def _content_keys(docs: DataFrame) -> tuple[Column, DataFrame]:
+    """A hash of ``doc_id`` and ``text`` that differs between rows which differ in them, and
+    ``__row, doc_id, copies`` for each, written.
+
+    A second hash says whether the first is one of two different rows by chance; then other
+    hashes are taken.
+    """
+    for seed in itertools.count():
+        key, check = (F.xxhash64(F.lit(2 * seed + i), "doc_id", "text") for i in (0, 1))
+        rows = docs.select(key.alias("__row"), check.alias("check"), "doc_id").groupBy("__row").agg(
+            F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
+            F.min("check").alias("low"), F.max("check").alias("high"),
+        )
+        rows = materialize(rows)
+        if rows.where("low != high").isEmpty():
+            return key, rows.select("__row", "doc_id", "copies")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of near-duplicates, the one with the smallest key.
 
     Each row counts for itself, whether its key is repeated or null; those without words stay.
+    Of rows with the same key and text one stays, whatever else they hold.
     """
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
-    near = near_duplicates(rows, key="__row").select("__row", "component_id")
-    first = F.min_by("__row", F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("__row")
-    kept = rows.select("__row", "doc_id").join(near, "__row").groupBy("component_id").agg(first)
-    return rows.join(materialize(kept.select("__row")), "__row", "left_semi").select(docs.columns)
+    path = scratch_dir(spark)
+    with releasing():
+        key, rows = _content_keys(docs)
+        near = near_duplicates(docs.select(key.alias("__row"), "text"), key="__row")
+        near = near.groupBy("__row").agg(F.min("component_id").alias("component_id"))
+        first = F.min_by(F.struct("__row", "copies"), F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")
+        kept = rows.join(near, "__row").groupBy("component_id").agg(first).select("first.*")
+        kept = materialize(kept, path)
+    keyed = docs.withColumn("__row", key)
+    single = keyed.join(kept.where("copies = 1"), "__row", "left_semi")
+    again = keyed.join(kept.where("copies > 1"), "__row", "left_semi").dropDuplicates(["__row"])
+    return single.unionByName(again).select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,5 +109,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"{scratch_dir(spark)}/{name}")
+        path = f"{scratch_dir(spark)}/{name}"
+        with releasing():
+            docs = materialize(stage(spark, docs, sf_dir), path)
     return docs
