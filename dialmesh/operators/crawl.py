@@ -15,15 +15,14 @@ from pyspark.sql import functions as F
 
 from ..frames import add_once, explode_positions
 from ..functions.urls import allowed_host, capture_key, parse_url_checked, url_host, visit_url
-from ..joins import lookup_join
-from ..session import BucketedTable, is_small, materialize, scratch_dir
+from ..joins import BloomFilter, lookup_join
+from ..session import BucketedTable, materialize, scratch_dir
 from ..sources.captures import visit_failed
 from .page_features import page_features
 from .phones import sanitize_phones
 
 MAX_VISITS = 11
 PREFERRED = ("contact", "about")  # searched for in this order, case-sensitive
-BROADCAST_HOSTS = 1_000_000  # seed hosts up to which pages are pruned before parsing
 
 _LINKS = "array<string>"
 _PHONES = "array<struct<number:string,confidence:int>>"
@@ -95,20 +94,18 @@ def phones_to_company(phones: DataFrame, url: str = "seed") -> DataFrame:
 
 
 def _visitable(seeds: DataFrame, captures: DataFrame) -> DataFrame:
-    """Captures on a host some seed may visit, when the hosts are few enough to ship."""
+    """Captures on a host some seed may visit, and few others, found before any is parsed.
+
+    The filter has a bounded size for any number of seeds; the crawl itself visits only what
+    it may.
+    """
     host = F.col("parsed.host")
     hosts = (
         seeds.where(host.isNotNull())
-        .select(F.explode(F.array(host, F.concat(F.lit("www."), host))).alias("_host"))
+        .select(F.explode(F.array(host, F.concat(F.lit("www."), host))).alias("host"))
         .distinct()
     )
-    if not is_small(hosts, BROADCAST_HOSTS):
-        return captures
-    return (
-        captures.withColumn("_host", url_host("url"))
-        .join(F.broadcast(hosts), "_host", "left_semi")
-        .drop("_host")
-    )
+    return BloomFilter.build(hosts, "host").keep(captures, url_host("url"))
 
 
 def crawl_features(captures: DataFrame) -> DataFrame:

@@ -98,11 +98,11 @@ def by_hand(seeds, pages):
     return out
 
 
-@pytest.mark.parametrize("limit, hot", [(1_000_000, 1_000_000), (0, 2)])
-def test_random_sites_against_a_loop(spark, limit, hot, monkeypatch):
-    """With and without the broadcast pruning of pages by host, and with hot keys
+@pytest.mark.parametrize("bits, hot", [(16, 1_000_000), (0, 2)])
+def test_random_sites_against_a_loop(spark, bits, hot, monkeypatch):
+    """With room in the filter of hosts and with one full block for all, and with hot keys
     (pages that many seeds want at once) split off."""
-    monkeypatch.setattr(ops, "BROADCAST_HOSTS", limit)
+    monkeypatch.setattr(joins, "KEY_BITS", bits)
     monkeypatch.setattr(joins, "HOT_ROWS", hot)
     rng = random.Random(7)
     pages, seeds = {}, []

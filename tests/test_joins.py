@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from dialmesh import joins
 from dialmesh.operators.companies import STORE_SCHEMA, get_companies
@@ -34,3 +35,22 @@ def test_operators_with_hot_keys(spark, monkeypatch):
     log = spark.createDataFrame([("a.example", 200, None)], "url string, status int, error string")
     status = [r["status"] for r in check_results(urls, log).collect()]
     assert (len(status), status.count(200)) == (90, 30)
+
+
+def test_bloom_filter(spark):
+    keys = spark.range(20_000).selectExpr("'h' || id AS host").unionByName(spark.createDataFrame([(None,)], "host string"))
+    bloom = joins.BloomFilter.build(keys, "host")
+    assert bloom.n_blocks == bloom.blocks.count() == 79
+    inside = bloom.keep(keys.withColumn("x", F.lit(1)), F.col("host"))
+    assert inside.columns == ["host", "x"] and inside.count() == 20_000
+    others = spark.range(100_000).selectExpr("'g' || id AS host")
+    assert 0 < bloom.keep(others, F.col("host")).count() < 1000
+    none = joins.BloomFilter.build(keys.where("false"), "host")
+    assert none.keep(keys, F.col("host")).count() == 0
+
+
+def test_bloom_filter_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_BLOCKS", 2)
+    keys = spark.range(20_000).selectExpr("'h' || id AS host")
+    bloom = joins.BloomFilter.build(keys, "host")
+    assert bloom.blocks.count() == 2 and bloom.keep(keys, F.col("host")).count() == 20_000
