@@ -168,49 +168,54 @@ def import_stats_query(spark, sf_dir):
 
 
 # --- line numbers, rejects and file states ------------------------------------
-# Three company files (customer key modulo 3) in key order, then one with a badly quoted
-# header and one without lines.  The third file opens a quote in its first line.
+# Lists of two hundred customers each, in key order, so their number grows with the table.
+# Every fifth has a badly quoted header, the first opens a quote that is never closed, and
+# one more list has no lines.
 _HEADER_LINE = "domain,company_commercial_name,company_legal_name,company_all_available_names"
-_COMPANY_LINE = """
+_BAD_HEADER = 'domain,"company'
+_CUSTOMERS, _PAGES = 200, 50  # lines of a list
+_EMPTY_LIST = 99_999_999
+_COMPANY_LINE = f"""
   CASE WHEN c_custkey = 2 THEN 'h2.example,"open,,x'
        WHEN c_custkey % 7 = 0 THEN 'h' || c_custkey || '.example,three,fields'
        WHEN c_custkey % 7 = 1 THEN 'bad url ' || c_custkey || ',N,,x'
-       WHEN c_custkey % 7 = 2 AND c_custkey % 3 < 2 THEN 'h' || c_custkey || '.example,a"b,,x'
+       WHEN c_custkey % 7 = 2 AND c_custkey >= {_CUSTOMERS} THEN 'h' || c_custkey || '.example,a"b,,x'
        WHEN c_custkey % 7 = 3 THEN ''
        ELSE 'h' || c_custkey || '.example,N' || c_custkey || ',,x | y' END
 """
+_COMPANY_LINES = f"SELECT c_custkey, c_custkey // {_CUSTOMERS} AS list, {_COMPANY_LINE} AS line FROM customer"
 _COMPANY_RECORDS = f"""
   SELECT *, CASE WHEN c_custkey = 2 THEN 'parse_error' WHEN c_custkey % 7 = 0 THEN 'wrong_number_of_fields'
                  WHEN c_custkey % 7 = 1 THEN 'invalid_url'
-                 WHEN c_custkey % 7 = 2 AND c_custkey % 3 < 2 THEN 'parse_error' END AS error,
+                 WHEN c_custkey % 7 = 2 AND c_custkey >= {_CUSTOMERS} THEN 'parse_error' END AS error,
          row_number() OVER (PARTITION BY list ORDER BY c_custkey) AS line_index
-  FROM (SELECT c_custkey, c_custkey % 3 AS list, {_COMPANY_LINE} AS line FROM customer) WHERE line <> ''
+  FROM ({_COMPANY_LINES}) WHERE line <> '' AND list % 5 <> 4
 """
 
 
-def _ordered_file(spark, header: str, lines=None) -> str:
-    """Path of one file of ``lines(k, line)`` in the order of k below a header."""
-    rows = spark.createDataFrame([(-1, header)], "k bigint, line string")
-    rows = rows if lines is None else rows.unionByName(lines)
-    path = scratch_dir(spark)
-    rows.repartition(1).sortWithinPartitions("k").select("line").write.text(path)
-    return path
+def _write_lists(lines, headers) -> str:
+    """Path of one file per list: ``lines(list, k, line)`` in the order of k below the header
+    that ``headers(list, line)`` has for it."""
+    rows = lines.unionByName(headers.selectExpr("list", "-1L AS k", "line"))
+    rows = rows.selectExpr("lpad(list, 8, '0') AS list", "k", "line")
+    path = scratch_dir(lines.sparkSession)
+    rows.repartition("list").sortWithinPartitions("list", "k").select("list", "line").write.partitionBy("list").text(path)
+    return f"{path}/*"
 
 
-def _numbered(df, paths):
-    """``df`` with the place of its file's path in ``paths`` as ``list``."""
-    place = F.lit(None).cast("long")
-    for i, path in enumerate(paths):
-        place = F.when(F.contains("file", F.lit(path.rsplit("/", 1)[1])), F.lit(i).cast("long")).otherwise(place)
-    return df.withColumn("list", place)
+def _numbered(df):
+    return df.withColumn("list", F.regexp_extract("file", "list=([0-9]+)", 1).cast("long"))
 
 
 def numbered_companies(spark, sf_dir):
-    lines = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", f"{_COMPANY_LINE} AS line")
-    paths = [_ordered_file(spark, _HEADER_LINE, lines.where(f"k % 3 = {i}")) for i in range(3)]
-    paths.append(_ordered_file(spark, 'domain,"company', lines.where("k % 11 = 0")))
-    paths.append(_ordered_file(spark, _HEADER_LINE))
-    return read_companies(spark, paths), paths
+    lines = table(spark, sf_dir, "customer").selectExpr(
+        f"c_custkey div {_CUSTOMERS} AS list", "cast(c_custkey AS long) AS k", f"{_COMPANY_LINE} AS line"
+    )
+    headers = lines.select("list").distinct().selectExpr(
+        "list", f"CASE WHEN list % 5 = 4 THEN '{_BAD_HEADER}' ELSE '{_HEADER_LINE}' END AS line"
+    )
+    empty = spark.createDataFrame([(_EMPTY_LIST, _HEADER_LINE)], "list long, line string")
+    return read_companies(spark, _write_lists(lines, headers.unionByName(empty)))
 
 
 @query(
@@ -218,8 +223,7 @@ def numbered_companies(spark, sf_dir):
     f"SELECT list, line_index, 'h' || c_custkey || '.example' AS id FROM ({_COMPANY_RECORDS}) WHERE error IS NULL",
 )
 def company_line_numbers_query(spark, sf_dir):
-    result, paths = numbered_companies(spark, sf_dir)
-    return _numbered(result.rows, paths).select("list", "line_index", "id")
+    return _numbered(numbered_companies(spark, sf_dir).rows).select("list", "line_index", "id")
 
 
 @query(
@@ -230,35 +234,37 @@ def company_line_numbers_query(spark, sf_dir):
     """,
 )
 def company_rejects_query(spark, sf_dir):
-    result, paths = numbered_companies(spark, sf_dir)
-    return _numbered(result.rejects, paths).select("list", "line_index", "line", "error")
+    return _numbered(numbered_companies(spark, sf_dir).rejects).select("list", "line_index", "line", "error")
 
 
 @query(
     "company_file_states",
     f"""
-    SELECT list, 'parse_error' AS error, count(*) FILTER (error IS NULL) AS good_rows,
-           count(*) FILTER (error IS NOT NULL) AS rejected_rows FROM ({_COMPANY_RECORDS}) GROUP BY list
-    UNION ALL SELECT 3, 'parse_error', 0, 0 UNION ALL SELECT 4, 'empty_csv', 0, 0
+    SELECT l.list, CASE WHEN l.list % 5 = 4 OR count(*) FILTER (r.error = 'parse_error') > 0 THEN 'parse_error'
+                        WHEN count(r.list) = 0 THEN 'empty_csv' END AS error,
+           count(*) FILTER (r.list IS NOT NULL AND r.error IS NULL) AS good_rows,
+           count(*) FILTER (r.error IS NOT NULL) AS rejected_rows
+    FROM (SELECT DISTINCT list FROM ({_COMPANY_LINES})) l LEFT JOIN ({_COMPANY_RECORDS}) r ON r.list = l.list GROUP BY l.list
+    UNION ALL SELECT {_EMPTY_LIST}, 'empty_csv', 0, 0
     """,
 )
 def company_file_states_query(spark, sf_dir):
-    result, paths = numbered_companies(spark, sf_dir)
-    return _numbered(result.files, paths).select("list", "error", "good_rows", "rejected_rows")
+    return _numbered(numbered_companies(spark, sf_dir).files).select("list", "error", "good_rows", "rejected_rows")
 
 
 _DOMAIN_ROWS = f"""
-  SELECT page_id % 2 AS list, row_number() OVER (PARTITION BY page_id % 2 ORDER BY page_id) AS line_index,
+  SELECT page_id // {_PAGES} AS list, row_number() OVER (PARTITION BY page_id // {_PAGES} ORDER BY page_id) AS line_index,
          CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line FROM pages
 """
 
 
 def numbered_domains(spark, sf_dir):
     lines = table(spark, sf_dir, "pages").selectExpr(
-        "page_id AS k", f"CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line"
+        f"page_id div {_PAGES} AS list", "cast(page_id AS long) AS k",
+        f"CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line",
     )
-    paths = [_ordered_file(spark, "domain", lines.where(f"k % 2 = {i}")) for i in range(2)]
-    return read_domains(spark, paths), paths
+    headers = lines.select("list").distinct().selectExpr("list", "'domain' AS line")
+    return read_domains(spark, _write_lists(lines, headers))
 
 
 @query(
@@ -268,26 +274,22 @@ def numbered_domains(spark, sf_dir):
     """,
 )
 def domain_line_numbers_query(spark, sf_dir):
-    result, paths = numbered_domains(spark, sf_dir)
+    result = numbered_domains(spark, sf_dir)
     rows = result.rows.select("file", "line_index", F.lit(False).alias("rejected")).unionByName(
         result.rejects.select("file", "line_index", F.lit(True).alias("rejected"))
     )
-    return _numbered(rows, paths).select("list", "line_index", "rejected")
+    return _numbered(rows).select("list", "line_index", "rejected")
 
 
 @query(
     "domain_reject_report",
     f"""
-    SELECT line_index, line FROM ({_DOMAIN_ROWS}) WHERE list = 1 AND (line LIKE 'bad%' OR line LIKE 'ftp%')
-    ORDER BY line_index LIMIT 20
+    SELECT list, line_index, line FROM ({_DOMAIN_ROWS}) WHERE line LIKE 'bad%' OR line LIKE 'ftp%'
+    ORDER BY list, line_index LIMIT 20
     """,
 )
 def domain_reject_report_query(spark, sf_dir):
-    lines = table(spark, sf_dir, "pages").selectExpr(
-        "page_id AS k", f"CASE WHEN page_id % 9 = 4 THEN '' ELSE {_DOMAIN_LINE} END AS line"
-    )
-    path = _ordered_file(spark, "domain", lines.where("k % 2 = 1"))
-    return read_domains(spark, path).report().select("line_index", "line")
+    return _numbered(numbered_domains(spark, sf_dir).report()).select("list", "line_index", "line")
 
 
 # --- store -------------------------------------------------------------------
