@@ -242,39 +242,74 @@ def hrefs_in_nav(tags: Column | str) -> Column:
     return F.coalesce(bind(as_col(tags), links), F.array().cast("array<string>"))
 
 
+PIECE = 128  # tags
+
+
+def _running_depth(steps: Column) -> Column:
+    """Depth after each step (1, -1); a stray end does not go below zero.
+
+    An appended array is a copied one, so the depths are put together in pieces.
+    """
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(steps) / PIECE).cast("int")),
+        lambda c: F.slice(steps, c * PIECE + 1, F.lit(PIECE)),
+    )
+    last = lambda array: F.element_at(array, F.lit(-1))
+
+    def from_depth(piece: Column, depth: Column) -> Column:
+        return F.aggregate(piece, F.array(depth), lambda acc, s: F.array_append(acc, F.greatest(F.lit(0), last(acc) + s)))
+
+    done = F.aggregate(
+        pieces, F.array(F.array(F.lit(0))), lambda acc, piece: F.array_append(acc, from_depth(piece, last(last(acc))))
+    )
+    # each piece begins with the depth before it
+    rest = lambda array: F.slice(array, F.lit(2), F.size(array))
+    return bind(done, lambda d: F.flatten(F.transform(rest(d), rest)))
+
+
 def _nested_nav_links(items: Column) -> Column:
-    navs = F.filter(
+    """Work in proportion to the tags and the links listed, however deep navs lie."""
+    hrefs = F.transform(F.filter(items, lambda i: i["step"] == 0), lambda i: i["href"])
+    places = F.filter(
         F.transform(items, lambda i, p: F.struct(p.alias("at"), i["step"].alias("step"))),
         lambda n: n["step"] != 0,
     )
-    # Depth after each nav tag; a stray end tag does not go below zero.
-    depths = F.aggregate(
-        navs,
-        F.array().cast("array<int>"),
-        lambda acc, n: F.array_append(
-            acc, F.greatest(F.lit(0), F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + n["step"])
-        ),
-    )
-    marks = F.zip_with(
-        navs, depths, lambda n, d: F.struct(n["at"].alias("at"), n["step"].alias("step"), d.alias("depth"))
-    )
-
-    def inner_links(mark: Column, all_marks: Column) -> Column:
-        end = F.array_min(
-            F.transform(
-                F.filter(
-                    all_marks, lambda m: (m["at"] > mark["at"]) & (m["depth"] < mark["depth"])
-                ),
-                lambda m: m["at"],
-            )
+    # In front of the k-th nav tag stand k others, and else links.
+    navs = F.transform(places, lambda n, k: F.struct((n["at"] - k).alias("links"), n["step"].alias("step"), k.alias("k")))
+    depths = bind(F.transform(navs, lambda n: n["step"]), _running_depth)
+
+    def by_level(after: Column) -> Column:
+        # A start tag and its end tag have one level, and follow each other there.
+        before = F.concat(F.array(F.lit(0)), after)
+        marks = F.zip_with(
+            navs,
+            F.arrays_zip(before.alias("b"), after.alias("a")),
+            lambda n, d: F.struct(
+                F.when(n["step"] == 1, d["a"]).otherwise(d["b"]).alias("level"), n["k"].alias("k"), n["step"], n["links"]
+            ),
         )
-        stop = F.coalesce(end, F.size(items))
-        inside = F.slice(items, mark["at"] + 2, F.greatest(stop - mark["at"] - 1, F.lit(0)))
-        return F.transform(F.filter(inside, lambda i: i["step"] == 0), lambda i: i["href"])
+        return F.sort_array(F.filter(marks, lambda m: m["k"].isNotNull() & (m["level"] > 0)))
+
+    def spans(marks: Column) -> Column:
+        following = F.concat(F.slice(marks, F.lit(2), F.size(marks)), F.slice(marks, F.lit(1), F.lit(0)))
+        pairs = F.zip_with(
+            marks,
+            following,
+            lambda m, f: F.struct(
+                m["k"].alias("k"), m["step"].alias("step"), m["links"].alias("first"),
+                F.when(f["level"] == m["level"], f["links"]).alias("end"),
+            ),
+        )
+        return F.sort_array(F.filter(pairs, lambda p: p["step"] == 1))
+
+    def listed(opened: Column, links: Column) -> Column:
+        inside = lambda p: F.slice(links, p["first"] + 1, F.coalesce(p["end"], F.size(links)) - p["first"])
+        return F.flatten(F.transform(opened, inside))
 
     return bind(
-        marks,
-        lambda ms: F.flatten(
-            F.transform(F.filter(ms, lambda m: m["step"] == 1), lambda m: inner_links(m, ms))
+        hrefs,
+        lambda links: bind(
+            depths,
+            lambda after: bind(by_level(after), lambda marks: bind(spans(marks), lambda opened: listed(opened, links))),
         ),
     )

@@ -1,9 +1,12 @@
+import random
+import time
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dialmesh.functions import html
 
@@ -146,3 +149,30 @@ def test_hostile_pages_stay_linear(column, page):
     """No backtracking stack and no quadratic scan."""
     column([page], html.body_text)
     column([page], lambda c: html.hrefs_in_nav(html.link_tags(c)))
+
+
+def test_random_navs_against_a_stack(column):
+    rng, pages, want = random.Random(4), [], []
+    for _ in range(200):
+        items = [(rng.choice([1, -1, 0, 0]), f"/{i}") for i in range(rng.randrange(40))]
+        pages.append("".join({1: "<nav>", -1: "</nav>", 0: f'<a href="{h}">x</a>'}[k] for k, h in items))
+        opened, spans = [], []
+        for at, (kind, _) in enumerate(items):
+            if kind == 1:
+                opened.append(len(spans))
+                spans.append([at, len(items)])
+            elif kind == -1 and opened:
+                spans[opened.pop()][1] = at
+        want.append([h for a, b in spans for k, h in items[a:b] if k == 0])
+    assert column(pages, lambda c: html.hrefs_in_nav(html.link_tags(c))) == want
+
+
+def test_deep_navs_cost_no_more_than_their_tags(column):
+    def seconds(n):
+        page = "<nav>" * n + '<a href="/x">x</a>' + "</nav>" * n
+        start = time.perf_counter()
+        assert column([page], lambda c: F.size(html.hrefs_in_nav(html.link_tags(c)))) == [n]
+        return time.perf_counter() - start
+
+    seconds(2000)
+    assert seconds(16_000) < 8 * seconds(2000) + 4
