@@ -65,15 +65,16 @@ def sitemap_entries(body: Column | str) -> Column:
     )
 
 
-def _one_body(captures: DataFrame) -> DataFrame:
-    """One row ``key, failure, body`` per captured address, a good one first."""
-    keyed = captures.select(
-        capture_key("url").alias("key"), "url", visit_failed().alias("failure"), "body"
-    )
-    rank = F.struct(F.col("failure").isNotNull(), "url", "body")
-    return keyed.groupBy("key").agg(
-        F.min_by(F.struct("failure", "body"), rank).alias("_c")
-    ).select("key", "_c.*")
+def _parsed_sitemaps(captures: DataFrame) -> DataFrame:
+    """``key, locs, sitemaps``: one row per address that has a good capture.
+
+    Bodies are read where they lie; of several captures of an address the first by URL and
+    entries wins, and only entries move.
+    """
+    good = captures.where(visit_failed().isNull())
+    read = add_once(good.select(capture_key("url").alias("key"), "url", "body"), "_e", sitemap_entries("body"))
+    first = F.min(F.struct("url", "_e.locs", "_e.sitemaps")).alias("_c")
+    return read.groupBy("key").agg(first).select("key", "_c.locs", "_c.sitemaps")
 
 
 def robots_sitemaps(sites: DataFrame, captures: DataFrame) -> DataFrame:
@@ -116,10 +117,7 @@ def expand_sitemaps(roots: DataFrame, captures: DataFrame) -> DataFrame:
     """
     spark = roots.sparkSession
     xml = captures.where(F.col("body").contains("<urlset") | F.col("body").contains("<sitemapindex"))
-    parsed = _one_body(xml).where("failure is null").select(
-        "key", sitemap_entries("body").alias("_e")
-    ).select("key", "_e.*")
-    nodes = BucketedTable(parsed, "key")
+    nodes = BucketedTable(_parsed_sitemaps(xml), "key")
     try:
         return _levels(spark, roots, nodes.df)
     finally:

@@ -116,3 +116,10 @@ def test_random_indexes_against_a_walk(spark):
     for r in links.orderBy("url", "path", "pos").collect():
         got[r["url"]].append(r["link"])
     assert got == want
+
+
+def test_no_body_is_shuffled(spark):
+    captures = spark.createDataFrame([], "url string, status int, error string, body string")
+    plan = ops._parsed_sitemaps(captures)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "HashAggregate" in line or "SortAggregate" in line or "Exchange" in line]
+    assert moved and not any("body" in line for line in moved)
