@@ -1,35 +1,42 @@
 """Near-duplicate vectors by cosine, through int8 tile products with error bounds.
 
-Each task packs its rows into blocks.  A unit vector u is kept as scale * q with q in int8
-and the norm e of what that leaves out, so for two vectors
-``|cos - scale_u scale_v (q_u . q_v)| <= e_u + (1 + e_u) e_v``.  Tiles (pairs of blocks) take
-the products in float32, one side scaled before; only pairs that the bound leaves possible are computed in double
-precision.  A tile gives, per vector, the number of its links and one link to the root of
-its component within the tile, never the pairs.
-
-The tiles cover all pairs of blocks: random directions leave no block out, so the work is
-the square of the rows over the block size, spread evenly.
+1. Equal vectors are one class with one representative and a number of copies.
+2. A unit vector u is kept as scale * q with q in int8 and the norm e of what that leaves out,
+   so for two vectors ``|cos - scale_u scale_v (q_u . q_v)| <= e_u + e_v + e_u e_v``.
+3. Classes are dealt by their fingerprint into as many blocks as their number needs, however
+   the input is partitioned.  Tiles (pairs of blocks) take the integer products, exact in
+   single precision.  The bound settles most pairs; vectors of the others are open.
+4. Open vectors alone come back to their tile with their components, and the pairs that the
+   bound left undecided are computed in double precision.
+
+A tile gives, per vector, the number of its links and one link to the root of its component
+within the tile, never the pairs.  The tiles cover all pairs of blocks: random directions
+leave no block out, so the work is the square of the classes, spread evenly, and each int8
+vector is sent once per block.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import map_batches
 from .components import connected_components
 
-BLOCK_ROWS = 8192
-STRIP_ROWS = 512  # of a tile, looked at together
-ROUNDING = 2e-7  # for each component: what single precision may add
-BLOCK = (
-    "place bigint, dim int, n int, ids binary, id_null binary, vectors binary, quantised binary, "
-    "scale binary, error binary"
-)
+BLOCK_ROWS = 16384
+STRIP = (512, 8192)  # rows and columns of a tile looked at together
+EXACT_DIM = 1 << 10  # sums of so many products of int8 are whole numbers in single precision
+ROUNDING = 1e-6  # of scaled products in single precision
+SLACK = 1e-12  # of sums in double precision
+ROWS = "row bigint, id bigint, print bigint, print2 bigint, dim int, vector binary"
+CLASSES = "row bigint, copies bigint, dim int, block bigint, q binary, scale double, error double"
+FOUND = "i bigint, j bigint, row bigint, n bigint, root bigint, open boolean"
 
 
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,33 +63,57 @@ def embedding_duplicates(
     Vectors that are null, empty, zero or hold null or non-finite components link with
     nothing, nor do vectors of different lengths.  ``component_id`` is the smallest key
     reachable by links, the row's own included; ``kept`` marks the row with that key.  Rows
-    with the same key are different vectors of one node; a row without a key counts as a
-    link of others but has no component and is not kept.
+    with the same key are different vectors of one node.  A row without a key is a link of
+    others and leads on to theirs, and has the key of its component, if any, but is not kept.
     """
-    blocks = materialize(_blocks(rows, key, vector, block_rows))
-    # as many rows as blocks, of one number each
-    order = blocks.select("place").distinct().select(
-        "place", (F.row_number().over(Window.orderBy("place")) - 1).alias("number")
+    plain = materialize(_rows(rows, key, vector))
+    usable = plain.where("dim > 0")
+    classes = materialize(usable.groupBy("print", "print2", "dim").agg(
+        F.min("row").alias("class"), F.min("id").alias("one"), F.count(F.lit(1)).alias("copies")
+    ))
+    small = materialize(quantised(plain, classes, block_rows))
+    found = materialize(_tiles(small, threshold))
+    late = materialize(_open_pairs(found.where("open"), small, plain, threshold))
+    found = found.where("n > 0").unionByName(late)
+
+    named = classes.select("print", "print2", "dim", "class")
+    placed = materialize(
+        plain.drop("vector").join(named, ["print", "print2", "dim"], "left").select("id", "class")
     )
-    found = materialize(_tiles(blocks.join(order, "place"), order.count(), threshold))
-    links = found.select(F.col("id").alias("a"), F.col("root").alias("b"))
-    component = connected_components(links).withColumnRenamed("node", "id")
-    counts = found.groupBy("row").agg(F.sum("n").alias("n_links"))
-    everything = map_batches(blocks.select("place", "n", "ids", "id_null"), _unpack, "row bigint, id bigint")
-    kind = rows.schema[key].dataType
-    return (
-        everything.join(counts, "row", "left")
-        .join(component, "id", "left")
+    links = found.select(F.col("row").alias("a"), F.col("root").alias("b")).unionByName(_same_key(placed))
+    part = materialize(connected_components(links).withColumnRenamed("node", "class"))
+    ones = classes.select("class", "one").join(part, "class")
+    ones = ones.groupBy("component").agg(F.min("one").alias("smallest"))
+    counts = found.groupBy("row").agg(F.sum("n").alias("n")).withColumnRenamed("row", "class")
+    about = (
+        classes.select("class", "one", (F.col("copies") - 1).alias("equal"))
+        .join(counts, "class", "left")
+        .join(part.join(ones, "component"), "class", "left")
         .select(
-            F.col("id").cast(kind).alias(key),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
-            F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(False)).alias("kept"),
+            "class",
+            (F.col("equal") + F.coalesce("n", F.lit(0))).alias("n_links"),
+            F.coalesce("smallest", "one").alias("smallest"),
         )
     )
+    kind = rows.schema[key].dataType
+    usable = placed.where("class is not null").join(about, "class").select("id", "n_links", "smallest")
+    # a key's unusable vectors go with its usable ones
+    by_key = placed.where("id is not null").groupBy("id").agg(F.max("class").alias("class"))
+    by_key = by_key.join(about, "class").select("id", F.lit(0).cast("long").alias("n_links"), "smallest")
+    idle = placed.where("class is null").select("id").join(by_key, "id", "left")
+    component = F.coalesce("smallest", "id")
+    return usable.unionByName(idle).select(
+        F.col("id").cast(kind).alias(key),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
+    )
 
 
-def _blocks(rows: DataFrame, key: str, vector: str, block_rows: int) -> DataFrame:
+def _rows(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """Rows numbered, their vectors as bytes under a fingerprint; ``dim`` is 0 where unusable."""
+    stored = "<f4" if rows.schema[vector].dataType.simpleString() == "array<float>" else "<f8"
+
     def make():
         place = TaskContext.get().partitionId() << 36
 
@@ -91,128 +122,154 @@ def _blocks(rows: DataFrame, key: str, vector: str, block_rows: int) -> DataFram
             ids, lists = batch.columns
             sizes = np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, np.diff(lists.offsets.to_numpy()))
             for dim in np.unique(sizes).tolist():
-                chosen = np.flatnonzero(sizes == dim)
-                for part in np.array_split(chosen, -(-len(chosen) // block_rows)):
-                    yield _pack(place, dim, ids.take(pa.array(part)), lists.take(pa.array(part)), stored)
-                    place += block_rows
+                chosen = pa.array(np.flatnonzero(sizes == dim))
+                values = _finite(lists.take(chosen), dim).astype(stored)
+                listed = [v.tobytes() for v in values]
+                prints = np.array([np.frombuffer(xxhash.xxh3_128_digest(v), np.int64) for v in listed])
+                yield [
+                    pa.array(place + np.arange(len(chosen)), pa.int64()), ids.take(chosen),
+                    pa.array(prints[:, 0], pa.int64()), pa.array(prints[:, 1], pa.int64()),
+                    pa.array(np.where(values.any(1), dim, 0), pa.int32()), pa.array(listed, pa.binary()),
+                ]
+                place += len(chosen)
 
         return step
 
-    stored = "<f4" if rows.schema[vector].dataType.simpleString() == "array<float>" else "<f8"
-    numbers = rows.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"))
-    return map_batches(numbers, make, BLOCK)
-
-
-def _pack(place: int, dim: int, ids: pa.Array, lists: pa.Array, stored: str) -> list[pa.Array]:
-    if dim:
-        flat = lists.flatten()
-        values = flat.to_numpy(zero_copy_only=False).reshape(-1, dim)  # null reads as nan
-        values = np.where(np.isfinite(values).all(1, keepdims=True), values, 0)
-    else:
-        values = np.zeros((len(ids), 0))
-    largest = np.abs(values).max(axis=1, keepdims=True, initial=0)
-    tame = np.divide(values, largest, out=np.zeros_like(values), where=largest > 0)
-    extreme = (largest > 1e150) | ((largest < 1e-150) & (largest > 0))
-    values = np.where(extreme, tame, values)  # else their squares would leave the range
-    q, scale, error = quantise(values)
-    binary = [
-        ids.fill_null(0).to_numpy().astype("<i8"), ids.is_null().to_numpy(zero_copy_only=False),
-        values.astype(stored), q, scale, error,
-    ]
-    return [
-        pa.array([place], pa.int64()), pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int32()),
-        *(pa.array([b.tobytes()], pa.binary()) for b in binary),
-    ]
+    return map_batches(rows.select(F.col(key).cast("long"), F.col(vector).cast("array<double>")), make, ROWS)
 
 
-def _unpack():
-    def step(batch):
-        for row in batch.to_pylist():
-            missing = np.frombuffer(row["id_null"], bool)
-            yield [
-                pa.array(row["place"] + np.arange(row["n"]), pa.int64()),
-                pa.array(np.frombuffer(row["ids"], "<i8"), pa.int64(), mask=missing),
-            ]
+def _finite(lists: pa.Array, dim: int) -> np.ndarray:
+    """The vectors, zero where a component is not a finite number, within the range of squares."""
+    if not dim:
+        return np.zeros((len(lists), 0))
+    values = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)  # null reads as nan
+    values = np.where(np.isfinite(values).all(1, keepdims=True), values, 0) + 0.0  # one zero only
+    largest = np.abs(values).max(axis=1, keepdims=True)
+    tame = np.divide(values, largest, out=np.zeros_like(values), where=largest > 0) + 0.0
+    extreme = (largest > 1e150) | ((largest < 1e-150) & (largest > 0))
+    return np.where(extreme, tame, values)
+
 
-    return step
+def _matrix(binary: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Binary values of one length, as rows of ``dim`` numbers."""
+    joined = b"".join(binary.to_pylist())
+    kinds = {1: np.int8, 4: "<f4", 8: "<f8"}
+    return np.frombuffer(joined, kinds[len(joined) // (len(binary) * dim)]).reshape(-1, dim)
 
 
-def _tiles(blocks: DataFrame, n_blocks: int, threshold: float) -> DataFrame:
-    """``row, id, n, root`` of the rows that link within each tile."""
-    other = F.explode(F.sequence(F.lit(0), F.lit(max(0, n_blocks - 1)))).alias("other")
-    ends = blocks.select("*", other).select(
-        F.least("number", "other").alias("i"), F.greatest("number", "other").alias("j"), *blocks.columns
+def quantised(plain: DataFrame, classes: DataFrame, block_rows: int) -> DataFrame:
+    """The classes in int8, each with its block of about ``block_rows``."""
+    n_blocks = max(1, -(-classes.count() // block_rows))
+    block = F.pmod("print", F.lit(n_blocks)).alias("block")
+    chosen = classes.select(F.col("class").alias("row"), "copies", block).join(
+        plain.select("row", "dim", "vector"), "row"
     )
 
-    def tile(group: pa.Table) -> pa.Table:
-        found = _link(sorted(group.to_pylist(), key=lambda b: b["number"]), threshold)
-        return pa.table(found, names=["row", "id", "n", "root"])
-
-    return ends.groupBy("i", "j").applyInArrow(tile, "row bigint, id bigint, n bigint, root bigint")
-
-
-def _link(blocks: list[dict], threshold: float) -> list[pa.Array]:
-    left, right = _Block(blocks[0]), _Block(blocks[-1])
-    same = len(blocks) == 1
-    if left.dim != right.dim or not left.dim:
-        left, right, same = left.part(0), right.part(0), False
-    shift = 0 if same else left.n  # nodes: rows of the left block, then of the right one
-    parent = np.arange(left.n + (0 if same else right.n))
-    count = np.zeros(len(parent), np.int64)
-    # a bound that holds for all columns; with it one product and one comparison a pair
-    loosest = left.error + (1 + left.error) * right.error.max(initial=0) + ROUNDING * (left.dim + 4)
-    columns = (right.q * right.scale[:, None]).astype(np.float32).T if right.n else None
-    for at in range(0, left.n, STRIP_ROWS):
-        rows = slice(at, min(left.n, at + STRIP_ROWS))
-        product = (left.q[rows].astype(np.float32) @ columns) * left.scale[rows, None].astype(np.float32)
-        r, c = np.nonzero(product >= (threshold - loosest[rows, None]).astype(np.float32))
-        if same:
-            r, c = r[c > r + at], c[c > r + at]
-        r = r + at
-        keep = [
-            piece[left.cosine(r[piece], right, c[piece]) >= threshold]
-            for piece in np.array_split(np.arange(len(r)), -(-len(r) // 100_000) or 1)
-        ]
-        keep = np.concatenate(keep)
-        r, c = r[keep], c[keep] + shift
-        count += np.bincount(r, minlength=len(count)) + np.bincount(c, minlength=len(count))
-        cuts = np.flatnonzero(np.diff(r)) + 1
-        for row, linked in zip(r[np.r_[0, cuts]] if len(r) else (), np.split(c, cuts)):
-            _join(parent, np.append(linked, row))
-    nodes = np.flatnonzero(count)
-    roots = _roots(parent, nodes)
-    ids = np.concatenate([left.ids, right.ids])
-    missing = np.concatenate([left.missing, right.missing])
-    places = np.concatenate([left.places, right.places])
-    return [
-        pa.array(places[nodes], pa.int64()), pa.array(ids[nodes], pa.int64(), mask=missing[nodes]),
-        pa.array(count[nodes], pa.int64()), pa.array(ids[roots], pa.int64(), mask=missing[roots]),
-    ]
+    def make():
+        def step(batch):
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                q, scale, error = quantise(_matrix(part.column("vector"), dim).astype(float))
+                yield [
+                    part.column("row"), part.column("copies"), part.column("dim"), part.column("block"),
+                    pa.array([v.tobytes() for v in q], pa.binary()), pa.array(scale), pa.array(error),
+                ]
+
+        return step
 
+    return map_batches(chosen, make, CLASSES)
+
+
+def _tiles(small: DataFrame, threshold: float) -> DataFrame:
+    """Links that the bounds make certain, and the vectors with undecided pairs, by tile."""
+    last = small.agg(F.max("block")).first()[0] or 0
+    ends = small.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("other"))
+    ends = ends.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), *small.columns)
+    return ends.groupBy("i", "j").applyInArrow(lambda tile: _link(tile, threshold), FOUND)
+
+
+def _open_pairs(opened: DataFrame, small: DataFrame, plain: DataFrame, threshold: float) -> DataFrame:
+    """Links among the undecided pairs, by their full vectors."""
+    full = opened.select("i", "j", "row").join(small, "row").join(plain.select("row", "vector"), "row")
+    return full.groupBy("i", "j").applyInArrow(lambda tile: _link(tile, threshold), FOUND)
+
+
+def _same_key(placed: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the classes that share a key."""
+    keyed = placed.where("id is not null and class is not null")
+    several = keyed.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("last")).where("a < last")
+    return keyed.join(several, "id").select("a", F.col("class").alias("b")).distinct()
+
+
+def _link(tile: pa.Table, threshold: float) -> pa.Table:
+    """The links of a tile: certain ones, or undecided ones if it has the full vectors."""
+    out = [_link_length(tile.filter(pc.equal(tile.column("dim"), d)), d, threshold)
+           for d in sorted(set(tile.column("dim").to_pylist()))]
+    return pa.concat_tables(out)
+
+
+def _link_length(tile: pa.Table, dim: int, threshold: float) -> pa.Table:
+    tile = tile.sort_by("row")
+    i, j = tile.column("i")[0].as_py(), tile.column("j")[0].as_py()
+    rows, copies = tile.column("row").to_numpy(), tile.column("copies").to_numpy()
+    q, scale = _matrix(tile.column("q"), dim), tile.column("scale").to_numpy()
+    error = tile.column("error").to_numpy()
+    full = _matrix(tile.column("vector"), dim) if "vector" in tile.column_names else None
+    block = tile.column("block").to_numpy()
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    count, opened, parent = np.zeros(len(rows), np.int64), np.zeros(len(rows), bool), np.arange(len(rows))
+    for r0 in range(0, len(left), STRIP[0]):
+        a = left[r0 : r0 + STRIP[0]]
+        for c0 in range(0, len(right), STRIP[1]):
+            b = right[c0 : c0 + STRIP[1]]
+            if i == j and b[-1] <= a[0]:
+                continue
+            for r, c, near in _reaching(q, scale, error, a, b, threshold):
+                if i == j:
+                    later = c > r
+                    r, c, near = r[later], c[later], near[later]
+                bound = error[r] + error[c] + error[r] * error[c] + SLACK
+                sure = near - bound >= threshold
+                open_ = ~sure & (near + bound >= threshold)
+                if full is None:
+                    opened[r[open_]] = opened[c[open_]] = True
+                    linked = sure
+                else:
+                    linked = np.zeros(len(r), bool)
+                    linked[open_] = _cosine(full[r[open_]], full[c[open_]]) >= threshold
+                r, c = r[linked], c[linked]
+                np.add.at(count, r, copies[c])
+                np.add.at(count, c, copies[r])
+                _join_rows(parent, r, c)
+    chosen = np.flatnonzero((count > 0) | opened)
+    columns = [
+        pa.array(np.full(len(chosen), i), pa.int64()), pa.array(np.full(len(chosen), j), pa.int64()),
+        pa.array(rows[chosen]), pa.array(count[chosen]), pa.array(rows[_roots(parent, chosen)]),
+        pa.array(opened[chosen]),
+    ]
+    return pa.table(columns, names=["i", "j", "row", "n", "root", "open"])
 
-class _Block:
-    def __init__(self, row: dict):
-        self.dim, n = row["dim"], row["n"]
-        self.ids, self.missing = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["id_null"], bool)
-        stored = "<f4" if len(row["vectors"]) == 4 * n * self.dim else "<f8"
-        self.values = np.frombuffer(row["vectors"], stored).reshape(n, self.dim)
-        self.q = np.frombuffer(row["quantised"], np.int8).reshape(n, self.dim)
-        self.scale, self.error = np.frombuffer(row["scale"]), np.frombuffer(row["error"])
-        self.places = row["place"] + np.arange(n)
 
-    @property
-    def n(self) -> int:
-        return len(self.ids)
+def _reaching(q, scale, error, a, b, threshold):
+    """Parts of the pairs of ``a`` and ``b`` that may reach the threshold, with their scaled
+    integer product, which is the same number in whatever strip the pair lies."""
+    dim = q.shape[1]
+    product = np.zeros((len(a), len(b)), np.float32 if dim <= EXACT_DIM else np.float64)
+    for k in range(0, dim, EXACT_DIM):
+        product += q[a, k : k + EXACT_DIM].astype(np.float32) @ q[b, k : k + EXACT_DIM].astype(np.float32).T
+    loosest = error[a] + (1 + error[a]) * error[b].max() + ROUNDING
+    least = ((threshold - loosest) / np.where(scale[a] > 0, scale[a], 1)).astype(np.float32)
+    r, c = np.nonzero(product * scale[b].astype(np.float32) >= least[:, None])
+    for at in range(0, len(r), 100_000):
+        rr, cc = r[at : at + 100_000], c[at : at + 100_000]
+        yield a[rr], b[cc], product[rr, cc].astype(float) * scale[a[rr]] * scale[b[cc]]
 
-    def part(self, n: int) -> _Block:
-        for name in ("ids", "missing", "values", "q", "scale", "error", "places"):
-            setattr(self, name, getattr(self, name)[:n])
-        return self
 
-    def cosine(self, rows: np.ndarray, other: _Block, columns: np.ndarray) -> np.ndarray:
-        a, b = self.values[rows].astype(float), other.values[columns].astype(float)
-        norms = np.sqrt((a * a).sum(1) * (b * b).sum(1))
-        return np.divide((a * b).sum(1), norms, out=np.zeros(len(rows)), where=norms > 0)
+def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = a.astype(float), b.astype(float)
+    norms = np.sqrt((a * a).sum(1) * (b * b).sum(1))
+    return np.divide((a * b).sum(1), norms, out=np.zeros(len(a)), where=norms > 0)
 
 
 def _roots(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
@@ -223,6 +280,9 @@ def _roots(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         nodes = up
 
 
-def _join(parent: np.ndarray, nodes: np.ndarray) -> None:
-    roots = _roots(parent, nodes)
-    parent[roots] = parent[nodes] = roots.min()
+def _join_rows(parent: np.ndarray, r: np.ndarray, c: np.ndarray) -> None:
+    """Put the ends of pairs together; pairs come in the order of ``r``."""
+    cuts = np.flatnonzero(np.diff(r)) + 1
+    for row, linked in zip(r[np.r_[0, cuts]] if len(r) else (), np.split(c, cuts)):
+        roots = _roots(parent, np.append(linked, row))
+        parent[roots] = parent[linked] = parent[row] = roots.min()

@@ -7,8 +7,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dialmesh.llm.components import connected_components
+from dialmesh.llm import embedding_dedup
 from dialmesh.llm.embedding_dedup import embedding_duplicates, quantise
 from dialmesh.llm.minhash_dedup import near_duplicates
 from dialmesh.llm.substring_dedup import cut_repeats, remove_repeats
@@ -78,6 +80,51 @@ def test_embeddings(spark, kind, block_rows):
     assert embedding_duplicates(df.where("false")).count() == 0
 
 
+def turned(degrees):
+    return [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (0, 2, 1), (1, 0, 2), (2, 1, 0)])
+@pytest.mark.parametrize("block_rows", [1, 8192])
+def test_a_vector_without_key_leads_on(spark, order, block_rows):
+    rows = [(7, turned(0)), (None, turned(20)), (3, turned(40))]
+    df = spark.createDataFrame([rows[k] for k in order] + [(7, None), (9, None), (None, None)], "vec_id int, embedding array<double>")
+    got = embedding_duplicates(df.coalesce(1), block_rows=block_rows).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(7, 1, 3, False), (None, 2, 3, False), (3, 1, 3, True), (7, 0, 3, False), (9, 0, 9, True), (None, 0, None, False)], key=str)
+
+
+def test_tiles_do_not_grow_with_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(700)]
+    rows += [(1000 + i, rows[0][1]) for i in range(300)]  # one class
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    made = {}
+    for parts in (1, 60):
+        plain = embedding_dedup.materialize(embedding_dedup._rows(df.repartition(parts), "vec_id", "embedding"))
+        classes = plain.groupBy("print", "print2", "dim").agg(F.min("row").alias("class"), F.count("row").alias("copies"))
+        small = embedding_dedup.quantised(plain, classes, 250).collect()
+        assert len(small) == 700 and sum(r["copies"] for r in small) == 1000
+        made[parts] = sorted((r["q"], r["block"]) for r in small)
+    assert made[1] == made[60] and len({b for _, b in made[1]}) == 3
+
+
+@pytest.mark.parametrize("dim,threshold", [(1500, 0.9), (40, 1.0), (3, 0.5)])
+def test_links_decided_by_bounds_and_in_full(spark, dim, threshold):
+    rng = np.random.default_rng(dim)
+    base = rng.normal(size=dim)
+    spread = 0.0 if threshold == 1 else np.sqrt(1 / threshold - 1)  # cosines round the threshold
+    x = [base + spread * rng.normal(size=dim) for _ in range(150)] + [2 * base, 3.5 * base, -base]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_duplicates(df, threshold, block_rows=60).collect()}
+    near = lambda a, b: (a * b).sum() / np.sqrt((a * a).sum() * (b * b).sum()) >= threshold
+    want = {i: sum(bool(near(a, b)) for j, b in enumerate(x) if i != j) for i, a in enumerate(x)}
+    if threshold < 1:
+        assert got == want and 0 < sum(want.values()) < 150 * 149
+    else:  # multiples of one vector round either way, copies do not
+        assert set(got) == set(want) and sum(got[i] for i in range(150)) >= 150 * 149
+
+
 def documents():
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 4)))
