@@ -9,11 +9,15 @@ block, so scores are whole and the result is the one of scoring every hit.
 
 Totals come from bitmaps of the companies that have a term: their union per query is
 counted, no row per hit is made.
+
+An index is kept up by ``NameChanges``: the names that went and those that came since it was
+built.  Statistics are corrected by both, blocks keep their limits (which can only be too
+high), companies that went are taken out of the hits and those that came are scored beside.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,6 +86,50 @@ class BlockIndex:
         return BlockIndex(*[spark.read.parquet(f"{path}/{name}") for name in PARTS])
 
 
+@dataclass(frozen=True)
+class NameChanges:
+    """``went`` and ``came``: postings of names that left and joined the store since the index
+    was built, each company once a side."""
+
+    went: DataFrame
+    came: DataFrame
+
+    @staticmethod
+    def between(before: DataFrame, after: DataFrame) -> DataFrame:
+        """``id``, its names and ``by`` (-1 went, 1 came) of the companies whose names differ."""
+        sides = [rows.select("id", *NAME_FIELDS, F.lit(by).alias("by")) for rows, by in ((before, -1), (after, 1))]
+        return NameChanges.settled(sides[0].unionByName(sides[1]))
+
+    @staticmethod
+    def settled(changes: DataFrame) -> DataFrame:
+        """What is left of changes in a row: names that came and went again cancel."""
+        return changes.groupBy("id", *NAME_FIELDS).agg(F.sum("by").cast("int").alias("by")).where("by <> 0")
+
+    @staticmethod
+    def load(changes: DataFrame) -> NameChanges:
+        """From all rows of ``between`` since the index was built."""
+        left = materialize(NameChanges.settled(changes))
+        return NameChanges(*[materialize(tokenize_names(left.where(F.col("by") == by))) for by in (-1, 1)])
+
+    def signed(self) -> DataFrame:
+        """Both sides, with ``by``."""
+        sides = [side.withColumn("by", F.lit(by)) for side, by in ((self.went, -1), (self.came, 1))]
+        return sides[0].unionByName(sides[1])
+
+    def applied(self, index: BlockIndex, terms: DataFrame) -> BlockIndex:
+        """The index with the statistics of now, for the given ``term``s only."""
+        terms = terms.select("term").distinct()
+        listed = index.terms.unionByName(self.signed().select("term", "field", F.col("by").cast("long").alias("df")))
+        counted = listed.join(terms, "term", "left_semi").groupBy("term", "field").agg(F.sum("df").alias("df"))
+        by_company = self.signed().groupBy("field", "id", "by").agg(F.max("len").alias("len"))
+        moved = by_company.groupBy("field").agg(F.sum("by").alias("n_docs"), F.sum(F.col("by") * F.col("len")).alias("words"))
+        # means of whole numbers, so their sums can be had back exactly
+        base = index.fields.select("field", "n_docs", F.round(F.col("n_docs") * F.col("avg_len")).cast("long").alias("words"))
+        sums = base.unionByName(moved).groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("words").alias("words"))
+        fields = sums.where("n_docs > 0").select("field", "n_docs", (F.col("words") / F.col("n_docs")).alias("avg_len"))
+        return replace(index, terms=counted.where("df > 0"), fields=materialize(fields))
+
+
 def _save(df: DataFrame, path: str, *order: str) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
@@ -123,6 +171,13 @@ def _hits_in(index: BlockIndex, weighted: DataFrame, blocks: DataFrame) -> DataF
     return scored.groupBy("query_id", "id").agg(F.round(_score("tf", "len"), SCORE_DIGITS).alias("score"))
 
 
+def _new_hits(changes: NameChanges, weighted: DataFrame) -> DataFrame:
+    """``query_id, id, score`` of the hits among the names that came."""
+    terms = weighted.withColumnRenamed("field", "_field")
+    joined = join_on_hot_key(changes.came, terms, "term", is_small(weighted, BROADCAST_TERMS)).where("field = _field")
+    return joined.groupBy("query_id", "id").agg(F.round(_score("tf", "len"), SCORE_DIGITS).alias("score"))
+
+
 def open_blocks(limits: DataFrame, hits: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Blocks that can hold a company before the last one of a page of ``hits``.
 
@@ -136,32 +191,54 @@ def open_blocks(limits: DataFrame, hits: DataFrame, page_size: int = PAGE_SIZE)
     return limits.join(last, "query_id", "left").where(reach | tie).select("query_id", "block")
 
 
-def best_hits(index: BlockIndex, queries: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def best_hits(
+    index: BlockIndex, queries: DataFrame, page_size: int = PAGE_SIZE, changes: NameChanges | None = None
+) -> DataFrame:
     """``query_id, id, score, rank``: the page of each of ``queries(query_id, name)``."""
-    weighted = materialize(_weighted(index, _wanted(queries)))
+    wanted = _wanted(queries)
+    index = changes.applied(index, wanted) if changes else index
+    weighted = materialize(_weighted(index, wanted))
     limits = materialize(block_limits(index, weighted))
     order = Window.partitionBy("query_id").orderBy(F.desc("limit"), "min_id", "block")
-    # every block has a hit, so as many blocks as places fill the page
+    # every block has a hit, unless it went, so as many blocks as places fill the page
     first = limits.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= page_size)
     first = materialize(first.select("query_id", "block"))
-    found = materialize(_hits_in(index, weighted, first))
+    gone = changes.went.select("id").distinct() if changes else None
+
+    def hits_in(blocks: DataFrame) -> DataFrame:
+        hits = _hits_in(index, weighted, blocks)
+        return hits.join(gone, "id", "left_anti") if changes else hits
+
+    found = hits_in(first)
+    found = materialize(found.unionByName(_new_hits(changes, weighted)) if changes else found)
     more = materialize(open_blocks(limits.join(first, ["query_id", "block"], "left_anti"), found, page_size))
-    return search_sort(found.unionByName(_hits_in(index, weighted, more)), page_size)
+    return search_sort(found.unionByName(hits_in(more)), page_size)
 
 
-def search_totals(index: BlockIndex, queries: DataFrame) -> DataFrame:
+def search_totals(index: BlockIndex, queries: DataFrame, changes: NameChanges | None = None) -> DataFrame:
     """``query_id, total``: how many companies each query finds; no row for none."""
     wanted = _wanted(queries).select("query_id", "term")
-    joined = join_on_hot_key(index.bitmaps, wanted, "term", is_small(wanted, BROADCAST_TERMS), salt="bucket")
+    small = is_small(wanted, BROADCAST_TERMS)
+    joined = join_on_hot_key(index.bitmaps, wanted, "term", small, salt="bucket")
     union = joined.groupBy("query_id", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return union.groupBy("query_id").agg(F.sum(F.bitmap_count("bits")).alias("total"))
+    totals = union.groupBy("query_id").agg(F.sum(F.bitmap_count("bits")).alias("total"))
+    if not changes:
+        return totals
+    moved = join_on_hot_key(changes.signed(), wanted, "term", small).groupBy("query_id", "id", "by").agg(F.lit(1).alias("_one"))
+    moved = moved.groupBy("query_id").agg(F.sum("by").alias("total"))
+    both = totals.unionByName(moved).groupBy("query_id").agg(F.sum("total").alias("total"))
+    return both.where("total > 0")
 
 
 def search_names(
-    index: BlockIndex, store: DataFrame, queries: DataFrame, page_size: int = PAGE_SIZE
+    index: BlockIndex,
+    store: DataFrame,
+    queries: DataFrame,
+    page_size: int = PAGE_SIZE,
+    changes: NameChanges | None = None,
 ) -> DataFrame:
     """``query_id, total, rank, score`` and the company's columns, as ``search_result`` has them."""
-    page = best_hits(index, queries, page_size).join(search_totals(index, queries), "query_id")
+    page = best_hits(index, queries, page_size, changes).join(search_totals(index, queries, changes), "query_id")
     # rows of the pages only
     return store.select(*STORE_COLUMNS).join(materialize(page), "id").select(
         "query_id", "total", "rank", "score", *STORE_COLUMNS

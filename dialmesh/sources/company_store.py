@@ -13,6 +13,10 @@ has been applied and is skipped.
 Beside the companies lie their phone numbers as ``number, id``, partitioned by number.  A
 change takes the pairs that went out of, and those that came into their partitions, and the
 same version switches both, so a search by number never sees one without the other.
+
+A search index of the names is kept up in the same way: a change adds the names that went
+and came in its partitions to the version, a search applies them, and ``index_names``
+merges them into a new index.
 """
 
 from __future__ import annotations
@@ -35,13 +39,15 @@ from ..operators.companies import (
     update_fields,
     upsert_companies,
 )
-from ..operators.search import PAGE_SIZE, asked_numbers, number_hits, ranked_page
+from ..operators.block_search import BlockIndex, NameChanges, best_hits, search_totals
+from ..operators.search import NAME_FIELDS, PAGE_SIZE, asked_numbers, number_hits, ranked_page
 from ..session import child_folders, materialize, remove_folder, scratch_dir
 from .company_table import ConcurrentWrite
 
 VERSION_SCHEMA = "kind string, part int, folder string, batch bigint"
-COMPANIES, NUMBERS, BATCH = "companies", "numbers", "batch"
+COMPANIES, NUMBERS, INDEX, NAMES, BATCH = "companies", "numbers", "index", "names", "batch"
 SCHEMAS = {COMPANIES: STORE_SCHEMA, NUMBERS: "number string, id string"}
+NAMES_SCHEMA = "id string, commercial_name string, legal_name string, all_available_names array<string>, by int"
 SPREAD = 16  # partitions that the companies with one number are dealt over
 PUSHED = 200  # numbers that are named in the filter of a read
 REJECT_SCHEMA = "url string, error string"
@@ -53,6 +59,8 @@ class Version:
     folders: dict[int, str]  # of the partitions with companies
     numbers: dict[int, str]  # of the partitions with phone numbers
     batch: int | None  # the last one applied
+    index: str | None = None  # folder of the search index
+    names: tuple[str, ...] = ()  # folders of the names that changed since it was built
 
     def has(self, batch: int | None) -> bool:
         return batch is not None and self.batch is not None and batch <= self.batch
@@ -80,9 +88,10 @@ class CompanyStore:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
         at = described.where("col_name = 'Location'").first()["data_type"]
         rows = self.spark.read.schema(VERSION_SCHEMA).parquet(at).collect()
-        kinds = {kind: {r["part"]: r["folder"] for r in rows if r["kind"] == kind} for kind in SCHEMAS}
+        kinds = {kind: {r["part"]: r["folder"] for r in rows if r["kind"] == kind} for kind in (*SCHEMAS, INDEX, NAMES)}
         batch = max((r["batch"] for r in rows if r["batch"] is not None), default=None)
-        return Version(at, kinds[COMPANIES], kinds[NUMBERS], batch)
+        names = tuple(folder for _, folder in sorted(kinds[NAMES].items()))
+        return Version(at, kinds[COMPANIES], kinds[NUMBERS], batch, kinds[INDEX].get(0), names)
 
     def read(self, parts: set[int] | None = None, version: Version | None = None) -> DataFrame:
         """The rows (of some partitions), as of now: later changes do not show in them."""
@@ -120,6 +129,33 @@ class CompanyStore:
             raise ValueError(error)
         return self.search_phones(queries).drop("query_id").orderBy("rank")
 
+    def index_names(self) -> None:
+        """Build the search index of the names, or merge what has changed since into a new one.
+
+        Readers go on with the old one meanwhile; a change in between wins, and this fails
+        with ``ConcurrentWrite``.
+        """
+        now = self.version()
+        index = self._folder("index")
+        BlockIndex.build(self.read(version=now), index)
+        self._switch(self._write_version(now.folders, now.numbers, now.batch, index), now)
+
+    def search_names(self, queries: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+        """``operators.block_search.search_names`` by the stored index and the changes since.
+
+        ``ValueError`` if the store has no index yet.
+        """
+        now = self.version()
+        if now.index is None:
+            raise ValueError(f"{self.name} has no index of names: call index_names first")
+        index, changes = BlockIndex.load(self.spark, now.index), None
+        if now.names:
+            changes = NameChanges.load(self.spark.read.schema(NAMES_SCHEMA).parquet(*now.names))
+        page = best_hits(index, queries, page_size, changes).join(search_totals(index, queries, changes), "query_id")
+        page = materialize(page)
+        companies = self.read(self._parts_of(page.select("id").distinct()), now).select(*STORE_COLUMNS)
+        return companies.join(page, "id").select("query_id", "total", "rank", "score", *STORE_COLUMNS)
+
     def get(self, url: str) -> DataFrame:
         """The row of a URL or bare domain, read from its partition only; ``ValueError`` if bad."""
         asked = self.spark.createDataFrame([(url,)], "url string").select(parse_url_checked("url").alias("p"))
@@ -152,9 +188,10 @@ class CompanyStore:
         Not while a reader still works on an older version.
         """
         now = self.version()
-        used = {"/".join(f.split("/")[-2:]) for f in [*now.folders.values(), *now.numbers.values()]}
-        used.add("version/" + now.at.rsplit("/", 1)[1])
+        used = {"/".join(f.split("/")[-2:]) for f in [*now.folders.values(), *now.numbers.values(), *now.names]}
+        used |= {"/".join(f.split("/")[-2:]) for f in (now.at, now.index) if f}
         old = [f"version/{name}" for name in child_folders(self.spark, f"{self.location}/version")]
+        old += [f"index/{name}" for name in child_folders(self.spark, f"{self.location}/index")]
         for write in child_folders(self.spark, f"{self.location}/data"):
             old += [f"data/{write}/{part}" for part in child_folders(self.spark, f"{self.location}/data/{write}")]
         old = [folder for folder in old if folder.removeprefix("data/") not in used]
@@ -212,13 +249,18 @@ class CompanyStore:
 
     def _replace(self, rows: DataFrame, made_from: Version, batch: int | None, parts: set[int]) -> None:
         """The next version: ``rows`` in the given partitions, the others as they were."""
-        folders, numbers = dict(made_from.folders), made_from.numbers
+        folders, numbers, names = dict(made_from.folders), made_from.numbers, made_from.names
         if parts:
             placed = rows.select(*STORE_COLUMNS, self._part(F.col("id")).alias("part"))
             folders.update(self._write(placed, parts, ["id"]))
             before, after = self._read(COMPANIES, made_from.folders, parts), self._read(COMPANIES, folders, parts)
             numbers = self._changed_numbers(_listed(before), _listed(after), numbers)
-        version = self._write_version(folders, numbers, made_from.batch if batch is None else batch)
+            if made_from.index:
+                names = (*names, *self._changed_names(before, after))
+        last = made_from.batch if batch is None else batch
+        self._switch(self._write_version(folders, numbers, last, made_from.index, names), made_from)
+
+    def _switch(self, version: str, made_from: Version) -> None:
         if self.version().at != made_from.at:
             raise ConcurrentWrite(f"{self.name} has a newer version than {made_from.at}")
         self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{version}'")
@@ -236,9 +278,24 @@ class CompanyStore:
         made = self._write(kept.unionByName(changed.where("by > 0").select(*pair)).select(*pair, part), touched, pair)
         return {p: f for p, f in folders.items() if p not in touched} | made
 
-    def _write_version(self, folders: dict[int, str], numbers: dict[int, str], batch: int | None) -> str:
+    def _changed_names(self, before: DataFrame, after: DataFrame) -> list[str]:
+        """The folder of the names that changed, if any did."""
+        folder = f"{self._folder('data')}/names"
+        changed = materialize(NameChanges.between(before, after).select("id", *NAME_FIELDS, "by"), folder)
+        return [] if changed.isEmpty() else [folder]
+
+    def _write_version(
+        self,
+        folders: dict[int, str],
+        numbers: dict[int, str],
+        batch: int | None,
+        index: str | None = None,
+        names: tuple[str, ...] = (),
+    ) -> str:
         rows = [(COMPANIES, part, folder, None) for part, folder in folders.items()]
         rows += [(NUMBERS, part, folder, None) for part, folder in numbers.items()]
+        rows += [(NAMES, at, folder, None) for at, folder in enumerate(names)]
+        rows += [(INDEX, 0, index, None)] if index else []
         path = self._folder("version")
         self.spark.createDataFrame([*rows, (BATCH, None, None, batch)], VERSION_SCHEMA).coalesce(1).write.parquet(path)
         return path

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from dialmesh.operators.block_search import BlockIndex, search_names, search_totals
 from dialmesh.operators.search import (
     name_hits,
@@ -137,6 +139,26 @@ def search_names_query(spark, sf_dir):
     return found.select("query_id", "total", "rank", "score", "id", "commercial_name")
 
 
+@query(
+    "search_kept_index",
+    f"""
+    SELECT r.query_id, r.total, r.rank, r.score, r.id, p_name || ' & Co' AS commercial_name
+    FROM ({_RANKED}) r JOIN part ON 'p' || p_partkey || '.example' = r.id
+    """,
+)
+def search_kept_index_query(spark, sf_dir):
+    """An index built on former names, searched after an import has changed a fifth of them."""
+    work = scratch_dir(spark)
+    store = CompanyStore(spark, f"{work}/store", f"store_{uuid.uuid4().hex}")
+    parts = part_store(spark, sf_dir)
+    former = F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, F.concat(F.lit("Former "), "legal_name"))
+    store.create(parts.withColumn("commercial_name", F.coalesce(former, "commercial_name")))
+    store.index_names()
+    store.upsert(parts.withColumn("n", F.lit(1)), ["n"], batch=1)
+    found = store.search_names(name_queries(spark, sf_dir))
+    return found.select("query_id", "total", "rank", "score", "id", "commercial_name")
+
+
 @query("search_totals", f"SELECT query_id, count(*) AS total FROM ({_HITS}) GROUP BY query_id")
 def search_totals_query(spark, sf_dir):
     return search_totals(_block_index(spark, part_store(spark, sf_dir)), name_queries(spark, sf_dir))

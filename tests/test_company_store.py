@@ -1,7 +1,9 @@
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
+from dialmesh.operators import block_search
 from dialmesh.operators.companies import STORE_SCHEMA
 from dialmesh.session import child_folders
 from dialmesh.sources.captures import CAPTURE_SCHEMA, stream_captures
@@ -9,6 +11,8 @@ from dialmesh.sources.company_store import CompanyStore
 from dialmesh.sources.company_table import ConcurrentWrite
 from dialmesh.streaming import scrape_stream
 
+from test_search import bm25, make_store
+
 ROWS = [(f"c{i}.example", f"https://c{i}.example", f"C{i}", "", [f"C{i}"], ["old"]) for i in range(60)]
 
 
@@ -196,3 +200,52 @@ def test_stream_counts_each_batch_once(spark, store, tmp_path, monkeypatch):
     early = spark.createDataFrame([("https://c1.example", 200, None, "541-754-3099")], CAPTURE_SCHEMA)
     assert merge(store, early, 0).isEmpty() and now() == third
     assert child_folders(spark, f"{store.location}/data")
+
+
+def test_names_are_found_after_each_change(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(block_search, "BLOCK", 4)
+    known = make_store(11, 80)
+    store = CompanyStore(spark, str(tmp_path / "store"), f"s_{uuid.uuid4().hex}", parts=8)
+    store.create(spark.createDataFrame(known, STORE_SCHEMA))
+    texts = ["glass", "glass auto", "Café café the", "42 x_1 bay tea", "unheard", "", "co", "fresh", "on fresh glass"]
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_id int, name string")
+    with pytest.raises(ValueError, match="index_names"):
+        store.search_names(queries)
+
+    def holds(now):
+        want = []
+        for i, text in enumerate(texts):
+            hits = bm25(now, text)
+            want += [(i, n, key, score, len(hits)) for n, (score, key) in enumerate(hits[:10], 1)]
+        return sorted((r["query_id"], r["rank"], r["id"], r["score"], r["total"]) for r in store.search_names(queries).collect()) == sorted(want)
+
+    store.index_names()
+    index = store.version().index
+    assert holds(known)
+    # new names, a new company, one that differs in its numbers only
+    other = {r[0]: r for r in make_store(12, 80)[:30]}
+    other["new.example"] = ("new.example", "https://new.example", "Fresh glass on", "", ["fresh fresh"], None)
+    other[known[40][0]] = (*known[40][:5], ["+1 541-754-0000"])
+    changed = spark.createDataFrame(list(other.values()), STORE_SCHEMA).withColumn("n", F.lit(1))
+    store.upsert(changed, ["n"], batch=1)
+    now = {r[0]: r for r in known} | other
+    assert store.version().index == index and len(store.version().names) == 1 and holds(now.values())
+    assert known[40][0] not in {r["id"] for r in spark.read.parquet(*store.version().names).collect()}
+    # back to the first names, and every company with one word made to lose it
+    back = {r[0]: r for r in known[:15]} | {k: (*r[:2], "None", "", [], None) for k, r in now.items() if "glass" in bm25_words(r) and k > "c15"}
+    store.upsert(spark.createDataFrame(list(back.values()), STORE_SCHEMA).withColumn("n", F.lit(1)), ["n"], batch=2)
+    now |= back
+    assert len(store.version().names) == 2 and holds(now.values())
+    unheard = store.search_names(queries.where("query_id = 4"))  # reads no partition
+    assert unheard.isEmpty() and not [f for f in unheard.inputFiles() if store.location in f]
+    # merged: same pages from the index alone
+    store.index_names()
+    assert store.version().names == () and store.version().index != index and holds(now.values())
+    assert store.remove_old() > 0 and holds(now.values())
+    # numbers alone change no name
+    store.update(update(spark, (known[3][0], ["+1 541-754-0001"], 1)))
+    assert store.version().names == ()
+
+
+def bm25_words(row):
+    return " ".join([row[2], row[3], *row[4]]).lower().split()
