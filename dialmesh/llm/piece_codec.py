@@ -32,14 +32,31 @@ LONG_WORD = 400  # symbols
 NO_PAIR = np.int64(1) << 40
 
 
+#: Texts that other kinds of model split or write differently than is done here.
+PROBES = (
+    "", "a", " a", "a  b ", "the unbelievably long-winded 12345 words", "\ufb01 \uff21 \u00e9 e\u0301 \u00bd",
+    "a\tb\nc\u00a0d\u200be", "\U0001f9ea\u2603\ue000", "aaaaaaaaaaaaaaa ABCabc", "\u4e2d\u6587 \u0440\u0443\u0441",
+)
+
+
+class UnknownModel(ValueError):
+    """A model with steps that are not built here."""
+
+
 class PieceCodec:
-    """``encode`` and ``decode`` of one model file, as the sentencepiece library does it."""
+    """``encode`` and ``decode`` of one model file, as the sentencepiece library does it.
+
+    Models are of the byte-pair type, with bytes for unknown characters, a blank in front and
+    texts left as they are; others raise ``UnknownModel``.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
 
         self._library = model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
+        if not all(model.is_byte(model.piece_to_id(f"<0x{b:02X}>")) for b in range(256)):
+            raise UnknownModel(f"{path}: not every byte has a piece")
         names = [model.id_to_piece(i) for i in range(n)]
         special = [model.is_control(i) or model.is_unknown(i) for i in range(n)]
         byte = [model.is_byte(i) for i in range(n)]
@@ -77,6 +94,11 @@ class PieceCodec:
             whole=lambda texts: pc.match_substring_regex(texts, f"^ |  |{SPACE}"),
         )
 
+        for probe in PROBES:
+            ids = self._encode_text(probe)
+            if ids != model.encode(probe) or self.decode(np.array(ids, np.int64)) != model.decode(ids):
+                raise UnknownModel(f"{path}: not as the library on {probe!r}")
+
     def _encode_text(self, text: str) -> list[int]:
         words = CHUNK.findall(SPACE + text.replace(" ", SPACE))
         return [i for ids in self.merge(words) for i in ids] if text else []

@@ -175,3 +175,16 @@ def test_packing_of_documents(spark):
     order = lambda r: tuple((x is None, x or 0) for x in r)
     assert sorted((tuple(r)[:5] for r in got), key=order) == sorted(want, key=order)
     assert packing.pack(packing.token_pieces(docs.where("false"), path, 1, 100), 100).count() == 0
+
+
+@pytest.mark.parametrize("part,name,value", [
+    ("normalizer_spec", "add_dummy_prefix", False), ("normalizer_spec", "remove_extra_whitespaces", True), ("trainer_spec", "model_type", 1)])
+def test_other_kinds_of_piece_models_are_refused(tmp_path, part, name, value):
+    protocol = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    model = protocol.ModelProto()
+    with open(public_path("piece_bpe_32k.model"), "rb") as file:
+        model.ParseFromString(file.read())
+    setattr(getattr(model, part), name, value)
+    (tmp_path / "other.model").write_bytes(model.SerializeToString())
+    with pytest.raises(piece_codec.UnknownModel):
+        piece_codec.PieceCodec(str(tmp_path / "other.model"))
