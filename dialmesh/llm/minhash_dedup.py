@@ -2,12 +2,14 @@
 
 Every document has one signature of ``VALUES`` minima.  Tree t of the forest sorts the
 documents by the signature read from value ``3 t`` on, so documents with a long common prefix
-are neighbours in it.  A region is the set of documents that share a prefix; its depth
-adapts: it starts at three values and grows where a region holds more than
-``REGION`` documents, until no region does or the signatures end.
+are neighbours in it.  A region is the set of documents that share a prefix, a stretch of
+that order; its depth adapts: it starts at three values and grows where a region holds more
+than ``REGION`` documents, until no region does or the signatures end.
 
 1. Documents with equal sets are one class with one representative.
-2. In each region every member is paired with one leader: the smallest, or, in a crowded
+2. Each region is sorted by the values that follow its prefix.  Of all orders each document
+   takes the neighbour with which it has the longest common prefix as a candidate.  In each
+   region every member is also paired with one leader: the smallest, or, in a crowded
    region on the way, the member that stands in the largest regions and so is closest to
    all.  These pairs are confirmed on full sets and linked documents put together.
 3. In regions that still hold several components, documents that signatures and sizes let
@@ -25,9 +27,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..joins import lookup_join
 from ..session import BucketedTable, materialize
 from .common import map_batches, slices
 from .components import connected_components
@@ -38,6 +41,7 @@ VALUES = 64
 TREES = 21  # three values each at the least depth
 DEPTHS = (3, 5, 8, 12, 18, 27, 40, VALUES)
 REGION = 256
+SORTED = 8  # values after the prefix of a region by which it is sorted
 PERCENT = 75
 #: Equal values of two signatures below which a pair is not tried; at a similarity of 0.75
 #: fewer than one pair in 30,000 has so few.
@@ -97,7 +101,7 @@ def near_duplicates(
     alike = signed.where("n > 0 and id is not null").groupBy("print", "print2", "n", "signature")
     classes = materialize(alike.agg(F.min("id").alias("one")))
     regions, leaders, crowd = _regions(classes.select("one", "signature"), region)
-    star = regions.select("leader", "one").unionByName(leaders).where("one != leader")
+    star = regions.select("leader", "one").unionByName(leaders).unionByName(_nearest(regions)).where("one != leader")
     star = materialize(star.select(F.least("leader", "one").alias("a"), F.greatest("leader", "one").alias("b")).distinct())
     ends = star.select(F.col("a").alias("one")).unionByName(star.select(F.col("b").alias("one")))
     # all members of regions are ends of star pairs
@@ -164,7 +168,8 @@ def _sign():
 
 
 def _keys(depth: int, all_trees: bool):
-    """``tree, region, one`` for the prefixes of ``depth`` values."""
+    """``tree, region, one, rest`` for the prefixes of ``depth`` values; ``rest`` holds the
+    next ``SORTED`` values, so that its order is that of the signatures."""
 
     def step(batch):
         ones, rows = batch.column(0), np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
@@ -180,26 +185,30 @@ def _keys(depth: int, all_trees: bool):
             for values in rows[chosen][:, order].T:
                 names = names * np.uint64(0xD6E8FEB86659FD93) + values
                 names ^= names >> np.uint64(29)
+            after = (3 * tree + np.arange(depth, min(depth + SORTED, VALUES))) % VALUES
+            rest = rows[chosen][:, after].astype(">u4")
+            ends = np.arange(len(chosen) + 1, dtype=np.int32) * rest.shape[1] * 4
             yield [
                 pa.array(np.full(len(chosen), tree), pa.int32()), pa.array(names.view(np.int64), pa.int64()),
                 ones.take(pa.array(chosen)),
+                pa.Array.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(ends), pa.py_buffer(rest.tobytes())]),
             ]
 
     return step
 
 
 def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """``region, one, leader`` for all final regions of two members or more,
+    """``region, one, leader, depth, rest`` for all final regions of two members or more,
     ``leader, one`` for the members of the crowded regions on the way, and ``region, one``
     of the crowded regions of the least depth, if there are any."""
     found, widest, leaders, active = None, None, classes.selectExpr("one", "one AS leader").where("false"), classes
     for depth in DEPTHS:
         first, last = depth == DEPTHS[0], depth == VALUES
-        rows = map_batches(active, lambda d=depth, f=first: _keys(d, f), "tree int, region bigint, one bigint")
+        rows = map_batches(active, lambda d=depth, f=first: _keys(d, f), "tree int, region bigint, one bigint, rest binary")
         sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("one").alias("leader"))
         sizes = materialize(sizes.where("n > 1"))
         final = sizes if last else sizes.where(F.col("n") <= limit)
-        members = rows.join(final, "region").select("region", "one", "leader", "n")
+        members = rows.join(final, "region").select("region", "one", "leader", F.lit(depth).alias("depth"), "rest", "n")
         if last:  # equal signatures throughout: parts in the order of a hash
             part = F.pmod(F.xxhash64("one"), F.ceil(F.col("n") / limit))
             members = members.withColumn("region", F.when(F.col("n") > limit, F.xxhash64("region", part)).otherwise(F.col("region")))
@@ -208,7 +217,7 @@ def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, Data
         crowded = sizes.where(F.col("n") > limit).select("region", "n")
         if last or crowded.isEmpty():
             return materialize(found), leaders, widest
-        crowd = materialize(rows.join(crowded, "region"))
+        crowd = materialize(rows.drop("rest").join(crowded, "region"))
         widest = crowd.select("region", "one") if first else widest
         density = materialize(crowd.groupBy("one").agg(F.sum("n").alias("density"), F.collect_list("tree").alias("trees")))
         dense = crowd.join(density.select("one", "density"), "one")
@@ -218,6 +227,31 @@ def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, Data
         active = materialize(classes.select("one", "signature").join(density.select("one", "trees"), "one"))
 
 
+def _nearest(regions: DataFrame) -> DataFrame:
+    """``leader, one``: of the neighbours of ``one`` in all sorted orders, the one with the
+    longest common prefix."""
+    order = Window.partitionBy("region").orderBy("rest", "one")
+    near = regions.select("one", "depth", "rest", *(
+        f(c).over(order).alias(name)
+        for f, names in ((F.lag, ("before", "rest_before")), (F.lead, ("after", "rest_after")))
+        for c, name in zip(("one", "rest"), names)
+    ))
+    up, down = _common("rest_before"), _common("rest_after")
+    best = F.when(F.col("before").isNull() | (down > up), F.struct(F.col("after").alias("leader"), down.alias("common")))
+    near = near.select("one", best.otherwise(F.struct(F.col("before").alias("leader"), up.alias("common"))).alias("best"))
+    near = near.select("one", "best.*").where("leader is not null")
+    # ties by a hash, so that no document is the choice of all
+    rank = F.shiftleft(F.col("common").cast("long"), 56) + F.shiftrightunsigned(F.xxhash64("one", "leader"), 8)
+    return near.groupBy("one").agg(F.max_by("leader", rank).alias("leader")).select("leader", "one")
+
+
+def _common(other: str) -> Column:
+    """Length of the common prefix of a signature and its neighbour's; -1 without neighbour."""
+    alike = lambda k: F.substring("rest", 1, 4 * k) == F.substring(other, 1, 4 * k)
+    more = sum(((F.length("rest") >= 4 * k) & alike(k)).cast("int") for k in range(1, SORTED + 1))
+    return F.coalesce(F.col("depth") + more, F.lit(-1))
+
+
 def _blocks(crowd: DataFrame, part: DataFrame, size: int) -> DataFrame:
     """``region, one``: crowded regions as pairs of blocks of about ``size`` members, one of
     members outside the largest component of the region and one of any.
@@ -269,9 +303,10 @@ def _confirmed(pairs: DataFrame, sets: BucketedTable, percent: int) -> DataFrame
     left = sets.df.select(F.col("one").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("set_a"))
     right = sets.df.select(F.col("one").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("set_b"))
     # a smaller set bounds the intersection, a larger one the union
-    both = pairs.join(left.drop("set_a"), "a").join(right.drop("set_b"), "b")
-    both = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    both = both.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
+    rows = pairs.count()  # a leader may stand in very many of them
+    both = lookup_join(lookup_join(pairs, left.drop("set_a"), "a", rows=rows), right.drop("set_b"), "b", rows=rows)
+    both = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
+    both = lookup_join(lookup_join(both, left, "a", rows=rows), right, "b", rows=rows).select("a", "b", "set_a", "set_b")
 
     def make():
         def step(batch):

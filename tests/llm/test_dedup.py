@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dialmesh.llm.components import connected_components
 from dialmesh.llm import embedding_dedup
 from dialmesh.llm.embedding_dedup import embedding_duplicates, quantise
-from dialmesh.llm.minhash_dedup import near_duplicates
+from dialmesh.llm.minhash_dedup import SORTED, _nearest, near_duplicates
 from dialmesh.llm.substring_dedup import cut_repeats, remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -170,6 +170,41 @@ def test_near_duplicates(spark, region):
     assert len(got) == len(rows)
 
 
+def test_recall_at_the_threshold(spark):
+    """Pairs of a similarity of exactly 0.75, just above and just below."""
+    rows, linked = [], {}
+    for i in range(900):
+        own = 19 + i % 3  # 120 shingles in common, ``own`` of each text's own
+        common = [f"w{i}c{k}" for k in range(124)]
+        for side in (0, 1):
+            rows.append((2 * i + side, " ".join(common + [f"w{i}s{side}k{k}" for k in range(own)])))
+        linked[2 * i] = 100 * 120 >= 75 * (120 + 2 * own)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(df).collect()}
+    found = sum(got[i + 1] == i for i, is_link in linked.items() if is_link)
+    assert found >= 0.99 * 600 == 0.99 * sum(linked.values())
+    assert all(got[i + 1] == i + 1 for i, is_link in linked.items() if not is_link)
+
+
+def test_neighbours_in_sorted_orders(spark):
+    rng = random.Random(23)
+    rows = [(region, one, 3 + region % 4, bytes(rng.choice((0, 0, 200)) for _ in range(4 * SORTED)))
+            for region in range(12) for one in rng.sample(range(60), rng.choice((2, 9, 30)))]
+    rows += [(50, one, 64, b"") for one in (100, 101, 102)] + [(51, one, 60, bytes(16)) for one in (104, 105)]
+    common = collections.defaultdict(int)
+    for region, one, depth, rest in rows:
+        for other_region, other, _, other_rest in rows:
+            if region == other_region and one != other:
+                parts = [rest[4 * k : 4 * k + 4] == other_rest[4 * k : 4 * k + 4] for k in range(len(rest) // 4)]
+                length = depth + (parts + [False]).index(False)
+                common[one, other] = max(common[one, other], length)
+    df = spark.createDataFrame(rows, "region long, one long, depth int, rest binary").repartition(3)
+    got = {r["one"]: r["leader"] for r in _nearest(df).collect()}
+    assert set(got) == {one for one, _ in common}
+    for one, other in got.items():
+        assert common[one, other] == max(n for (a, _), n in common.items() if a == one)
+
+
 def test_near_duplicates_beside_a_crowd(spark):
     """1,200 variants of one text, and documents that link with one variant each."""
     rng = random.Random(16)
