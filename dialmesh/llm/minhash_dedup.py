@@ -364,7 +364,8 @@ def _possible(region: pa.Table, percent: int):
     component, n = region.column("component").to_numpy(), region.column("n").to_numpy()
     rows = np.frombuffer(b"".join(region.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
     for i in range(len(n) - 1):
-        equal = (rows[i + 1 :] == rows[i]).sum(1) >= LEAST_EQUAL
         small, large = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
         other = component[i + 1 :] != component[i]
-        yield i, i + 1 + np.flatnonzero(equal & other & (100 * small >= percent * large))
+        later = i + 1 + np.flatnonzero(other & (100 * small >= percent * large))
+        if len(later):  # signatures only of these: most members are of one component
+            yield i, later[(rows[later] == rows[i]).sum(1) >= LEAST_EQUAL]
