@@ -39,7 +39,8 @@ from .word_hashes import split_words, window_hashes
 SHINGLE = 5
 VALUES = 64
 TREES = 21  # three values each at the least depth
-DEPTHS = (3, 5, 8, 12, 18, 27, 40, VALUES)
+LEAST_DEPTH = 3
+STEPS = ((LEAST_DEPTH,), (5, 8), (12, 18, 27, 40, VALUES))  # depths, those of a step counted together
 REGION = 256
 SORTED = 8  # values after the prefix of a region by which it is sorted
 PERCENT = 75
@@ -167,9 +168,12 @@ def _sign():
     return step
 
 
-def _keys(depth: int, all_trees: bool):
-    """``tree, region, one, rest`` for the prefixes of ``depth`` values; ``rest`` holds the
-    next ``SORTED`` values, so that its order is that of the signatures."""
+def _keys(depths: tuple[int, ...], all_trees: bool):
+    """``tree, depth, region, parent, one, rest`` for the prefixes of each of ``depths`` values.
+
+    ``parent`` is the region of the next lesser of ``depths``; ``rest`` holds the next
+    ``SORTED`` values, so that its order is that of the signatures.
+    """
 
     def step(batch):
         ones, rows = batch.column(0), np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
@@ -180,51 +184,68 @@ def _keys(depth: int, all_trees: bool):
             if trees is not None:
                 in_tree = [tree in t for t in trees.to_pylist()]
                 chosen = np.flatnonzero(in_tree)
-            order = (3 * tree + np.arange(depth)) % VALUES
-            names = np.full(len(chosen), np.uint64(tree * 1000 + depth))
-            for values in rows[chosen][:, order].T:
-                names = names * np.uint64(0xD6E8FEB86659FD93) + values
-                names ^= names >> np.uint64(29)
-            after = (3 * tree + np.arange(depth, min(depth + SORTED, VALUES))) % VALUES
-            rest = rows[chosen][:, after].astype(">u4")
-            ends = np.arange(len(chosen) + 1, dtype=np.int32) * rest.shape[1] * 4
-            yield [
-                pa.array(np.full(len(chosen), tree), pa.int32()), pa.array(names.view(np.int64), pa.int64()),
-                ones.take(pa.array(chosen)),
-                pa.Array.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(ends), pa.py_buffer(rest.tobytes())]),
-            ]
+            parent = pa.nulls(len(chosen), pa.int64())
+            for depth in depths:
+                order = (3 * tree + np.arange(depth)) % VALUES
+                names = np.full(len(chosen), np.uint64(tree * 1000 + depth))
+                for values in rows[chosen][:, order].T:
+                    names = names * np.uint64(0xD6E8FEB86659FD93) + values
+                    names ^= names >> np.uint64(29)
+                after = (3 * tree + np.arange(depth, min(depth + SORTED, VALUES))) % VALUES
+                rest = rows[chosen][:, after].astype(">u4")
+                ends = np.arange(len(chosen) + 1, dtype=np.int32) * rest.shape[1] * 4
+                region = pa.array(names.view(np.int64), pa.int64())
+                yield [
+                    pa.array(np.full(len(chosen), tree), pa.int32()), pa.array(np.full(len(chosen), depth), pa.int32()),
+                    region, parent, ones.take(pa.array(chosen)),
+                    pa.Array.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(ends), pa.py_buffer(rest.tobytes())]),
+                ]
+                parent = region
 
     return step
 
 
 def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """``region, one, leader, depth, rest`` for all final regions of two members or more,
-    ``leader, one`` for the members of the crowded regions on the way, and ``region, one``
-    of the crowded regions of the least depth, if there are any."""
+    ``leader, one`` for the members of the crowded regions on the way, and ``tree, region,
+    one`` of the crowded regions of the least depth, if there are any.
+
+    A region is final if its parent is crowded and it is not; the first depth of a step has
+    only members of crowded parents.
+    """
     found, widest, leaders, active = None, None, classes.selectExpr("one", "one AS leader").where("false"), classes
-    for depth in DEPTHS:
-        first, last = depth == DEPTHS[0], depth == VALUES
-        rows = map_batches(active, lambda d=depth, f=first: _keys(d, f), "tree int, region bigint, one bigint, rest binary")
-        sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("one").alias("leader"))
+    for depths in STEPS:
+        first, last = depths == STEPS[0], depths == STEPS[-1]
+        kind = "tree int, depth int, region bigint, parent bigint, one bigint, rest binary"
+        rows = map_batches(active, lambda d=depths, f=first: _keys(d, f), kind)
+        sizes = rows.groupBy("region").agg(
+            F.count(F.lit(1)).alias("n"), F.min("one").alias("leader"), F.min("depth").alias("depth"), F.min("parent").alias("parent")
+        )
         sizes = materialize(sizes.where("n > 1"))
-        final = sizes if last else sizes.where(F.col("n") <= limit)
-        members = rows.join(final, "region").select("region", "one", "leader", F.lit(depth).alias("depth"), "rest", "n")
+        crowded = sizes.where((F.col("n") > limit) & (F.col("depth") < VALUES)).select("region", "n")
+        final = sizes.where((F.col("n") <= limit) | (F.col("depth") == VALUES))
+        if len(depths) > 1:
+            inner = final.where("parent is not null").join(crowded.select(F.col("region").alias("parent")), "parent", "left_semi")
+            final = final.where("parent is null").unionByName(inner)
+        members = rows.select("region", "one", "depth", "rest").join(final.select("region", "leader", "n"), "region")
+        members = members.select("region", "one", "leader", "depth", "rest", "n")
         if last:  # equal signatures throughout: parts in the order of a hash
             part = F.pmod(F.xxhash64("one"), F.ceil(F.col("n") / limit))
             members = members.withColumn("region", F.when(F.col("n") > limit, F.xxhash64("region", part)).otherwise(F.col("region")))
         members = members.drop("n")
         found = members if found is None else found.unionByName(members)
-        crowded = sizes.where(F.col("n") > limit).select("region", "n")
-        if last or crowded.isEmpty():
-            return materialize(found), leaders, widest
-        crowd = materialize(rows.drop("rest").join(crowded, "region"))
-        widest = crowd.select("region", "one") if first else widest
-        density = materialize(crowd.groupBy("one").agg(F.sum("n").alias("density"), F.collect_list("tree").alias("trees")))
-        dense = crowd.join(density.select("one", "density"), "one")
+        if crowded.isEmpty():
+            break
+        crowd = materialize(rows.select("tree", "depth", "region", "one").join(crowded, "region"))
+        widest = crowd.select("tree", "region", "one") if first else widest
+        dense = crowd.withColumn("density", F.sum("n").over(Window.partitionBy("one", "depth")))  # at most TREES rows
         leader = F.max_by("one", F.struct("density", -F.col("one"))).alias("leader")
         leader = materialize(dense.groupBy("region").agg(leader))
         leaders = leaders.unionByName(crowd.select("region", "one").join(leader, "region").select("one", "leader"))
-        active = materialize(classes.select("one", "signature").join(density.select("one", "trees"), "one"))
+        if not last:
+            deeper = crowd.where(F.col("depth") == depths[-1]).groupBy("one").agg(F.collect_list("tree").alias("trees"))
+            active = materialize(classes.select("one", "signature").join(deeper, "one"))
+    return materialize(found), leaders, widest
 
 
 def _nearest(regions: DataFrame) -> DataFrame:
@@ -253,13 +274,14 @@ def _common(other: str) -> Column:
 
 
 def _blocks(crowd: DataFrame, part: DataFrame, size: int) -> DataFrame:
-    """``region, one``: crowded regions as pairs of blocks of about ``size`` members, one of
+    """``region, one, tree``: crowded regions as pairs of blocks of about ``size`` members, one of
     members outside the largest component of the region and one of any.
 
-    Each two members of different components share a pair of blocks.
+    Each two members of different components share a pair of blocks.  ``tree`` is that of
+    the region.
     """
     placed = crowd.join(part.withColumnRenamed("node", "one"), "one", "left")
-    placed = materialize(placed.select("region", "one", F.coalesce("component", "one").alias("component")))
+    placed = materialize(placed.select("tree", "region", "one", F.coalesce("component", "one").alias("component")))
     counts = placed.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
     most = F.max_by("component", F.struct("n", "component"))
     shape = counts.groupBy("region").agg(most.alias("most"), F.sum("n").alias("n"), F.max("n").alias("top"))
@@ -271,10 +293,10 @@ def _blocks(crowd: DataFrame, part: DataFrame, size: int) -> DataFrame:
     block = lambda n: F.pmod(F.xxhash64("one"), n)
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     opened = members.where("component != most").select(
-        "region", "one", block(F.col("n_open")).alias("i"), numbers("n_all").alias("j")
+        "tree", "region", "one", block(F.col("n_open")).alias("i"), numbers("n_all").alias("j")
     )
-    others = members.select("region", "one", numbers("n_open").alias("i"), block(F.col("n_all")).alias("j"))
-    return opened.unionByName(others).select(F.xxhash64("region", "i", "j").alias("region"), "one").distinct()
+    others = members.select("tree", "region", "one", numbers("n_open").alias("i"), block(F.col("n_all")).alias("j"))
+    return opened.unionByName(others).select(F.xxhash64("region", "i", "j").alias("region"), "one", "tree").distinct()
 
 
 def _sets(texts: DataFrame, ends: DataFrame) -> BucketedTable:
@@ -323,9 +345,14 @@ def _confirmed(pairs: DataFrame, sets: BucketedTable, percent: int) -> DataFrame
 
 
 def _across(regions: DataFrame, part: DataFrame, classes: DataFrame, sets: BucketedTable, percent: int) -> DataFrame:
-    """Links ``a, b`` that join different components of one region."""
+    """Links ``a, b`` that join different components of one region.
+
+    Where ``regions`` name their ``tree``, two documents are compared in the first tree in
+    which they share a region of the least depth, and not again in others.
+    """
     placed = regions.join(part.withColumnRenamed("node", "one"), "one", "left")
-    placed = placed.select("region", "one", F.coalesce("component", "one").alias("component"))
+    tree = F.col("tree") if "tree" in regions.columns else F.lit(None).cast("int").alias("tree")
+    placed = placed.select("region", "one", F.coalesce("component", "one").alias("component"), tree)
     split = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = materialize(split.where("low != high").select("region"))
     members = placed.join(split, "region").join(classes.select("one", "n", "signature"), "one")
@@ -352,8 +379,8 @@ def _across(regions: DataFrame, part: DataFrame, classes: DataFrame, sets: Bucke
         a, b = zip(*found) if found else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    kind = "region bigint, one bigint, component bigint, n bigint, signature binary"
-    members = members.select("region", "one", "component", "n", "signature")
+    kind = "region bigint, one bigint, component bigint, n bigint, signature binary, tree int"
+    members = members.select("region", "one", "component", "n", "signature", "tree")
     open_rows = materialize(members.groupBy("region").applyInArrow(involved, kind))
     with_sets = open_rows.join(sets.df.select("one", "shingles"), "one")
     return with_sets.groupBy("region").applyInArrow(links, "a bigint, b bigint")
@@ -363,9 +390,15 @@ def _possible(region: pa.Table, percent: int):
     """Each row with the later ones of other components that it may link with."""
     component, n = region.column("component").to_numpy(), region.column("n").to_numpy()
     rows = np.frombuffer(b"".join(region.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
+    tree = region.column("tree")[0].as_py() if len(n) else None
     for i in range(len(n) - 1):
         small, large = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
         other = component[i + 1 :] != component[i]
         later = i + 1 + np.flatnonzero(other & (100 * small >= percent * large))
         if len(later):  # signatures only of these: most members are of one component
-            yield i, later[(rows[later] == rows[i]).sum(1) >= LEAST_EQUAL]
+            equal = rows[later] == rows[i]
+            near = equal.sum(1) >= LEAST_EQUAL
+            if tree is not None:
+                shared = equal[:, : TREES * LEAST_DEPTH].reshape(-1, TREES, LEAST_DEPTH).all(2)
+                near &= shared.argmax(1) == tree
+            yield i, later[near]

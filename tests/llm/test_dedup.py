@@ -6,12 +6,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from dialmesh.llm.components import connected_components
 from dialmesh.llm import embedding_dedup
 from dialmesh.llm.embedding_dedup import embedding_duplicates, quantise
+from dialmesh.llm import minhash_dedup
 from dialmesh.llm.minhash_dedup import SORTED, _nearest, near_duplicates
 from dialmesh.llm.substring_dedup import cut_repeats, remove_repeats
 
@@ -227,6 +229,40 @@ def test_near_duplicates_beside_a_crowd(spark):
     assert {r["doc_id"]: r["component_id"] for r in near_duplicates(df).collect()} == part
 
 
+def test_depths_are_counted_in_few_steps(spark, monkeypatch):
+    """Regions of adaptive depth as by plain counting, over all depths in three passes."""
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 3, (60, 64)).astype(np.uint32)
+    rows[:25] = rows[0]
+    rows[5:25, 50:] = rng.integers(0, 3, (20, 14))
+    df = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(rows)], "one long, signature binary")
+    passes = []
+    monkeypatch.setattr(minhash_dedup, "map_batches", lambda df, make, kind, f=minhash_dedup.map_batches: passes.append(1) or f(df, make, kind))
+    got = minhash_dedup._regions(df, 4)[0].where("depth < 64").groupBy("region", "depth").agg(F.sort_array(F.collect_list("one")).alias("ones"))
+    got = sorted((r["depth"], tuple(r["ones"])) for r in got.collect())
+    want = []
+    for tree in range(21):
+        active = set(range(60))
+        for depth in (3, 5, 8, 12, 18, 27, 40):
+            groups = collections.defaultdict(list)
+            for i in sorted(active):
+                groups[tuple(rows[i][(3 * tree + np.arange(depth)) % 64])].append(i)
+            want += [(depth, tuple(g)) for g in groups.values() if 1 < len(g) <= 4]
+            active = {i for g in groups.values() if len(g) > 4 for i in g}
+    assert got == sorted(want) and {d for d, _ in got} >= {3, 5, 8}
+    assert len(passes) == 3
+
+
+def test_a_pair_of_a_crowd_is_compared_in_one_tree():
+    rows = np.arange(3 * 64, dtype=np.uint32).reshape(3, 64)
+    rows[1, 6:] = rows[0, 6:]  # trees 2 to 20 are shared
+    kept = []
+    for tree in range(2, 21):
+        region = pa.table({"component": [0, 1], "n": [9, 9], "signature": [r.tobytes() for r in rows[:2]], "tree": pa.array([tree] * 2, pa.int32())})
+        kept += [(tree, i, p.tolist()) for i, p in minhash_dedup._possible(region, 75) if len(p)]
+    assert kept == [(2, 0, [1])]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "p q r s t u"), (2, "p q r s t u"), (None, "a b c d e f"), (None, None), (3, "a b c d e f")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
