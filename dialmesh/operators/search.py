@@ -1,8 +1,9 @@
 """Search of the company store: ranked by name (BM25), exact by phone.
 
 Searches are batches: ``queries(query_id, name)`` or ``queries(query_id, phone)``.
-A batch that is small (checked) is broadcast to the postings; a larger one is joined
-on (term, salt), so a term that a third of the companies share spreads over tasks.
+A batch that is small (checked) is broadcast to the postings, which are dealt by company
+before they meet it where many scores come of them; a larger one is joined on (term, salt),
+so a term that a third of the companies share spreads over tasks.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ PAGE_SIZE = 10
 SCORE_DIGITS = 6
 BROADCAST_TERMS = 200_000
 SALTS = 32
+TASK_PARTS = 500_000  # scores of a term in a name that one task adds up
+MAX_DEALT = 200  # up to so many partitions a shuffle writes rows as they come, none kept in memory
 
 
 @dataclass(frozen=True)
@@ -130,7 +133,7 @@ def search_sort(hits: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
 
 
 def term_idf(terms: DataFrame, fields: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``term, field, avg_len, idf`` of the wanted terms."""
+    """``term, field, avg_len, df, idf`` of the wanted terms."""
     fields = F.broadcast(fields)  # one row per name field: three rows
     return (
         terms.join(wanted.select("term").distinct(), "term", "left_semi")
@@ -139,6 +142,7 @@ def term_idf(terms: DataFrame, fields: DataFrame, wanted: DataFrame) -> DataFram
             "term",
             "field",
             "avg_len",
+            "df",
             F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"),
         )
     )
@@ -152,12 +156,15 @@ def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("weight"))
     )
     idf = term_idf(index.terms, index.fields, wanted)
-    weighted = wanted.join(idf, "term")
+    weighted = materialize(wanted.join(idf, "term"))
     norm = F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len"))
     part = F.col("weight") * F.col("idf") * F.col("tf") * (K1 + 1) / norm
     postings = index.postings.withColumnRenamed("field", "_field")
     # At most one weighted row per wanted term and name field.
-    joined = join_on_hot_key(postings, weighted, "term", is_small(wanted, BROADCAST_TERMS))
+    broadcast = is_small(wanted, BROADCAST_TERMS)
+    if broadcast:
+        postings = _dealt(postings, weighted)
+    joined = join_on_hot_key(postings, weighted.drop("df"), "term", broadcast)
     scored = joined.where(F.col("_field") == F.col("field")).select(
         "query_id", "id", "field", part.alias("part")
     )
@@ -167,6 +174,21 @@ def name_hits(index: NameIndex, queries: DataFrame) -> DataFrame:
     return scored.groupBy("query_id", "id").agg(F.round(best, SCORE_DIGITS).alias("score"))
 
 
+def _dealt(postings: DataFrame, weighted: DataFrame) -> DataFrame:
+    """Postings of the wanted terms by company, in partitions of about ``TASK_PARTS`` scores.
+
+    A scan of a small file is one task, whose companies may have scores for every query; so
+    few scores stay in the tasks of the scan.
+    """
+    parts = weighted.agg(F.sum("df")).first()[0] or 0  # each query meets each posting of its terms
+    if parts <= TASK_PARTS:
+        return postings
+    usual = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(MAX_DEALT, max(usual, -(-int(parts) // TASK_PARTS)))
+    terms = F.broadcast(weighted.select("term", F.col("field").alias("_field")).distinct())
+    return postings.join(terms, ["term", "_field"], "left_semi").repartition(n, "id")
+
+
 def asked_numbers(queries: DataFrame) -> DataFrame:
     """``query_id, number`` of the queries whose number validates."""
     checked = add_once(queries.select("query_id", "phone"), "_v", validate_phone("phone"))

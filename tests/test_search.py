@@ -135,6 +135,24 @@ def test_each_hit_is_shuffled_once(spark, store):
     assert "ReusedExchange" in plan and "CartesianProduct" not in plan and "WindowGroupLimit" in plan
 
 
+def test_many_scores_are_dealt_by_company(spark, store, rows, monkeypatch):
+    """A store in one partition does not add up all scores in one task."""
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, name string")
+    index = ops.name_index(store.coalesce(1))
+    monkeypatch.setattr(ops, "TASK_PARTS", 40)
+    hits = ops.name_hits(index, queries)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = [int(k) for k in re.findall(r"hashpartitioning\(id#\d+, (\d+)\)", plan)]
+    assert dealt and n <= dealt[0] <= ops.MAX_DEALT
+    assert plan.index("HashAggregate") < plan.index("BroadcastHashJoin") < plan.index("hashpartitioning(id#")
+    got = hits.collect()
+    for q, text in enumerate(QUERIES):
+        want = {i: s for s, i in bm25(rows, text)}
+        assert {r["id"]: r["score"] for r in got if r["query_id"] == q} == pytest.approx(want, abs=2e-6)
+    assert len(got) == len({(r["query_id"], r["id"]) for r in got})
+
+
 def test_words_of_names(column):
     from dialmesh.functions.names import name_tokens
 
