@@ -67,6 +67,36 @@ def test_toxicity(spark):
     assert again.columns == ["doc_id", "other"] and [r["other"] for r in again.collect()] == [r["score"] for r in scored]
 
 
+def test_toxicity_learns_from_every_row(spark):
+    ids = spark.range(7400).orderBy(F.xxhash64("id", F.lit(5))).collect()
+    rng, docs = random.Random(5), []
+    for place, (i,) in enumerate(ids):  # the second word only in rows late in the order of the hash
+        words = prose(rng, 8)
+        if i % 2:
+            words[rng.randrange(8)] = "moron" if place < 6400 else "krelb"
+        docs.append((i, " ".join(words), "en"))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels)
+    rows = spark.createDataFrame([(" ".join([*prose(rng, 7), w]),) for w in ["moron", "krelb", "the"] * 20], "text string")
+    scores = [r["score"] for r in toxicity.score_toxicity(rows, model, []).collect()]
+    assert all(s >= 0.5 for s in scores[::3] + scores[1::3]) and sum(s < 0.5 for s in scores[2::3]) >= 19
+
+
+def test_toxicity_in_portions(spark):
+    train, held = labelled(1500, 1), labelled(300, 2)
+    kind = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame([r[:3] for r in train], kind)
+    labels = spark.createDataFrame([(r[0], r[3]) for r in train], "doc_id long, toxic int")
+    rows, toxic = spark.createDataFrame([r[:3] for r in held], kind), {r[0]: r[3] for r in held}
+    models = [toxicity.train(d, labels, portion_rows=250, portion_words=10_000) for d in (docs, docs.repartition(7))]
+    first, second = (
+        {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(rows, m, ["doc_id"]).collect()} for m in models
+    )
+    assert first == pytest.approx(second, abs=1e-3)
+    assert sum((first[i] >= 0.5) != y for i, y in toxic.items()) <= 15
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
     for rows, score in (([], 0.0), ([(1, 0)], 0.0), ([(1, 1)], 1.0)):
