@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..joins import lookup_join
+from ..joins import BloomFilter, lookup_join
 from ..session import BucketedTable, materialize
 from .common import map_batches, slices
 from .components import connected_components
@@ -300,24 +300,31 @@ def _blocks(crowd: DataFrame, part: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, ends: DataFrame) -> BucketedTable:
-    """``one, n, shingles`` of the documents in ``ends``, in buckets of ``one``."""
-    chosen = texts.join(ends.withColumnRenamed("one", "id"), "id").select("text", "id", "print", "print2")
+    """``one, n, shingles`` of the documents in ``ends``, in buckets of ``one``.
+
+    Sets are made where the texts are, of those that a Bloom filter of ``ends`` lets pass, and
+    move once; texts do not move.
+    """
+    ends = materialize(ends)
+    chosen = BloomFilter.build(ends, "one").keep(texts, F.col("id")).select("text", "id")
 
     def make():
         def step(batch):
-            for texts, ids, first, second in slices(*batch.columns):
+            for texts, ids in slices(*batch.columns):
                 sets = shingle_sets(texts)
-                wanted = zip(first.to_pylist(), second.to_pylist())
-                own = [i for i, (s, p) in enumerate(zip(sets, wanted)) if _print(s) == p]
+                prints = [_print(s) for s in sets]
                 yield [
-                    ids.take(pa.array(own, pa.int64())), pa.array([len(sets[i]) for i in own], pa.int64()),
-                    pa.array([sets[i].tobytes() for i in own], pa.binary()),
+                    ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
+                    pa.array([p[1] for p in prints], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
                 ]
 
         return step
 
-    made = map_batches(chosen, make, "one bigint, n bigint, shingles binary")
-    return BucketedTable(made.dropDuplicates(["one"]), "one")
+    made = map_batches(chosen, make, "one bigint, n bigint, made bigint, made2 bigint, shingles binary")
+    # a key may have other texts too; equality would become a key of the join, and sets move twice
+    same = "(made ^ print) = 0 and (made2 ^ print2) = 0"
+    own = made.join(ends, "one").where(same).select("one", "n", "shingles")
+    return BucketedTable(own.dropDuplicates(["one"]), "one")
 
 
 def _confirmed(pairs: DataFrame, sets: BucketedTable, percent: int) -> DataFrame:

@@ -317,3 +317,22 @@ def test_many_equal_rows(spark):
     assert got == collections.Counter(w[:4] for w in repeats(rows, 35))
     left = collections.Counter((r["doc_id"], r["text"]) for r in cut_repeats(df).collect())
     assert left[1, ""] == 3000 and left[None, ""] == 2 and sum(left.values()) == len(rows)
+
+
+def test_texts_do_not_move_for_their_sets(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(minhash_dedup, "BucketedTable", lambda df, key: made.append(df))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    texts = [(i, f"{i} a b c d e f {i}") for i in range(50)] + [(3, "other words"), (4, "4 a b c d e f 4"), (None, "3 a")]
+    prints = [(i, *minhash_dedup._print(minhash_dedup.shingle_sets(pa.array([t]))[0])) for i, t in texts[:40]]
+    ends = spark.createDataFrame(prints, "one long, print long, print2 long")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large for it
+        minhash_dedup._sets(spark.createDataFrame(texts, "id long, text string"), ends)
+        plan = made[0]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2  # sets and ends, each once
+        got = sorted((r["one"], r["n"], bytes(r["shingles"])) for r in made[0].collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    sets = minhash_dedup.shingle_sets(pa.array([t for _, t in texts[:40]]))
+    assert got == [(i, len(s), s.tobytes()) for i, s in enumerate(sets)]
