@@ -97,6 +97,33 @@ def test_toxicity_in_portions(spark):
     assert sum((first[i] >= 0.5) != y for i, y in toxic.items()) <= 15
 
 
+def test_toxicity_portions_are_whole(spark):
+    """With more shuffle partitions than shards, as on large tables."""
+    train = labelled(1200, 6)
+    docs = spark.createDataFrame([r[:3] for r in train], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in train], "doc_id long, toxic int")
+    found = []
+
+    def portioned(*args, whole=toxicity._portioned):
+        found.append(whole(*args))
+        return found[0]
+
+    names = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, ("40", "-1", "false")):
+            spark.conf.set(name, value)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(toxicity, "_portioned", portioned)
+            patch.setattr(toxicity, "ROUNDS", (1, 1))
+            toxicity.train(docs, labels, portion_rows=400)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    files = found[0].select("shard", F.input_file_name().alias("file")).groupBy("shard").agg(F.countDistinct("file"), F.count("file")).collect()
+    assert [r[1] for r in files] == [1] * 3 and sum(r[2] for r in files) == 1200
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
     for rows, score in (([], 0.0), ([(1, 0)], 0.0), ([(1, 1)], 1.0)):
