@@ -109,7 +109,8 @@ def near_duplicates(
     ends = ends.distinct().join(classes.select("one", "print", "print2"), "one")
     sets = _sets(texts, ends)
     links = materialize(_confirmed(star, sets, percent))
-    more = materialize(_across(regions, _together(links), classes, sets, percent))
+    # a pair of a crowded region on the way is compared below it, or else by blocks
+    more = materialize(_across(regions, _together(links), classes, sets, percent, crowd))
     part = materialize(connected_components(links.unionByName(more)))
     if crowd is not None:
         late = materialize(_across(_blocks(crowd, part, 4 * region), part, classes, sets, percent))
@@ -206,7 +207,7 @@ def _keys(depths: tuple[int, ...], all_trees: bool):
 
 
 def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """``region, one, leader, depth, rest`` for all final regions of two members or more,
+    """``tree, region, one, leader, depth, rest`` for all final regions of two members or more,
     ``leader, one`` for the members of the crowded regions on the way, and ``tree, region,
     one`` of the crowded regions of the least depth, if there are any.
 
@@ -218,6 +219,9 @@ def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, Data
         first, last = depths == STEPS[0], depths == STEPS[-1]
         kind = "tree int, depth int, region bigint, parent bigint, one bigint, rest binary"
         rows = map_batches(active, lambda d=depths, f=first: _keys(d, f), kind)
+        repeated = materialize(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"))
+        # most regions hold one document, and their rows need not move any further
+        rows = materialize(BloomFilter.build(repeated, "region").keep(rows, F.col("region")))
         sizes = rows.groupBy("region").agg(
             F.count(F.lit(1)).alias("n"), F.min("one").alias("leader"), F.min("depth").alias("depth"), F.min("parent").alias("parent")
         )
@@ -227,8 +231,8 @@ def _regions(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, Data
         if len(depths) > 1:
             inner = final.where("parent is not null").join(crowded.select(F.col("region").alias("parent")), "parent", "left_semi")
             final = final.where("parent is null").unionByName(inner)
-        members = rows.select("region", "one", "depth", "rest").join(final.select("region", "leader", "n"), "region")
-        members = members.select("region", "one", "leader", "depth", "rest", "n")
+        members = rows.select("tree", "region", "one", "depth", "rest").join(final.select("region", "leader", "n"), "region")
+        members = members.select("tree", "region", "one", "leader", "depth", "rest", "n")
         if last:  # equal signatures throughout: parts in the order of a hash
             part = F.pmod(F.xxhash64("one"), F.ceil(F.col("n") / limit))
             members = members.withColumn("region", F.when(F.col("n") > limit, F.xxhash64("region", part)).otherwise(F.col("region")))
@@ -351,18 +355,30 @@ def _confirmed(pairs: DataFrame, sets: BucketedTable, percent: int) -> DataFrame
     return map_batches(both, make, "a bigint, b bigint")
 
 
-def _across(regions: DataFrame, part: DataFrame, classes: DataFrame, sets: BucketedTable, percent: int) -> DataFrame:
+def _across(
+    regions: DataFrame, part: DataFrame, classes: DataFrame, sets: BucketedTable, percent: int, crowd: DataFrame | None = None
+) -> DataFrame:
     """Links ``a, b`` that join different components of one region.
 
-    Where ``regions`` name their ``tree``, two documents are compared in the first tree in
-    which they share a region of the least depth, and not again in others.
+    Two documents are compared in one region of the least depth only, the first in the order of
+    trees, which has all of its members unless it is in ``crowd``; in deeper regions (which
+    have a ``depth``) only if they share none of these.
     """
     placed = regions.join(part.withColumnRenamed("node", "one"), "one", "left")
-    tree = F.col("tree") if "tree" in regions.columns else F.lit(None).cast("int").alias("tree")
-    placed = placed.select("region", "one", F.coalesce("component", "one").alias("component"), tree)
+    tree = F.when(F.col("depth") == LEAST_DEPTH, F.col("tree")).otherwise(-1) if "depth" in regions.columns else F.col("tree")
+    placed = placed.select("region", "one", F.coalesce("component", "one").alias("component"), tree.alias("tree"))
     split = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = materialize(split.where("low != high").select("region"))
-    members = placed.join(split, "region").join(classes.select("one", "n", "signature"), "one")
+    members = materialize(placed.join(split, "region"))
+    # signatures only of members move
+    signed = BloomFilter.build(members.select("one").distinct(), "one").keep(classes.select("one", "n", "signature"), F.col("one"))
+    if crowd is not None:
+        crowded = crowd.groupBy("one").agg(F.sum(F.expr("shiftleft(1L, tree)")).alias("crowded"))  # one region in each tree
+        signed = signed.join(crowded, "one", "left")
+    else:
+        signed = signed.withColumn("crowded", F.lit(None).cast("long"))
+    signed = signed.withColumn("crowded", F.coalesce("crowded", F.lit(0).cast("long")))
+    members = members.join(signed, "one")
 
     def involved(region: pa.Table) -> pa.Table:
         possible = np.zeros(len(region), bool)
@@ -386,18 +402,23 @@ def _across(regions: DataFrame, part: DataFrame, classes: DataFrame, sets: Bucke
         a, b = zip(*found) if found else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    kind = "region bigint, one bigint, component bigint, n bigint, signature binary, tree int"
-    members = members.select("region", "one", "component", "n", "signature", "tree")
+    kind = "region bigint, one bigint, component bigint, n bigint, signature binary, tree int, crowded bigint"
+    members = members.select("region", "one", "component", "n", "signature", "tree", "crowded")
     open_rows = materialize(members.groupBy("region").applyInArrow(involved, kind))
     with_sets = open_rows.join(sets.df.select("one", "shingles"), "one")
     return with_sets.groupBy("region").applyInArrow(links, "a bigint, b bigint")
 
 
 def _possible(region: pa.Table, percent: int):
-    """Each row with the later ones of other components that it may link with."""
+    """Each row with the later ones of other components that it may link with.
+
+    ``tree`` is that in which the region is whole, -1 if in none; pairs that are compared in a whole
+    region of another tree are left out.  Bits of ``crowded`` name trees whose region is not whole.
+    """
     component, n = region.column("component").to_numpy(), region.column("n").to_numpy()
     rows = np.frombuffer(b"".join(region.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
     tree = region.column("tree")[0].as_py() if len(n) else None
+    crowded = region.column("crowded").to_numpy() if "crowded" in region.column_names else np.zeros(len(n), np.int64)
     for i in range(len(n) - 1):
         small, large = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
         other = component[i + 1 :] != component[i]
@@ -407,5 +428,6 @@ def _possible(region: pa.Table, percent: int):
             near = equal.sum(1) >= LEAST_EQUAL
             if tree is not None:
                 shared = equal[:, : TREES * LEAST_DEPTH].reshape(-1, TREES, LEAST_DEPTH).all(2)
-                near &= shared.argmax(1) == tree
+                shared &= (crowded[i] >> np.arange(TREES)) & 1 == 0
+                near &= np.where(shared.any(1), shared.argmax(1), -1) == tree
             yield i, later[near]

@@ -336,3 +336,33 @@ def test_texts_do_not_move_for_their_sets(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     sets = minhash_dedup.shingle_sets(pa.array([t for _, t in texts[:40]]))
     assert got == [(i, len(s), s.tobytes()) for i, s in enumerate(sets)]
+
+
+def test_a_pair_is_compared_in_one_whole_region():
+    """Crowded trees and deeper regions count only where no region of the least depth is whole."""
+    rows = np.arange(3 * 64, dtype=np.uint32).reshape(3, 64)
+    rows[1, 6:] = rows[0, 6:]  # trees 2 to 20 are shared
+    whole = lambda *crowded: sum(1 << t for t in crowded)
+    for crowded, first in ((0, 2), (whole(2, 3), 4), (whole(*range(2, 21)), -1)):
+        kept = []
+        for tree in range(-1, 21):
+            region = pa.table({
+                "component": [0, 1], "n": [9, 9], "signature": [r.tobytes() for r in rows[:2]],
+                "tree": pa.array([tree] * 2, pa.int32()), "crowded": [crowded] * 2,
+            })
+            kept += [(tree, i, p.tolist()) for i, p in minhash_dedup._possible(region, 75) if len(p)]
+        assert kept == [(first, 0, [1])]
+
+
+def test_rows_of_single_documents_do_not_move_for_regions(spark, monkeypatch):
+    """What is written of the regions' rows are those of shared regions, for all later joins."""
+    rng = np.random.default_rng(6)
+    rows = rng.integers(0, 2**32, (300, 64), dtype=np.uint32)
+    rows[1] = rows[0]
+    df = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(rows)], "one long, signature binary")
+    written = []
+    monkeypatch.setattr(minhash_dedup, "materialize", lambda df, f=minhash_dedup.materialize: written.append(f(df)) or written[-1])
+    found, _, crowd = minhash_dedup._regions(df, 4)
+    assert crowd is None and sorted((r["tree"], r["one"]) for r in found.collect()) == [(t, i) for t in range(21) for i in (0, 1)]
+    sizes = [d.count() for d in written if "rest" in d.columns]
+    assert all(42 <= n < 21 * 30 for n in sizes)  # of 21 * 300
