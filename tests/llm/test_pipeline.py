@@ -84,6 +84,26 @@ def test_repeated_rows_survive_once(spark):
     assert got == sorted([(1, one), (None, two), (5, three), (6, last), (7, ""), (None, None)], key=str)
 
 
+def test_texts_that_stay_do_not_move(spark):
+    """Of 200 texts with two near copies only those that may be dropped are joined."""
+    rng = random.Random(31)
+    texts = [" ".join(prose(rng, 60)) for _ in range(200)]
+    rows = [*enumerate(texts), (300, texts[3] + " end"), (301, texts[4] + " end"), (5, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large for it
+        kept = corpus_pipeline.near_dedup(spark, materialize(docs), "")
+        assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == list(enumerate(texts))
+        plan = kept._jdf.queryExecution().optimizedPlan()
+        assert plan.getClass().getSimpleName() == "Union"
+        stay = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan.children().head())
+        assert stay.count() >= 190  # of the side without an exchange
+        assert "Exchange hashpartitioning" not in stay.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_empty_tables(spark, tables, tmp_path):
     folder, _ = tables
     for name in ("documents", "labels"):
