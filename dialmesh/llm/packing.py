@@ -26,6 +26,7 @@ from .common import map_batches
 from .tokenizers_files import json_cache
 
 SHARD_PIECES = 8192
+SLICE_BYTES = 2_000_000  # text handled at a time
 GROUPS = (12, 16, 48)  # numbers of groups tried: few round more, many leave more behind
 LARGE_SHARE = 8  # large: over capacity / LARGE_SHARE
 
@@ -49,7 +50,7 @@ def token_pieces(
             nonlocal place
             keys, texts = batch.columns
             at = 0
-            for ids, sizes in cache.encode(texts):
+            for ids, sizes in cache.encode(texts, SLICE_BYTES):
                 slice_keys = keys.slice(at, len(sizes))
                 at += len(sizes)
                 ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<u4")

@@ -27,11 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import BucketedTable, materialize
-from .common import map_batches, slices
+from .common import map_batches, release_memory, slices
 from .word_hashes import split_words, window_hashes
 
 SIZE = 35
 GRAM = 8
+TEXT_BYTES = 1_000_000  # text handled at a time
 HOT_STRINGS = 128  # different strings of one minimiser in a bucket
 
 
@@ -168,7 +169,7 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind: pa.DataType) ->
 def _summaries(size: int):
     def step(batch):
         keys, texts, ids, marks = batch.columns
-        for texts, keys, ids, marks in slices(texts, keys, ids, marks):
+        for texts, keys, ids, marks in slices(texts, keys, ids, marks, size=TEXT_BYTES):
             words = split_words(texts)
             n = len(texts)
             document, start, _, minimiser, repeats = _super_kmers(words, size)
@@ -204,7 +205,7 @@ def _packed(words, start: np.ndarray, windows: np.ndarray, size: int) -> list[me
 
 def _places(size: int):
     def step(batch):
-        for texts, starts, ids, marks in slices(*batch.columns):
+        for texts, starts, ids, marks in slices(*batch.columns, size=TEXT_BYTES):
             words = split_words(texts)
             document, start, local, windows, minimiser = _chosen(words, starts, size)
             strings = _packed(words, start, windows, size)
@@ -253,7 +254,7 @@ def _repeated_windows(found: DataFrame, places: DataFrame, size: int, hot: int)
 
 def _strings(size: int):
     def step(batch):
-        for texts, sent in slices(*batch.columns):
+        for texts, sent in slices(*batch.columns, size=TEXT_BYTES):
             rows = sent.flatten()
             owner = np.repeat(np.arange(len(sent)), np.diff(sent.offsets.to_numpy()))
             start, n, salt = (rows.field(i).to_numpy() for i in range(3))
@@ -287,13 +288,30 @@ def _count_windows(size: int):
                 rest = table
                 continue
             rest = table.slice(int(ends[-1]) + 1)
-            yield from _windows_of(table.slice(0, int(ends[-1]) + 1), size)
+            for part in _parts(table.slice(0, int(ends[-1]) + 1)):
+                yield from _windows_of(part, size)
+            del batch, table, part
+            release_memory()
         if rest is not None and len(rest):
-            yield from _windows_of(rest, size)
+            for part in _parts(rest):
+                yield from _windows_of(part, size)
 
     return run
 
 
+def _parts(table: pa.Table):
+    """Whole buckets, cut where one ends so that their strings hold about TEXT_BYTES."""
+    ends = np.r_[np.flatnonzero(_bucket_ends(table)) + 1, len(table)]
+    sizes = np.cumsum(pc.binary_length(table.column(4)).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(table):
+        base = sizes[at - 1] if at else 0
+        fit = np.searchsorted(ends, np.searchsorted(sizes, base + TEXT_BYTES, "right"), "right") - 1
+        end = int(ends[max(fit, np.searchsorted(ends, at, "right"))])
+        yield table.slice(at, end - at)
+        at = end
+
+
 def _bucket_ends(table: pa.Table) -> np.ndarray:
     minimiser, salt = table.column(0).to_numpy(), table.column(1).to_numpy()
     return (minimiser[1:] != minimiser[:-1]) | (salt[1:] != salt[:-1])
@@ -358,7 +376,7 @@ def _cut(size: int):
     def step(batch):
         same = pc.equal(batch.column(3), batch.column(4))
         texts, covers, ids, marks, _ = batch.filter(same).columns
-        for texts, covers, ids, marks in slices(texts, covers, ids, marks):
+        for texts, covers, ids, marks in slices(texts, covers, ids, marks, size=TEXT_BYTES):
             words = split_words(texts)
             buffer, at = words.joined()
             spans = covers.flatten()

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 300_000  # known words of one worker, about 200 bytes each (two workers per executor, beside its heap)
+MAX_WORDS = 200_000  # known words of one worker, about 300 bytes each (two workers per executor, beside its heap)
 SLICE_BYTES = 4_000_000  # text handled at a time
+NEW_WORDS = 4096  # words given to the encoder at a time
 KEY_CHARS = 200  # longer words are not worth remembering
 
 
@@ -51,7 +52,10 @@ class WordCache:
             return values
         gaps = [i for i, v in enumerate(values) if v is None]
         new = list(dict.fromkeys(words[i] for i in gaps))
-        fresh = {w: array("I", ids).tobytes() for w, ids in zip(new, encode(new))}
+        fresh: dict[str, bytes] = {}
+        for at in range(0, len(new), NEW_WORDS):  # what an encoder returns is many times larger than its words
+            part = new[at : at + NEW_WORDS]
+            fresh.update((w, array("I", ids).tobytes()) for w, ids in zip(part, encode(part)))
         for i in gaps:
             values[i] = fresh[words[i]]
         room = self._max - len(known)
@@ -63,14 +67,14 @@ class WordCache:
         """Set the values of words beforehand."""
         self._known.update((w, array("I", v).tobytes()) for w, v in zip(words, values))
 
-    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode(self, texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, ids per text) for consecutive slices of ``texts``; null is an empty text."""
         texts = pc.fill_null(texts, "")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < len(texts):
             base = sizes[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, "right")))
+            end = max(at + 1, int(np.searchsorted(sizes, base + slice_bytes, "right")))
             yield self._slice(texts.slice(at, end - at))
             at = end
 

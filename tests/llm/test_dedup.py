@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dialmesh.llm.components import connected_components
 from dialmesh.llm import embedding_dedup
 from dialmesh.llm.embedding_dedup import embedding_duplicates, quantise
-from dialmesh.llm import minhash_dedup
+from dialmesh.llm import minhash_dedup, substring_dedup, word_hashes
 from dialmesh.llm.minhash_dedup import SORTED, _nearest, near_duplicates
 from dialmesh.llm.substring_dedup import cut_repeats, remove_repeats
 
@@ -366,3 +366,62 @@ def test_rows_of_single_documents_do_not_move_for_regions(spark, monkeypatch):
     assert crowd is None and sorted((r["tree"], r["one"]) for r in found.collect()) == [(t, i) for t in range(21) for i in (0, 1)]
     sizes = [d.count() for d in written if "rest" in d.columns]
     assert all(42 <= n < 21 * 30 for n in sizes)  # of 21 * 300
+
+
+# memory of a worker
+
+
+def test_word_hashes_need_little_memory():
+    """Arrays of numbers per byte are bounded: 2 MB of text took 97 MB at a time."""
+    import tracemalloc
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 12))) for _ in range(5000)] + ["x" * 300_000, "é" * 90]
+    words = word_hashes.split_words(pa.array([" ".join(rng.choices(words[:5000], k=300_000)), " ".join(words)]))
+    tracemalloc.start()
+    try:
+        hashes = words.hashes()
+        assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    finally:
+        tracemalloc.stop()
+    for i in [0, 1, 299_999, 300_000, *range(305_000 - 5, len(words))]:
+        alone = pa.array([words.data[words.start[i] : words.end[i]].tobytes().decode()])
+        assert word_hashes.split_words(alone).hashes()[0] == hashes[i]
+    assert len(word_hashes.split_words(pa.array([" "])).hashes()) == 0
+
+
+def test_buckets_are_counted_in_parts_of_a_bounded_size(monkeypatch):
+    """A whole batch of strings was counted at once; parts end where buckets do, and give the same rows."""
+    rng = random.Random(5)
+    rows = []
+    for bucket in range(40):
+        words = rng.choices("abcdefghij", k=60)
+        for i in range(rng.randint(1, 6)):
+            text = " ".join(words[i : i + 45])
+            rows.append((bucket // 2, bucket % 2, bytes([bucket, i]), 1, text))
+    columns = list(zip(*rows))
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.string()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["minimiser", "salt", "string_id", "n", "packed"])
+    parts = []
+    plain = substring_dedup._windows_of
+
+    def noted(table, size):
+        parts.append(table)
+        return plain(table, size)
+
+    def run():
+        batches = [batch.slice(i, 25) for i in range(0, len(batch), 25)]
+        out = [r for b in substring_dedup._count_windows(35)(batches) for r in b.to_pylist()]
+        return sorted((r["string_id"] or b"", tuple(r["windows"] or ()), tuple(r["open"] or ()), frozenset(r["seen"] or ())) for r in out if r["string_id"]), {
+            p for r in out for p in r["seen"] or ()
+        }
+
+    monkeypatch.setattr(substring_dedup, "_windows_of", noted)
+    whole = run()
+    parts.clear()
+    monkeypatch.setattr(substring_dedup, "TEXT_BYTES", 400)
+    assert run() == whole
+    assert sum(map(len, parts)) == len(rows)
+    own = [set(zip(*(t.column(i).to_pylist() for i in (0, 1)))) for t in parts]
+    assert len(own) == 40 or all(sum(map(len, t.column(4).to_pylist())) <= 400 for t, o in zip(parts, own) if len(o) > 1)
+    assert sum(map(len, own)) == 40  # no bucket is in two parts

@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from dialmesh.llm import packing, piece_codec, token_counts, token_files
+from dialmesh.llm import packing, piece_codec, token_counts, token_files, wordcache
 from dialmesh.llm.piece_digests import piece_digests
 from dialmesh.llm.tokenizers_files import json_cache, public_path
 
@@ -188,3 +188,21 @@ def test_other_kinds_of_piece_models_are_refused(tmp_path, part, name, value):
     (tmp_path / "other.model").write_bytes(model.SerializeToString())
     with pytest.raises(piece_codec.UnknownModel):
         piece_codec.PieceCodec(str(tmp_path / "other.model"))
+
+
+def test_new_words_are_encoded_few_at_a_time():
+    """What an encoder returns is many times larger than its words; all of a slice went to it at once."""
+    given = []
+
+    def encode(words):
+        given.append(len(words))
+        return [[len(w)] for w in words]
+
+    texts = [" ".join(f"{'w' * (i % 7)}{i}" for i in range(a, a + 3000)) for a in range(0, 30_000, 3000)]
+    cache = wordcache.WordCache(encode, lambda text: [], max_words=20_000)
+    for _ in range(2):  # from the second time on some are known
+        out = list(cache.encode(pa.array([*texts, None, texts[0]])))
+        ids, sizes = (np.concatenate(x) for x in zip(*out))
+        assert sizes.tolist() == [3000] * 10 + [0, 3000]
+        assert ids.tolist() == [len(w) for t in [*texts, texts[0]] for w in t.split(" ")]
+    assert max(given) <= 4096 and sum(given) == 30_001 + 10_001  # the empty word too
