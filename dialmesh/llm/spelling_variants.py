@@ -17,6 +17,9 @@ times as large, with shorter grams; at the last T the dictionary is empty and al
 two characters.  An untouched gram stands at the same place or is shifted by the difference
 in length, so lists are kept by gram, place and length, and a word asks for those of its own
 length and of the next one; pairs count in both orders.
+
+Every join is by sort and merge: there are as many rows as words or more, and Spark takes its
+sizes from compressed files of words, not knowing how many rows an explode makes of each.
 """
 
 from __future__ import annotations
@@ -154,7 +157,7 @@ def near_words(words: DataFrame) -> DataFrame:
     lookups = materialize(_lookups(words, shared, limit))
     limits = sorted(r[0] for r in lookups.select("limit").distinct().collect())  # few: powers of LADDER
     lists = _postings(words, shared, limits)
-    merged = _by_key(lookups).join(_by_key(lists), "key")
+    merged = _by_key(lookups).hint("merge").join(_by_key(lists), "key")
     near = merged.where((F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1))
     there = F.struct("word", "n", "near", "near_n")
     back = F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
@@ -170,7 +173,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     chain = materialize(forms.select("word", F.col("form").alias("root")))
     while True:
         on = chain.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        stepped = chain.join(on, "root", "left").select(
+        stepped = chain.hint("merge").join(on, "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")
         )
         stepped = materialize(stepped)
@@ -203,4 +206,4 @@ def spelling_variants(words: DataFrame, factor: int = 2) -> DataFrame:
         F.when(strong, -F.col("best.n")).alias("form_n"),
     ))
     roots = _roots(judged.where("form is not null"))
-    return judged.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return judged.hint("merge").join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))

@@ -17,6 +17,7 @@ from dialmesh.llm import queries, spelling_variants as sv
 from dialmesh.llm.bpe_codec import BytePairCodec, UnknownFile, decode_texts, encode_texts
 from dialmesh.llm.periodic_runs import LastPlaces, SuffixTree, collapse, find_runs, periodic_runs
 from dialmesh.llm.tokenizers_files import public_path
+from dialmesh.session import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD_FILE = "word_bpe_49k.json"
@@ -204,6 +205,25 @@ def test_variants_of_odd_rows(spark):
         sv.spelling_variants(spark.createDataFrame(rows, "word string, n long"), factor=1)
 
 
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes words by their compressed file, and lists as if each word were in one."""
+    rng, plans = random.Random(8), []
+    words = {"".join(rng.choice("abcdef") for _ in range(rng.randrange(3, 9))): rng.randrange(1, 40) for _ in range(300)}
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def recorded(df, *args):
+        plans.append(plan(df))
+        return materialize(df, *args)
+
+    monkeypatch.setattr(sv, "materialize", recorded)
+    out = sv.spelling_variants(spark.createDataFrame(list(words.items()), "word string, n long"))
+    assert variants(out) == plain_variants(words)
+    plans.append(plan(out))
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_op12_against_brute_force(spark, documents):
     counts = Counter()
     for key, text in documents:
