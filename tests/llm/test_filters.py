@@ -124,6 +124,25 @@ def test_toxicity_portions_are_whole(spark):
     assert [r[1] for r in files] == [1] * 3 and sum(r[2] for r in files) == 1200
 
 
+def test_toxicity_takes_all_rounds(spark, monkeypatch):
+    """However many portions there are, every row is learned from in each of them."""
+    train, taken = labelled(200, 9), []
+    docs = spark.createDataFrame([r[:3] for r in train], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in train], "doc_id long, toxic int")
+
+    def counted(rows, learner, number, *args, whole=toxicity._round):
+        taken.append((toxicity.ROUNDS[number], rows.count()))
+        whole(rows, learner, number, *args)
+
+    monkeypatch.setattr(toxicity, "_round", counted)
+    found = []
+    for portion_rows in (1000, 60):
+        taken.clear()
+        toxicity.train(docs, labels, portion_rows=portion_rows)
+        found.append(list(taken))
+    assert found[0] == found[1] and sum(epochs for epochs, _ in found[1]) == sum(toxicity.ROUNDS)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
     for rows, score in (([], 0.0), ([(1, 0)], 0.0), ([(1, 1)], 1.0)):
