@@ -32,7 +32,7 @@ ASSIGNED = (
 )
 TEST_PATH = r"(?i)(test|example|sample|mock|fixture|demo)"
 DICTIONARY = 400  # most frequent words beside candidates
-MAX_TRAIN = 20_000  # labelled findings
+PART_ROWS = 20_000  # labelled findings of one label in a partition
 TREES, DEPTH = 20, 6
 N_FEATURES = 14
 MASK = "[SECRET]"
@@ -161,24 +161,31 @@ def common_words(findings: DataFrame, limit: int = DICTIONARY) -> list[str]:
 
 
 def train_forest(
-    labelled: DataFrame, dictionary: list[str], max_train: int = MAX_TRAIN, trees: int = TREES, depth: int = DEPTH
+    labelled: DataFrame, dictionary: list[str], part_rows: int = PART_ROWS, trees: int = TREES, depth: int = DEPTH
 ) -> Forest:
-    """A forest from ``found, path, label`` (1: a secret), at most ``max_train`` rows of each
-    label in the order of a hash.  Labels that are null are left out; with labels of one
+    """A forest from ``found, path, label`` (1: a secret), all rows of them, dealt by a hash in
+    parts of about ``part_rows``.  Labels that are null are left out; with labels of one
     kind only, everything is of that kind, and nothing is a secret without any."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
+    names = [f"f{i}" for i in range(N_FEATURES)]
     labelled = labelled.where("label is not null").select(
         F.col("label").cast("double").alias("label"), F.xxhash64("found").alias("place"),
-        *(f.cast("double").alias(f"f{i}") for i, f in enumerate(features(F.col("found"), F.col("path"), dictionary))),
+        *(f.cast("double").alias(n) for n, f in zip(names, features(F.col("found"), F.col("path"), dictionary))),
     )
-    kinds = sorted(r["label"] for r in labelled.select("label").distinct().collect())
-    if len(kinds) < 2:
-        return Forest([kinds[0] if kinds else 0.0], dictionary)
-    part = labelled.where("label = 0").orderBy("place").limit(max_train)
-    part = materialize(part.unionByName(labelled.where("label = 1").orderBy("place").limit(max_train)))
-    names = [c for c in part.columns if c not in ("label", "place")]
+    # equal rows are counted together, so that many of them need not meet in one part
+    labelled = materialize(labelled.groupBy("label", "place", *names).agg(F.count(F.lit(1)).alias("copies")))
+    sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
+    if len(sizes) < 2:
+        return Forest([next(iter(sizes), 0.0)], dictionary)
+    each = labelled.select("label", "place", *names, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    low, high = (
+        each.where(F.col("label") == label).repartition(max(1, -(-sizes.get(label, 0) // part_rows)), "place", "copy")
+        .sortWithinPartitions("place", *names, "copy").select("label", "place", *names)
+        for label in (0.0, 1.0)
+    )
+    part = materialize(low.unionByName(high))
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(part).select("label", "features")
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt").fit(rows)
     return Forest(_parse(model.toDebugString), dictionary)

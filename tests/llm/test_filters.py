@@ -14,6 +14,7 @@ from dialmesh.llm import quality_rules as rules
 from dialmesh.llm import secret_scan as scan
 from dialmesh.llm import toxicity
 from dialmesh.llm.word_hashes import split_words, window_hashes
+from dialmesh.session import materialize
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 STEMS = {"en": ["idiot", "moron"], "de": ["lowei", "lostra"], "fr": ["vequ", "réeux"]}
@@ -321,6 +322,23 @@ def test_short_and_odd_secrets(spark):
         f'set password = "{scan.MASK}" here {scan.MASK}', f'password="{scan.MASK}"', "the author: Hamlet wrote", f'set token = "{scan.MASK}" here']
 
 
+def test_forest_learns_from_every_finding(spark, monkeypatch):
+    value = F.concat(F.lit("value"), F.sha1(F.col("id").cast("string")))
+    rows = spark.range(40_600).withColumn("label", F.when(F.col("id") < 20_300, 0).when(F.col("id") < 40_500, 1))
+    same = F.when(F.col("id") < 300, F.lit("value0123456789")).otherwise(value)
+    found = F.struct(same.alias("value"), F.lit(1).alias("start"), F.lit("").alias("before"), F.lit("").alias("after"))
+    rows, seen = rows.select(found.alias("found"), F.lit("p").alias("path"), "label"), []
+
+    def recorded(df, *args):
+        seen.append(materialize(df, *args))
+        return seen[-1]
+
+    monkeypatch.setattr(scan, "materialize", recorded)
+    scan.train_forest(rows, [], trees=2, depth=2)
+    counts = {r["label"]: r["count"] for r in seen[-1].groupBy("label").count().collect()}
+    assert counts == {0: 20_300, 1: 20_200} and "f0" in seen[-1].columns
+
+
 def test_every_place_is_judged(spark, forest):
     value = SECRETS[1]
     text = f'sum {value[:20]}0{value} beside sha {value} and then token = "{value}" end'
